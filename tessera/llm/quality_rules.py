@@ -30,7 +30,7 @@ SAMPLE = 400
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """body(value) with value evaluated once, and only if the whole expression is."""
-    return F.element_at(F.transform(F.array(value), body), 1)
+    return F.element_at(F.transform(F.array(value), lambda x: body(x)), 1)
 
 
 def _text(text: Column) -> Column:
