@@ -2,15 +2,24 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import exact_dedup, quality_rules
+from tessera.llm import byte_bpe, exact_dedup, packing, quality_rules
 
 
 def _docs(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/documents.parquet")
 
 
+def op1_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
+    return packing.pack_documents(_docs(spark, sf), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op3_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    return byte_bpe.round_trip(_docs(spark, sf), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 def op5_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return exact_dedup.exact_dedup(_docs(spark, sf))
 
@@ -20,6 +29,8 @@ def op6_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_best_fit_packing": op1_best_fit_packing,
+    "op3_byte_bpe": op3_byte_bpe,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_quality_rules": op6_quality_rules,
 }
