@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import byte_bpe, exact_dedup, packing, quality_rules
+from tessera.llm import byte_bpe, exact_dedup, language_id, packing, quality_rules, toxicity
 
 
 def _docs(spark: SparkSession, sf: str) -> DataFrame:
@@ -16,10 +16,18 @@ def op1_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack_documents(_docs(spark, sf), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op2_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    return toxicity.toxicity(_docs(spark, sf), spark.read.parquet(f"{sf}/labels.parquet"))
+
+
 def op3_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     return byte_bpe.round_trip(_docs(spark, sf), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op4_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    return language_id.language_id(_docs(spark, sf))
+
+
 def op5_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return exact_dedup.exact_dedup(_docs(spark, sf))
 
@@ -30,7 +38,9 @@ def op6_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op2_toxicity": op2_toxicity,
     "op3_byte_bpe": op3_byte_bpe,
+    "op4_language_id": op4_language_id,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_quality_rules": op6_quality_rules,
 }
