@@ -1,0 +1,34 @@
+"""Connected components of links between 64-bit keys, by alternating star contractions, entirely in DataFrames."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tessera.llm.common import materialise
+
+
+def components(links: DataFrame, rounds: int = 60) -> DataFrame:
+    """(key, root) of every key in links (a, b); root is the smallest key that can be reached.
+
+    Each round links every node's larger neighbours, then its smaller ones, to its smallest neighbour: the number of
+    rounds grows with the logarithm of the number of keys. Each round is written, so that lineage stays short, and ends
+    when no link changed. A node of very many neighbours only ever takes part in aggregations and equi-joins, which
+    combine before the shuffle or are split by adaptive execution.
+    """
+    edges = links.select(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi")).filter("lo < hi").distinct()
+    edges = materialise(edges, "links")
+    before = None
+    for _ in range(rounds):
+        both = edges.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionByName(edges.select(F.col("lo").alias("u"), F.col("hi").alias("v")))
+        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        large = both.join(least, "u").filter("v > u").select(F.col("m").alias("lo"), F.col("v").alias("hi")).filter("lo < hi").distinct()
+        low = large.groupBy("hi").agg(F.min("lo").alias("m"))
+        small = large.join(low, "hi").select(F.col("m").alias("lo"), F.explode(F.array("lo", "hi")).alias("hi")).filter("lo < hi").distinct()
+        edges = materialise(small, "links")
+        now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("lo", "hi").cast("decimal(38,0)"))).first()
+        if now == before or not now[0]:
+            break
+        before = now
+    roots = edges.select(F.col("hi").alias("key"), F.col("lo").alias("root"))
+    return roots.unionByName(roots.select(F.col("root").alias("key"), "root").distinct())

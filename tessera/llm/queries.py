@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import byte_bpe, exact_dedup, language_id, packing, quality_rules, substring_dedup, toxicity
+from tessera.llm import byte_bpe, exact_dedup, language_id, ngram_jaccard, packing, quality_rules, substring_dedup, toxicity
 
 
 def _docs(spark: SparkSession, sf: str) -> DataFrame:
@@ -36,6 +36,10 @@ def op6_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return quality_rules.quality_verdicts(_docs(spark, sf))
 
 
+def op9_ngram_jaccard(spark: SparkSession, sf: str) -> DataFrame:
+    return ngram_jaccard.jaccard_components(_docs(spark, sf)).select("doc_id", "n_shingles", "component_id")
+
+
 def op10_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return substring_dedup.substring_dedup(_docs(spark, sf))
 
@@ -47,6 +51,7 @@ QUERIES = {
     "op4_language_id": op4_language_id,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_quality_rules": op6_quality_rules,
+    "op9_ngram_jaccard": op9_ngram_jaccard,
     "op10_substring_dedup": op10_substring_dedup,
 }
 
