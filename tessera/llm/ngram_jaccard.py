@@ -1,11 +1,11 @@
 """N-gram Jaccard join (operator 9): an exact similarity join of shingle sets over a token-group matrix.
 
-Sets. A document's set is its distinct SHINGLE-word shingles, as 64-bit fingerprints. Documents with equal sets are one
+Sets. A document's set is its distinct SHINGLE-word shingles, as 64-bit fingerprints (both numbers are parameters). Documents with equal sets are one
 class; only classes are joined, and copies are never expanded.
 
-Coarse tokens. Two sets that link differ in at most k = 15/185 (|a| + |b|) elements. Fingerprint space is cut into
+Coarse tokens. Two sets that link differ in at most k = (100 - PERCENT) / (100 + PERCENT) (|a| + |b|) elements. Fingerprint space is cut into
 P > k ranges; the part of a set in one range, hashed, is a coarse token, and sets that link share at least P - k of
-them. P depends on the sizes, so sizes fall in classes a factor 1/0.85 wide and a set has the tokens of its own class
+them. P depends on the sizes, so sizes fall in classes a factor 100/PERCENT wide and a set has the tokens of its own class
 and of the next. Small sets, whose parts would be too common, use pairs of parts. Empty parts are left out unless a set
 has so many that they could be all it shares. So no frequent word, line or passage makes a frequent token: a token is
 shared only where everything in its range agrees.
@@ -119,35 +119,35 @@ def set_key(tokens: np.ndarray) -> int:
 
 
 @lru_cache(maxsize=4096)
-def scheme(level: int) -> tuple[int, int, int, np.ndarray]:
+def scheme(level: int, percent: int = PERCENT) -> tuple[int, int, int, np.ndarray]:
     """Largest size, k, P and the ranges' ends of the size class `level`."""
-    most = _bounds(level + 1) - 1
-    k = (100 - PERCENT) * 2 * most // (100 + PERCENT)
+    most = _bounds(level + 1, percent) - 1
+    k = (100 - percent) * 2 * most // (100 + percent)
     parts = k + 2 if most <= SMALL else k + 3 + (k + 3) // 40
     ends = np.array([(i << 64) // parts for i in range(1, parts)], dtype=np.uint64)
     return most, k, parts, ends
 
 
 @lru_cache(maxsize=4096)
-def _bounds(level: int) -> int:
+def _bounds(level: int, percent: int) -> int:
     """Smallest size of a class: classes grow so that sizes that can link differ by one class at most."""
-    return 1 if level == 0 else max(_bounds(level - 1) + 1, -(-100 * _bounds(level - 1) // PERCENT))
+    return 1 if level == 0 else max(_bounds(level - 1, percent) + 1, -(-100 * _bounds(level - 1, percent) // percent))
 
 
-def level_of(n: int) -> int:
+def level_of(n: int, percent: int = PERCENT) -> int:
     level = 0
-    while _bounds(level + 1) <= n:
+    while _bounds(level + 1, percent) <= n:
         level += 1
     return level
 
 
-def coarse_tokens(tokens: np.ndarray) -> tuple[np.ndarray, int]:
+def coarse_tokens(tokens: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, int]:
     """The coarse tokens of a set, and how many of them any set it links with must share."""
-    own = level_of(len(tokens))
+    own = level_of(len(tokens), percent)
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix64(tokens))])
     out, need = [], 255
     for level in (own, own + 1):
-        most, k, parts, ends = scheme(level)
+        most, k, parts, ends = scheme(level, percent)
         at = np.concatenate([[0], np.searchsorted(tokens, ends), [len(tokens)]])
         size = np.diff(at)
         part = mix64((sums[at[1:]] - sums[at[:-1]]) + size.astype(np.uint64))
@@ -173,14 +173,14 @@ def _pairs(n: int) -> tuple[np.ndarray, np.ndarray]:
     return both[:, 0], both[:, 1]
 
 
-def links(a: np.ndarray, b: np.ndarray) -> bool:
+def links(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
     """Whether two sets link."""
-    if min(len(a), len(b)) * 100 < PERCENT * max(len(a), len(b)) or not len(a) or not len(b):
+    if min(len(a), len(b)) * 100 < percent * max(len(a), len(b)) or not len(a) or not len(b):
         return False
     at = np.searchsorted(b, a)
     at[at == len(b)] = 0
     both = int((b[at] == a).sum())
-    return 100 * both >= PERCENT * (len(a) + len(b) - both)
+    return 100 * both >= percent * (len(a) + len(b) - both)
 
 
 def _pack(rows: np.ndarray) -> bytes:
@@ -200,7 +200,7 @@ def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(np.ascontiguousarray(x).view(np.int64))
 
 
-def _indexer(n_shards: int):
+def _indexer(n_shards: int, k: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
         seen: set[int] = set()
@@ -222,13 +222,13 @@ def _indexer(n_shards: int):
             raw, offsets = flat(batch.column(1))
             n, cls = [], []
             for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
-                tokens = shingles(word_hashes(raw[a:b]))
+                tokens = shingles(word_hashes(raw[a:b]), k)
                 key = set_key(tokens)
                 n.append(len(tokens))
                 cls.append(key - (1 << 64) if key >> 63 else key)
                 if len(tokens) and key not in seen:  # of equal sets one is indexed
                     seen.add(key)
-                    codes, need = coarse_tokens(tokens)
+                    codes, need = coarse_tokens(tokens, percent)
                     e = np.empty(len(codes), TOKEN)
                     e["token"], e["cls"], e["n"], e["need"] = codes, np.uint64(key), len(tokens), need
                     held.append(e)
@@ -255,7 +255,7 @@ def _batch(*columns) -> pa.RecordBatch:
 _LISTS = "a long, b long, token long, need int"
 
 
-def _list_tokens(table: pa.Table) -> pa.Table:
+def _list_tokens(table: pa.Table, percent: int) -> pa.Table:
     """The lists of a shard's tokens: pairs (a, b) to compare; and (token, a, need) for the lists of more than SHORT."""
     rows = np.concatenate([_unpack(x) for x in table.column("records").to_pylist()])
     rows = rows[np.lexsort((rows["cls"], rows["token"]))]
@@ -264,7 +264,7 @@ def _list_tokens(table: pa.Table) -> pa.Table:
     head = np.flatnonzero(np.r_[True, rows["token"][1:] != rows["token"][:-1]])
     count = np.diff(np.r_[head, len(rows)])
     pairs = []
-    fits = lambda i, j: np.minimum(rows["n"][i], rows["n"][j]).astype(np.int64) * 100 >= PERCENT * np.maximum(rows["n"][i], rows["n"][j]).astype(np.int64)
+    fits = lambda i, j: np.minimum(rows["n"][i], rows["n"][j]).astype(np.int64) * 100 >= percent * np.maximum(rows["n"][i], rows["n"][j]).astype(np.int64)
     for x in range(1, SHORT):
         for y in range(x):
             i = head[(count > x) & (count <= SHORT)]
@@ -285,29 +285,29 @@ def _list_tokens(table: pa.Table) -> pa.Table:
     })
 
 
-def _tokens_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _tokens_of(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
     """(cls, slots, text) to one row (a, part, cls, tokens) for each slot."""
     for batch in batches:
         raw, offsets = flat(batch.column(2))
         out: list[list] = [[], [], [], []]
-        for k, (cls, slots) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)):
-            tokens = shingles(word_hashes(raw[offsets[k] : offsets[k + 1]])).tobytes()
+        for i, (cls, slots) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)):
+            tokens = shingles(word_hashes(raw[offsets[i] : offsets[i + 1]]), k).tobytes()
             for s in slots:
                 for held, v in zip(out, (s["a"], s["part"], cls, tokens), strict=True):
                     held.append(v)
         yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int64()), pa.array(out[3], pa.binary())], ["a", "part", "cls", "tokens"])
 
 
-def _compare(table: pa.Table) -> pa.Table:
+def _compare(table: pa.Table, percent: int) -> pa.Table:
     """The links of one class with the partners dealt to this slot."""
     a = table.column("a")[0].as_py()
     sets = dict(zip(table.column("cls").to_pylist(), (np.frombuffer(x, np.uint64) for x in table.column("tokens").to_pylist()), strict=True))
     own = sets.pop(a, None)
-    hit = [c for c, s in sets.items() if own is not None and links(own, s)]
+    hit = [c for c, s in sets.items() if own is not None and links(own, s, percent)]
     return pa.table({"a": pa.array([a] * len(hit), pa.int64()), "b": pa.array(hit, pa.int64())})
 
 
-def _verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame) -> DataFrame:
+def _verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
     """Those of the pairs (a, b) of classes whose sets link. Each text that takes part is read once."""
     pairs = materialise(pairs.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
     parts = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / PARTNERS).alias("parts"))
@@ -320,25 +320,25 @@ def _verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame) -> DataFrame:
     d, w = docs.alias("d"), where.alias("w")
     same = (F.col("d.text_hash") == F.col("w.text_hash")) & F.col("d.doc_id").eqNullSafe(F.col("w.doc_id"))
     texts = w.join(d, same).select("w.cls", "w.slots", "d.text")
-    sets = texts.mapInArrow(_tokens_of, "a long, part long, cls long, tokens binary")
-    return sets.groupBy("a", "part").applyInArrow(_compare, "a long, b long")
+    sets = texts.mapInArrow(lambda batches: _tokens_of(batches, k), "a long, part long, cls long, tokens binary")
+    return sets.groupBy("a", "part").applyInArrow(lambda table: _compare(table, percent), "a long, b long")
 
 
-def jaccard_components(docs: DataFrame) -> DataFrame:
+def jaccard_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, and cls, the class of equal sets it is in."""
     small_batches(docs.sparkSession)
     base = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     base = base.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
     size = base.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_shards = max(4, size // SHARD_BYTES)
-    index = materialise(base.select("doc_id", "text", "text_hash").mapInArrow(_indexer(n_shards), _INDEX), "index")
+    index = materialise(base.select("doc_id", "text", "text_hash").mapInArrow(_indexer(n_shards, k, percent), _INDEX), "index")
     members = index.filter("shard IS NULL").select("doc_id", "text_hash", "n", "cls")
-    lists = materialise(index.filter("shard IS NOT NULL").select("shard", "records").groupBy("shard").applyInArrow(_list_tokens, _LISTS), "lists")
+    lists = materialise(index.filter("shard IS NOT NULL").select("shard", "records").groupBy("shard").applyInArrow(lambda table: _list_tokens(table, percent), _LISTS), "lists")
     reps = members.filter("n > 0").groupBy("cls").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("r"))
     reps = materialise(reps.select("cls", "r.doc_id", "r.text_hash"), "classes")
 
     # 1. Groups.
-    found = materialise(_verified(lists.filter("token IS NULL").select("a", "b"), reps, base), "near")
+    found = materialise(_verified(lists.filter("token IS NULL").select("a", "b"), reps, base, k, percent), "near")
     groups = components(found)
     # 2. The matrix, over lists that reach into more than one group.
     long_ = lists.filter("token IS NOT NULL").select("token", F.col("a").alias("cls"), "need")
@@ -358,7 +358,7 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
         # 3. Members of opened groups that share a token with the query.
         asks = rows.select("token", F.col("cls").alias("q")).join(opened, "q")
         pairs = asks.join(rows.select("token", "grp", F.col("cls").alias("x")), ["token", "grp"]).select(F.col("q").alias("a"), F.col("x").alias("b")).distinct()
-        more = materialise(_verified(pairs, reps, base), "near")
+        more = materialise(_verified(pairs, reps, base, k, percent), "near")
         if more.take(1):
             found = found.unionByName(more)
             groups = components(found)
@@ -370,13 +370,13 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     )
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
+def keep_one(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """docs with one document of each component, the one of smallest id; columns as they were.
 
     Documents without shingles all stay; of a component of null ids, and of rows that repeat id and text, all rows of
     the winning text stay.
     """
-    rows = jaccard_components(docs)
+    rows = jaccard_components(docs, k, percent)
     stay = rows.filter("n_shingles = 0 OR doc_id <=> component_id").select("doc_id", "text_hash").distinct()
     d, k = docs.alias("d"), materialise(stay, "stay").alias("k")
     same = (F.xxhash64(F.coalesce("d.text", F.lit(""))) == F.col("k.text_hash")) & F.col("d.doc_id").eqNullSafe(F.col("k.doc_id"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import byte_bpe, exact_dedup, language_id, ngram_jaccard, packing, quality_rules, substring_dedup, toxicity
+from tessera.llm import byte_bpe, exact_dedup, language_id, ngram_jaccard, packing, quality_mil, quality_rules, secret_scan, substring_dedup, toxicity
 
 
 def _docs(spark: SparkSession, sf: str) -> DataFrame:
@@ -36,6 +36,14 @@ def op6_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return quality_rules.quality_verdicts(_docs(spark, sf))
 
 
+def op7_quality_mil(spark: SparkSession, sf: str) -> DataFrame:
+    return quality_mil.quality(_docs(spark, sf), spark.read.parquet(f"{sf}/labels.parquet"))
+
+
+def op8_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
+    return secret_scan.scan(_docs(spark, sf), secret_scan.train(spark))
+
+
 def op9_ngram_jaccard(spark: SparkSession, sf: str) -> DataFrame:
     return ngram_jaccard.jaccard_components(_docs(spark, sf)).select("doc_id", "n_shingles", "component_id")
 
@@ -51,6 +59,8 @@ QUERIES = {
     "op4_language_id": op4_language_id,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_quality_rules": op6_quality_rules,
+    "op7_quality_mil": op7_quality_mil,
+    "op8_secret_scan": op8_secret_scan,
     "op9_ngram_jaccard": op9_ngram_jaccard,
     "op10_substring_dedup": op10_substring_dedup,
 }

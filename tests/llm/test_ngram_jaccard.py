@@ -36,14 +36,14 @@ def brute(rows):
 
 
 @settings(max_examples=300, deadline=None)
-@given(st.integers(1, 400), st.integers(0, 60), st.integers(0, 60), st.integers(0, 10**6))
-def test_linking_sets_share_the_coarse_tokens_they_need(n, lost, won, seed):
+@given(st.integers(1, 400), st.integers(0, 60), st.integers(0, 60), st.integers(0, 10**6), st.sampled_from([80, 85]))
+def test_linking_sets_share_the_coarse_tokens_they_need(n, lost, won, seed, percent):
     rng = np.random.default_rng(seed)
     a = np.unique(rng.integers(0, 2**64, n, dtype=np.uint64))
     b = np.unique(np.concatenate([a[min(lost, n - 1) :], rng.integers(0, 2**64, won, dtype=np.uint64)]))
-    if J.links(a, b):
-        x, need_a = J.coarse_tokens(a)
-        y, need_b = J.coarse_tokens(b)
+    if J.links(a, b, percent):
+        x, need_a = J.coarse_tokens(a, percent)
+        y, need_b = J.coarse_tokens(b, percent)
         assert len(np.intersect1d(x, y)) >= max(need_a, need_b) >= 1
 
 
@@ -81,3 +81,12 @@ def test_chain_and_empty(spark):
     got = J.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {r.component_id for r in got} == {81}
     assert J.jaccard_components(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_keep_one_takes_five_words_and_four_fifths(spark):
+    base = [f"w{i}" for i in range(100)]
+    near = base[:90] + [f"x{i}" for i in range(10)]  # 86 of 106 shingles
+    far = base[:80] + [f"y{i}" for i in range(20)]
+    rows = [(3, " ".join(near), "k"), (1, " ".join(base), "k"), (7, " ".join(far), "k"), (8, None, "k"), (9, "", None)]
+    out = J.keep_one(spark.createDataFrame(rows, "doc_id long, text string, source string"))
+    assert out.columns == ["doc_id", "text", "source"] and sorted(r.doc_id for r in out.collect()) == [1, 7, 8, 9]
