@@ -47,8 +47,8 @@ SMALL = 40
 #: A list of no more classes than this has all its pairs compared at once.
 SHORT = 3
 BLOCK = 1 << 19
-GATHER = 32 << 20
-SHARD_BYTES = 16 << 20
+GATHER = 16 << 20
+SHARD_BYTES = 4 << 20
 #: Partners of one class that a task compares.
 PARTNERS = 400
 
@@ -257,11 +257,16 @@ _LISTS = "a long, b long, token long, need int"
 
 def _list_tokens(table: pa.Table, percent: int) -> pa.Table:
     """The lists of a shard's tokens: pairs (a, b) to compare; and (token, a, need) for the lists of more than SHORT."""
-    rows = np.concatenate([_unpack(x) for x in table.column("records").to_pylist()])
+    rows = np.concatenate([_unpack(x.as_py()) for x in table.column("records")])
+    # Most tokens stand alone: only those that repeat are put in full order.
+    order = np.argsort(rows["token"], kind="stable")
+    token = rows["token"][order]
+    same = token[1:] == token[:-1]
+    repeats = np.concatenate([[False], same]) | np.concatenate([same, [False]])
+    rows = rows[order[repeats]]
     rows = rows[np.lexsort((rows["cls"], rows["token"]))]
-    first = np.r_[True, (rows["token"][1:] != rows["token"][:-1]) | (rows["cls"][1:] != rows["cls"][:-1])]
-    rows = rows[first]
-    head = np.flatnonzero(np.r_[True, rows["token"][1:] != rows["token"][:-1]])
+    rows = rows[np.r_[True, (rows["token"][1:] != rows["token"][:-1]) | (rows["cls"][1:] != rows["cls"][:-1])]] if len(rows) else rows
+    head = np.flatnonzero(np.r_[True, rows["token"][1:] != rows["token"][:-1]]) if len(rows) else np.zeros(0, np.int64)
     count = np.diff(np.r_[head, len(rows)])
     pairs = []
     fits = lambda i, j: np.minimum(rows["n"][i], rows["n"][j]).astype(np.int64) * 100 >= percent * np.maximum(rows["n"][i], rows["n"][j]).astype(np.int64)
