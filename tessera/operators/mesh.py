@@ -46,7 +46,8 @@ def unique_faces(faces: DataFrame) -> DataFrame:
     d = faces.select("mesh", t.alias("t")).distinct()
     used = d.select("mesh", F.explode("t").alias("v")).distinct().withColumn("n", F.dense_rank().over(W.partitionBy("mesh").orderBy("v")) - 1)
     for k in range(3):
-        d = d.join(used.select("mesh", F.col("v").alias(f"__{k}"), F.col("n").cast("long").alias(f"v{k}")), (d.mesh == used.mesh) & (d.t[k] == F.col(f"__{k}"))).select(d.mesh, d.t, *[F.col(f"v{j}") for j in range(k + 1)])
+        dense = used.select("mesh", F.col("v").alias("old"), F.col("n").cast("long").alias(f"v{k}"))
+        d = d.withColumn("old", F.col("t")[k]).join(dense, ["mesh", "old"]).drop("old")
     return d.drop("t")
 
 
