@@ -35,7 +35,8 @@ from tessera.llm.common import blocks, bounded_sample, crc_mod, flat, small_batc
 BITS = 18
 DECAY = 0.8
 WIDTH = 10
-PAD = 8
+#: Blanks around texts: more than a window and a subsequence reach, so that neighbours never meet.
+PAD, REACH = 16, 8
 #: Documents of each label that the machine learns from, in expectation.
 SAMPLE = 1200
 LANDMARKS, PLAIN = 288, 32
@@ -76,7 +77,7 @@ def _hashed(a, b, c, d) -> np.ndarray:
 
 def features(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
     """The hashed subsequences of one string and their weights."""
-    s = np.concatenate([SYMBOLS[np.frombuffer(raw, np.uint8)], np.zeros(PAD, np.uint8)]).astype(np.uint32)
+    s = np.concatenate([SYMBOLS[np.frombuffer(raw, np.uint8)], np.zeros(REACH, np.uint8)]).astype(np.uint32)
     n = len(raw)
     idx = [_hashed(s[:n], s[i : i + n], s[j : j + n], s[k : k + n]) for i, j, k in STEPS]
     w = [np.full(n, DECAY ** int(k - 3), np.float32) for _, _, k in STEPS]
@@ -84,11 +85,11 @@ def features(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 
 def padded(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The symbols of all texts in one array, each followed by PAD blanks; and where each starts, and the end."""
+    """The symbols of all texts in one array with PAD blanks around each; and where each starts, and the end."""
     n = np.diff(offsets)
-    starts = offsets + PAD * np.arange(len(offsets))
+    starts = offsets + PAD * np.arange(1, len(offsets) + 1)
     out = np.zeros(int(starts[-1]), np.uint8)
-    to = np.arange(len(raw)) + np.repeat(PAD * np.arange(len(n)), n)
+    to = np.arange(len(raw)) + np.repeat(PAD * np.arange(1, len(n) + 1), n)
     out[to] = SYMBOLS[raw]
     return out, starts
 
@@ -96,7 +97,7 @@ def padded(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
 def responses(symbols: np.ndarray, weights: np.ndarray) -> np.ndarray:
     """The summed weights of the subsequences that start in each window of WIDTH symbols."""
     s = symbols.astype(np.uint32)
-    n = len(s) - PAD
+    n = len(s) - REACH
     if n <= 0:
         return np.zeros(0, np.float32)
     total = np.zeros(n, np.float32)
@@ -137,16 +138,17 @@ def _block(raw: np.ndarray, offsets: np.ndarray, model: Model, left: int = 0, ow
     r = responses(symbols, model.weights)
     n = len(offsets) - 1
     out = np.zeros((n, 1 + len(model.levels)))
-    stop = len(r) if own is None else min(len(r), left + own)
+    low = PAD + left if left else 0
+    stop = len(symbols) if own is None else PAD + left + own
     rises = [np.flatnonzero((symbols[1:] > 0) & (symbols[:-1] == 0)) + 1]
-    if len(symbols) and symbols[0]:
-        rises[0] = np.concatenate([[0], rises[0]])
     for level in model.levels:
         up = r > level
         rises.append(np.flatnonzero(up & ~np.concatenate([[False], up[:-1]])))
     for k, at in enumerate(rises):
-        at = at[(at >= left) & (at < stop)]
-        out[:, k] = np.bincount(np.searchsorted(starts, at, side="right") - 1, minlength=n)[:n]
+        at = at[(at >= low) & (at < stop)]
+        # A window that starts WIDTH before a text can only hold that text.
+        of = np.searchsorted(starts - WIDTH, at, side="right") - 1
+        out[:, k] = np.bincount(of[of >= 0], minlength=n)[:n]
     return out
 
 
@@ -269,6 +271,8 @@ def fit(texts: list[str], labels: np.ndarray, seed: int = 5) -> Model:
         w = svm(z[use], y[use], cost[use])
     table = np.zeros(size, np.float32)
     table[used] = phi @ (root @ w[:-1])
+    nothing = np.zeros(1, np.uint32)
+    table[_hashed(nothing, nothing, nothing, nothing)] = 0  # blanks alone say nothing
 
     # Levels: from the windows of the training documents; then the documents' own regression.
     raw = np.frombuffer("".join(texts).encode(), np.uint8)
