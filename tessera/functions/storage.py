@@ -24,14 +24,29 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_folder(spark)}/tessera-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     _written.append((spark, path))
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._tessera_path = path
+    return out
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete the files of tables from materialise() that nothing will read any more."""
+    for df in frames:
+        path = getattr(df, "_tessera_path", None)
+        if path:
+            _delete(df.sparkSession, path)
+            _written.remove((df.sparkSession, path))
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
 @atexit.register
 def _clean() -> None:
     for spark, path in _written:
         try:
-            p = spark._jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+            _delete(spark, path)
         except Exception:  # noqa: BLE001  the session may be gone already
             return

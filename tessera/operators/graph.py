@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.storage import materialise
+from tessera.functions.storage import discard, materialise
 
 
 def components(links: DataFrame, rounds: int = 60) -> DataFrame:
@@ -25,7 +25,8 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
         large = both.join(least, "u").filter("v > u").select(F.col("m").alias("lo"), F.col("v").alias("hi")).filter("lo < hi").distinct()
         low = large.groupBy("hi").agg(F.min("lo").alias("m"))
         small = large.join(low, "hi").select(F.col("m").alias("lo"), F.explode(F.array("lo", "hi")).alias("hi")).filter("lo < hi").distinct()
-        edges = materialise(small, "links")
+        edges, old = materialise(small, "links"), edges
+        discard(old)
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("lo", "hi").cast("decimal(38,0)"))).first()
         if now == before or not now[0]:
             break
