@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import atexit
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,11 +10,12 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: The characters that separate words in every contract here: space and 0x09-0x0D.
-WS = " \t\n\x0b\x0c\r"
+from tessera.functions.storage import materialise
 
-_written: list[tuple[SparkSession, str]] = []
+__all__ = ["WS", "blocks", "bounded_sample", "crc_mod", "flat", "materialise", "mix64", "small_batches"]
 
+#: The characters that separate words in every contract here: space and 0x09-0x0D.
+WS = " \t\n\x0b\x0c\r"
 
 def small_batches(spark: SparkSession, rows: int = 500) -> None:
     """Bound the rows of one Arrow batch, so that a Python worker holds a few MB of text at a time."""
@@ -54,34 +53,6 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; one under the warehouse where that is unset, as in tests."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/.shared"
-    return folder.rstrip("/")
-
-
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write df as Parquet in the shared folder and read it back: cuts lineage and survives lost executors."""
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/tessera-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    _written.append((spark, path))
-    return spark.read.schema(df.schema).parquet(path)
-
-
-@atexit.register
-def _clean() -> None:
-    for spark, path in _written:
-        try:
-            jvm = spark._jvm
-            p = jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
-        except Exception:  # noqa: BLE001  the session may be gone already
-            return
-
-
 def crc_mod(column: Column, m: int) -> Column:
     """crc32 of the id as text, modulo m; a null id counts as the empty text."""
     return F.crc32(F.coalesce(column.cast("string"), F.lit(""))) % m

@@ -11,13 +11,15 @@ has so many that they could be all it shares. So no frequent word, line or passa
 shared only where everything in its range agrees.
 
 Token-group matrix.
-1. Groups: in each token's list every class is compared with the list's first; links that hold make groups of similar
-   documents.
+1. Groups: from each token's list come pairs of a class with the list's first. A class is compared with the one that it
+   meets most often, and links that hold make groups of similar documents; the pairs that still join different groups
+   are compared next.
 2. The matrix holds each group's union of tokens, as (token, group). A query's overlap with a group's union bounds its
    overlap with every member, so only groups that share enough tokens with it are opened.
 3. In an opened group the members that share a token with the query are compared exactly.
 Lists whose classes are all in one group need no more work, which is what becomes of large groups of near copies: no
-list is ever expanded to all its pairs. Comparisons with one class are dealt to as many tasks as it has partners.
+list is ever expanded to all its pairs. Comparisons with one class are dealt to as many tasks as it has partners. The
+texts of classes that share a token are written once; the full table is shuffled once for that.
 
 Edge cases: null and empty texts, and texts of blanks, have no shingles and link with nothing; a text of one to three
 words is one shingle; repeated rows link like other copies; a null id is nobody's component (a component of only null
@@ -36,8 +38,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import flat, materialise, mix64, small_batches
-from tessera.llm.components import components
+from tessera.functions.storage import discard, materialise
+from tessera.llm.common import flat, mix64, small_batches
+from tessera.operators.graph import components
 
 SHINGLE = 4
 #: The threshold: 100 * intersection >= PERCENT * union.
@@ -184,18 +187,36 @@ def links(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
 
 
 def _pack(rows: np.ndarray) -> bytes:
-    return np.int64(len(rows)).tobytes() + b"".join(np.ascontiguousarray(rows[f]).tobytes() for f in TOKEN.names)
+    """Field by field; of a token the upper 40 bits: the lower ones have dealt it, and a chance match is only compared in vain."""
+    top = rows["token"] >> np.uint64(24)
+    planes = [(top >> np.uint64(32)).astype(np.uint8), top.astype(np.uint32), rows["cls"], rows["n"], rows["need"]]
+    return np.int64(len(rows)).tobytes() + b"".join(np.ascontiguousarray(x).tobytes() for x in planes)
 
 
 def _unpack(data: bytes) -> np.ndarray:
     n, at = int(np.frombuffer(data, "<i8", 1)[0]), 8
     rows = np.empty(n, TOKEN)
-    for f in TOKEN.names:
+    rows["token"] = np.frombuffer(data, np.uint8, n, at).astype(np.uint64) << np.uint64(32) | np.frombuffer(data, "<u4", n, at + n)
+    at += 5 * n
+    for f in TOKEN.names[1:]:
         rows[f] = np.frombuffer(data, TOKEN[f], n, at)
         at += n * TOKEN[f].itemsize
     return rows
 
 
+def pack_set(tokens: np.ndarray) -> bytes:
+    """A sorted set by the upper 48 bits of its tokens, byte plane by byte plane, the highest first."""
+    return b"".join((tokens >> np.uint64(8 * k)).astype(np.uint8).tobytes() for k in range(7, 1, -1))
+
+
+def unpack_set(data: bytes) -> np.ndarray:
+    n = len(data) // 6
+    out = np.zeros(n, np.uint64)
+    for k in range(6):
+        out = out << np.uint64(8) | np.frombuffer(data, np.uint8, n, k * n)
+    return out
+
+
 def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(np.ascontiguousarray(x).view(np.int64))
 
@@ -233,8 +254,8 @@ def _indexer(n_shards: int, k: int, percent: int):
                     e["token"], e["cls"], e["n"], e["need"] = codes, np.uint64(key), len(tokens), need
                     held.append(e)
                     size += b - a
-            none = [None] * len(n)
-            yield _batch(batch.column(0).to_pylist(), batch.column(2).to_pylist(), n, cls, none, none)
+            lot = -1 - (cls[0] if cls else 0) % n_shards  # passes through any shard's task
+            yield _batch(batch.column(0).to_pylist(), batch.column(2).to_pylist(), n, cls, [lot] * len(n), [None] * len(n))
             if size >= GATHER:
                 yield from flush()
                 held, size = [], 0
@@ -252,11 +273,23 @@ def _batch(*columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], [x.split()[0] for x in _INDEX.split(", ")])
 
 
-_LISTS = "a long, b long, token long, need int"
+_LISTS = "a long, b long, met int, token long, need int, doc_id long, text_hash long, n long, cls long"
+
+
+def _columns(rows: int, **columns) -> pa.Table:
+    """A table of _LISTS with the given columns and nulls in the others."""
+    kinds = {"long": pa.int64(), "int": pa.int32()}
+    names = [x.split() for x in _LISTS.split(", ")]
+    return pa.table({k: columns[k].cast(kinds[t]) if k in columns else pa.nulls(rows, kinds[t]) for k, t in names})
 
 
 def _list_tokens(table: pa.Table, percent: int) -> pa.Table:
-    """The lists of a shard's tokens: pairs (a, b) to compare; and (token, a, need) for the lists of more than SHORT."""
+    """Of a shard's tokens: pairs (a, b, met), how often the first of a list met a member (all pairs of short lists);
+    (token, cls, need) of the lists of more than SHORT; and (cls) of all classes in lists. Documents' rows pass through.
+    """
+    if table.num_rows and table.column("shard")[0].as_py() < 0:
+        own = {c: table.column(c).combine_chunks() for c in ("doc_id", "text_hash", "n", "cls")}
+        return _columns(table.num_rows, **own)
     rows = np.concatenate([_unpack(x.as_py()) for x in table.column("records")])
     # Most tokens stand alone: only those that repeat are put in full order.
     order = np.argsort(rows["token"], kind="stable")
@@ -269,25 +302,22 @@ def _list_tokens(table: pa.Table, percent: int) -> pa.Table:
     head = np.flatnonzero(np.r_[True, rows["token"][1:] != rows["token"][:-1]]) if len(rows) else np.zeros(0, np.int64)
     count = np.diff(np.r_[head, len(rows)])
     pairs = []
-    fits = lambda i, j: np.minimum(rows["n"][i], rows["n"][j]).astype(np.int64) * 100 >= percent * np.maximum(rows["n"][i], rows["n"][j]).astype(np.int64)
     for x in range(1, SHORT):
         for y in range(x):
             i = head[(count > x) & (count <= SHORT)]
             pairs.append((i + y, i + x))
-    long_ = count > SHORT
-    inside = np.repeat(long_, count)
-    member = np.flatnonzero(inside)
+    member = np.flatnonzero(np.repeat(count > SHORT, count))
     centre = np.repeat(head, count)[member]
     pairs.append((centre[member != centre], member[member != centre]))
     i, j = (np.concatenate([p[k] for p in pairs]) for k in (0, 1))
-    ok = fits(i, j)
-    both = np.unique(np.stack([rows["cls"][i[ok]], rows["cls"][j[ok]]], 1), axis=0) if ok.any() else np.zeros((0, 2), np.uint64)
+    n = rows["n"].astype(np.int64)
+    ok = np.minimum(n[i], n[j]) * 100 >= percent * np.maximum(n[i], n[j])
+    both, met = np.unique(np.stack([rows["cls"][i[ok]], rows["cls"][j[ok]]], 1), axis=0, return_counts=True) if ok.any() else (np.zeros((0, 2), np.uint64), np.zeros(0, np.int64))
     kept = rows[member]
-    return pa.table({
-        "a": pa.concat_arrays([_signed(both[:, 0]), _signed(kept["cls"])]), "b": pa.concat_arrays([_signed(both[:, 1]), pa.nulls(len(kept), pa.int64())]),
-        "token": pa.concat_arrays([pa.nulls(len(both), pa.int64()), _signed(kept["token"])]),
-        "need": pa.concat_arrays([pa.nulls(len(both), pa.int32()), pa.array(kept["need"].astype(np.int32))]),
-    })
+    return pa.concat_tables([
+        _columns(len(both), a=_signed(both[:, 0]), b=_signed(both[:, 1]), met=pa.array(met)),
+        _columns(len(kept), token=_signed(kept["token"]), a=_signed(kept["cls"]), need=pa.array(kept["need"].astype(np.int32))),
+    ])
 
 
 def _tokens_of(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
@@ -296,9 +326,9 @@ def _tokens_of(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordB
         raw, offsets = flat(batch.column(2))
         out: list[list] = [[], [], [], []]
         for i, (cls, slots) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)):
-            tokens = shingles(word_hashes(raw[offsets[i] : offsets[i + 1]]), k).tobytes()
+            packed = pack_set(shingles(word_hashes(raw[offsets[i] : offsets[i + 1]]), k))
             for s in slots:
-                for held, v in zip(out, (s["a"], s["part"], cls, tokens), strict=True):
+                for held, v in zip(out, (s["a"], s["part"], cls, packed), strict=True):
                     held.append(v)
         yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int64()), pa.array(out[3], pa.binary())], ["a", "part", "cls", "tokens"])
 
@@ -306,27 +336,26 @@ def _tokens_of(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordB
 def _compare(table: pa.Table, percent: int) -> pa.Table:
     """The links of one class with the partners dealt to this slot."""
     a = table.column("a")[0].as_py()
-    sets = dict(zip(table.column("cls").to_pylist(), (np.frombuffer(x, np.uint64) for x in table.column("tokens").to_pylist()), strict=True))
+    sets = dict(zip(table.column("cls").to_pylist(), (unpack_set(x) for x in table.column("tokens").to_pylist()), strict=True))
     own = sets.pop(a, None)
     hit = [c for c, s in sets.items() if own is not None and links(own, s, percent)]
     return pa.table({"a": pa.array([a] * len(hit), pa.int64()), "b": pa.array(hit, pa.int64())})
 
 
-def _verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """Those of the pairs (a, b) of classes whose sets link. Each text that takes part is read once."""
-    pairs = materialise(pairs.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
+def _verified(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+    """Those of the distinct pairs (a, b) of classes whose sets link. texts: (cls, text) of the classes that take part."""
+    pairs = materialise(pairs.select("a", "b"), "pairs")
     parts = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / PARTNERS).alias("parts"))
     slots = pairs.join(parts, "a").withColumn("part", F.pmod(F.xxhash64("b"), F.col("parts")))
     owners = parts.select("a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
     needs = slots.select(F.col("b").alias("cls"), "a", "part").unionByName(owners.select(F.col("a").alias("cls"), "a", "part"))
     # A class of very many slots is spread over rows of bounded length.
     needs = needs.groupBy("cls", F.floor(F.col("part") / 64).alias("lot")).agg(F.collect_list(F.struct("a", "part")).alias("slots"))
-    where = materialise(needs.join(reps, "cls").select("cls", "slots", "doc_id", "text_hash"), "needs")
-    d, w = docs.alias("d"), where.alias("w")
-    same = (F.col("d.text_hash") == F.col("w.text_hash")) & F.col("d.doc_id").eqNullSafe(F.col("w.doc_id"))
-    texts = w.join(d, same).select("w.cls", "w.slots", "d.text")
-    sets = texts.mapInArrow(lambda batches: _tokens_of(batches, k), "a long, part long, cls long, tokens binary")
-    return sets.groupBy("a", "part").applyInArrow(lambda table: _compare(table, percent), "a long, b long")
+    rows = needs.join(texts, "cls").select("cls", "slots", "text")
+    sets = rows.mapInArrow(lambda batches: _tokens_of(batches, k), "a long, part long, cls long, tokens binary")
+    links_ = materialise(sets.groupBy("a", "part").applyInArrow(lambda table: _compare(table, percent), "a long, b long"), "near")
+    discard(pairs)
+    return links_
 
 
 def jaccard_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -336,19 +365,35 @@ def jaccard_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT
     base = base.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
     size = base.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_shards = max(4, size // SHARD_BYTES)
-    index = materialise(base.select("doc_id", "text", "text_hash").mapInArrow(_indexer(n_shards, k, percent), _INDEX), "index")
-    members = index.filter("shard IS NULL").select("doc_id", "text_hash", "n", "cls")
-    lists = materialise(index.filter("shard IS NOT NULL").select("shard", "records").groupBy("shard").applyInArrow(lambda table: _list_tokens(table, percent), _LISTS), "lists")
+    index = base.select("doc_id", "text", "text_hash").mapInArrow(_indexer(n_shards, k, percent), _INDEX)
+    lists = materialise(index.groupBy("shard").applyInArrow(lambda table: _list_tokens(table, percent), _LISTS), "lists")
+    members = lists.filter("n IS NOT NULL").select("doc_id", "text_hash", "n", "cls")
     reps = members.filter("n > 0").groupBy("cls").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("r"))
     reps = materialise(reps.select("cls", "r.doc_id", "r.text_hash"), "classes")
 
-    # 1. Groups.
-    found = materialise(_verified(lists.filter("token IS NULL").select("a", "b"), reps, base, k, percent), "near")
+    pairs = lists.filter("met IS NOT NULL").groupBy("a", "b").agg(F.sum("met").alias("met"))
+    pairs = materialise(pairs, "pairs")
+    long_ = lists.filter("token IS NOT NULL").select("token", F.col("a").alias("cls"), "need")
+    active = pairs.select(F.explode(F.array("a", "b")).alias("cls")).unionByName(long_.select("cls")).distinct()
+    where = materialise(active.join(reps, "cls"), "active")
+    d, w = base.alias("d"), where.alias("w")
+    same = (F.col("d.text_hash") == F.col("w.text_hash")) & F.col("d.doc_id").eqNullSafe(F.col("w.doc_id"))
+    texts = materialise(d.join(w, same).select("w.cls", "d.text"), "texts")
+    discard(where)
+
+    # 1. Groups: each class with the one it met most, then what still joins different groups.
+    best = pairs.groupBy("b").agg(F.max_by("a", F.struct("met", -F.col("a").cast("decimal(20,0)"))).alias("a")).select("a", "b")
+    found = _verified(best, texts, k, percent)
     groups = components(found)
+    to = groups.select(F.col("key").alias("b"), F.col("root").alias("rb"))
+    left = pairs.join(groups.select(F.col("key").alias("a"), F.col("root").alias("ra")), "a", "left").join(to, "b", "left")
+    left = left.filter(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b").join(best, ["a", "b"], "left_anti")
+    more = _verified(left, texts, k, percent)
+    if more.take(1):
+        found = found.unionByName(more)
+        groups = components(found)
     # 2. The matrix, over lists that reach into more than one group.
-    long_ = lists.filter("token IS NOT NULL").select("token", F.col("a").alias("cls"), "need")
     rows = long_.join(groups, long_.cls == groups.key, "left").select("token", "cls", "need", F.coalesce("root", "cls").alias("grp"))
-    rows = materialise(rows, "rows")
     several = rows.groupBy("token").agg(F.min("grp").alias("x"), F.max("grp").alias("y")).filter("x <> y").select("token")
     rows = materialise(rows.join(several, "token"), "rows")
     if rows.take(1):
@@ -356,17 +401,16 @@ def jaccard_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT
         sizes = rows.select("grp", "cls").distinct().groupBy("grp").agg(F.count(F.lit(1)).alias("size"))
         # The smaller group asks, the larger one answers: one of the two directions is enough.
         asks = rows.join(sizes, "grp").select("token", F.col("cls").alias("q"), "need", F.col("grp").alias("own"), F.col("size").alias("own_size"))
-        to = matrix.join(sizes, "grp")
-        overlap = asks.join(to, "token").filter("own <> grp AND (own_size < size OR (own_size = size AND own < grp))")
+        overlap = asks.join(matrix.join(sizes, "grp"), "token").filter("own <> grp AND (own_size < size OR (own_size = size AND own < grp))")
         bound = overlap.groupBy("q", "grp").agg(F.count(F.lit(1)).alias("shared"), F.max("need").alias("need")).filter("shared >= need")
         opened = materialise(bound.select("q", "grp"), "opened")
         # 3. Members of opened groups that share a token with the query.
         asks = rows.select("token", F.col("cls").alias("q")).join(opened, "q")
-        pairs = asks.join(rows.select("token", "grp", F.col("cls").alias("x")), ["token", "grp"]).select(F.col("q").alias("a"), F.col("x").alias("b")).distinct()
-        more = materialise(_verified(pairs, reps, base, k, percent), "near")
-        if more.take(1):
-            found = found.unionByName(more)
-            groups = components(found)
+        inside = asks.join(rows.select("token", "grp", F.col("cls").alias("x")), ["token", "grp"]).select(F.least("q", "x").alias("a"), F.greatest("q", "x").alias("b")).distinct()
+        last = _verified(inside, texts, k, percent)
+        if last.take(1):
+            groups = components(found.unionByName(last))
+    discard(texts, pairs, rows)
     root = reps.join(groups, reps.cls == groups.key, "left").select("cls", F.coalesce("root", "cls").alias("root"), "doc_id")
     least = root.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     label = root.join(least, "root").select("cls", "component_id")
