@@ -46,10 +46,10 @@ def job_id(row_number: Column, *fields: Column) -> Column:
 
 
 def human_bytes(n: Column) -> Column:
-    """The largest unit of 1024 steps with one decimal; bytes as they are."""
+    """The largest unit of 1024 steps with one decimal, half to even; bytes as they are."""
     x, out = n.cast("double"), F.format_string("%d B", n.cast("long"))
     for k, unit in enumerate(("KiB", "MiB", "GiB", "TiB"), 1):
-        out = F.when(x >= 1024.0**k, F.format_string(f"%.1f {unit}", x / 1024.0**k)).otherwise(out)
+        out = F.when(x >= 1024.0**k, F.format_string(f"%.1f {unit}", F.rint(x / 1024.0**k * 10) / 10)).otherwise(out)
     return out
 
 

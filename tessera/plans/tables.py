@@ -154,7 +154,7 @@ def safe_name(spark, sf):
     return table(spark, sf, "part").select(F.col("p_partkey").alias("id"), N.safe_name(F.concat("p_name", F.lit(" #"), "p_brand", F.lit("."))).alias("safe"))
 
 
-@query("SELECT o_orderkey AS id, CASE WHEN n >= 1073741824 THEN printf('%.1f GiB', n / 1073741824.0) WHEN n >= 1048576 THEN printf('%.1f MiB', n / 1048576.0) WHEN n >= 1024 THEN printf('%.1f KiB', n / 1024.0) ELSE printf('%d B', n) END AS size FROM (SELECT o_orderkey, CAST(floor(o_totalprice) AS BIGINT) * (o_orderkey % 5000 + 1) AS n FROM orders)")
+@query("SELECT o_orderkey AS id, CASE WHEN n >= 1073741824 THEN printf('%.1f GiB', round_even(n / 1073741824.0::DOUBLE * 10, 0) / 10) WHEN n >= 1048576 THEN printf('%.1f MiB', round_even(n / 1048576.0::DOUBLE * 10, 0) / 10) WHEN n >= 1024 THEN printf('%.1f KiB', round_even(n / 1024.0::DOUBLE * 10, 0) / 10) ELSE printf('%d B', n) END AS size FROM (SELECT o_orderkey, CAST(floor(o_totalprice) AS BIGINT) * (o_orderkey % 5000 + 1) AS n FROM orders)")
 def human_bytes(spark, sf):
     n = F.floor("o_totalprice") * (F.col("o_orderkey") % 5000 + 1)
     return table(spark, sf, "orders").select(F.col("o_orderkey").alias("id"), N.human_bytes(n).alias("size"))
