@@ -24,6 +24,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -31,14 +32,16 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from tessera.llm.common import small_batches
+from tessera.llm.common import WS, small_batches
 
 LEAF = 8192
 MARGIN = 3
 #: Bytes of a pre-token below which merges are done directly.
 PIECE_LEAF = 48
 #: Pre-tokens that a worker remembers.
-MEMO = 200_000
+MEMO = 700_000
+#: Larger than any rank.
+NEVER = 1 << 62
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -50,15 +53,19 @@ def load_ranks(path: str) -> dict[bytes, int]:
 def merge_leaf(data: bytes, ranks: dict[bytes, int]) -> list[bytes]:
     """Merge the adjacent pair of lowest rank, leftmost first, until none has a rank."""
     parts = [data[i : i + 1] for i in range(len(data))]
-    while len(parts) > 1:
-        best, at = None, -1
-        for i in range(len(parts) - 1):
-            r = ranks.get(parts[i] + parts[i + 1])
-            if r is not None and (best is None or r < best):
-                best, at = r, i
-        if best is None:
+    rank = ranks.get
+    pairs = [rank(data[i : i + 2], NEVER) for i in range(len(data) - 1)]
+    while pairs:
+        best = min(pairs)
+        if best == NEVER:
             break
-        parts[at : at + 2] = [parts[at] + parts[at + 1]]
+        i = pairs.index(best)
+        parts[i] += parts.pop(i + 1)
+        del pairs[i]
+        if i < len(pairs):
+            pairs[i] = rank(parts[i] + parts[i + 1], NEVER)
+        if i:
+            pairs[i - 1] = rank(parts[i - 1] + parts[i], NEVER)
     return parts
 
 
@@ -164,23 +171,46 @@ def split_text(text: str, pattern: regex.Pattern, leaf: int = LEAF) -> list[str]
 
 
 class _Memo(dict):
-    """Pre-token -> its decimal ids joined by spaces; emptied when full."""
+    """Pre-token -> its decimal ids joined by spaces.
+
+    Two generations, of which the older goes when the younger is full, so that frequent pre-tokens stay.
+    """
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
+        self.old: dict[str, str] = {}
 
     def __missing__(self, piece: str) -> str:
-        if len(self) >= MEMO:
+        ids = self.old.get(piece)
+        if ids is None:
+            ids = " ".join(map(str, encode_piece(piece.encode(), self.ranks)))
+        if len(self) >= MEMO // 2:
+            self.old = dict(self)
             self.clear()
-        ids = " ".join(map(str, encode_piece(piece.encode(), self.ranks)))
         self[piece] = ids
         return ids
 
 
+#: The split that byte-level vocabularies of this family use, with letters tried first (no other branch
+#: starts with one), and the same for texts of ASCII alone.
+USUAL = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+REORDERED = r""" ?\p{L}+|'(?:[stmd]|re|ve|ll)| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+ASCII = " ?[A-Za-z]+|'(?:[stmd]|re|ve|ll)| ?[0-9]+| ?[^{0}A-Za-z0-9]+|[{0}]+(?![^{0}])|[{0}]+".format(WS)
+
+
+def splitter(pattern: str):
+    """Text -> its pre-tokens; for the usual pattern by its faster forms."""
+    if pattern != USUAL:
+        whole = regex.compile(pattern)
+        return lambda text: split_text(text, whole)
+    whole, plain = regex.compile(REORDERED), re.compile(ASCII)
+    return lambda text: split_text(text, plain if text.isascii() else whole)
+
+
 @lru_cache(maxsize=2)
 def _codec(path: str, pattern: str):
     ranks = load_ranks(path)
-    return regex.compile(pattern), _Memo(ranks), {str(i): t for t, i in ranks.items()}
+    return splitter(pattern), _Memo(ranks), {str(i): t for t, i in ranks.items()}
 
 
 def concat_tree(parts: list[bytes], leaf: int = 4096) -> bytes:
@@ -194,7 +224,7 @@ def concat_tree(parts: list[bytes], leaf: int = 4096) -> bytes:
 def encode_text(text: str | None, path: str, pattern: str) -> list[int]:
     """The ids of a text."""
     split, memo, _ = _codec(path, pattern)
-    return [int(x) for p in split_text(text or "", split) for x in memo[p].split(" ")]
+    return [int(x) for p in split(text or "") for x in memo[p].split(" ")]
 
 
 def decode_ids(ids: list[int], path: str, pattern: str) -> bytes:
@@ -214,7 +244,7 @@ def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
             n, ids_hash, text_hash = [], [], []
             for text in batch.column(1):
                 text = text.as_py() or ""
-                joined = " ".join(map(look, split_text(text, split)))
+                joined = " ".join(map(look, split(text)))
                 ids = joined.split(" ") if joined else []
                 n.append(len(ids))
                 ids_hash.append(hashlib.sha256(joined.encode()).hexdigest())

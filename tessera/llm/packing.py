@@ -38,7 +38,7 @@ SHARD = 20_000
 #: A bin that lacks more tokens than this after a round is packed again.
 SLACK = 0
 #: Words that a worker remembers.
-MEMO = 500_000
+MEMO = 900_000
 
 # Fixed value: the characters with the Unicode property White_Space.
 _SPACE = regex.compile("[\t-\r \x85\xa0  -     　]+")

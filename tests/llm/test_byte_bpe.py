@@ -23,6 +23,12 @@ def test_split_by_halves_equals_the_whole_split(text):
     assert B.split_text(text, PAT, leaf=5) == PAT.findall(text)
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.one_of(texts, st.text(alphabet="aB'ds l9#\x1c\x1f\x00\t\x0b\n.\x85\xa0é", max_size=60)))
+def test_faster_forms_split_alike(text):
+    assert P.PATTERN == B.USUAL and [x for x in B.splitter(P.PATTERN)(text)] == PAT.findall(text)
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.text(alphabet="abcdethis", max_size=300))
 def test_long_pieces_equal_the_library(text):
