@@ -28,8 +28,9 @@ SALTS = 64
 #: A digest is hot if it holds at least this share of all rows; so there are at most 1 / HOT hot digests.
 HOT = 0.001
 
-_SHIFT = F.lit("36893488147419103232").cast("decimal(38,0)")  # 2^65
-_TOP = F.lit("9223372036854775808").cast("decimal(38,0)")  # 2^63
+
+def _power(k: int) -> Column:
+    return F.lit(str(1 << k)).cast("decimal(38,0)")
 
 
 def normalised(text: Column) -> Column:
@@ -41,13 +42,13 @@ def normalised(text: Column) -> Column:
 
 
 def _rank(n: Column, doc_id: Column) -> Column:
-    low = F.coalesce(_TOP - doc_id.cast("decimal(38,0)"), F.lit(0).cast("decimal(38,0)"))
-    return (n.cast("decimal(12,0)") * _SHIFT + low).cast("decimal(38,0)")
+    low = F.coalesce(_power(63) - doc_id.cast("decimal(38,0)"), F.lit(0).cast("decimal(38,0)"))
+    return (n.cast("decimal(12,0)") * _power(65) + low).cast("decimal(38,0)")
 
 
 def _winner(rank: Column) -> Column:
-    low = rank % _SHIFT
-    return F.when(low > 0, (_TOP - low).cast("long"))
+    low = rank % _power(65)
+    return F.when(low > 0, (_power(63) - low).cast("long"))
 
 
 def exact_dedup(docs: DataFrame, salts: int = SALTS, hot: float = HOT) -> DataFrame:
