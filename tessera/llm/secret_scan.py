@@ -9,8 +9,8 @@ here from rules) whose features are computed by the same column expressions, and
 Scanning is one projection: no join, no shuffle, and only built-in functions; texts without a candidate stop at the
 pattern.
 
-Edge cases: null and empty texts have no findings; a secret that stands twice is found twice; repeated rows are scanned
-one by one; extra columns are ignored by the scan and kept by the redaction; an empty table gives no rows.
+Edge cases: null and empty texts have no findings; a secret that stands twice is found twice, even without
+blanks between, and each place is judged by its own context; repeated rows are scanned one by one; extra columns are ignored by the scan and kept by the redaction; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -28,6 +28,8 @@ from tessera.llm.quality_rules import let
 KEY = "[A-Za-z0-9+/_-]"
 CANDIDATE = f"(?=[A-Za-z+/_-]*(?:[0-9]|[a-z][A-Z])){KEY}{{16,}}={{0,2}}"
 MASK = "[SECRET]"
+#: Characters of a run that are kept before its second and later candidates: more than any feature looks back.
+CONTEXT = 100
 TREES, DEPTH, THRESHOLD = 15, 6, 0.5
 #: Labelled findings that are generated if none are given.
 FINDINGS = 480
@@ -70,25 +72,30 @@ def features(core: Column, before: Column, after: Column) -> Column:
 def candidates(text: Column) -> Column:
     """Array of (start, core, before, after): the place in code points, the run, and three words on either side."""
 
+    def in_run(cores: Column, gaps: Column, pos: Column, left: Column, right: Column) -> Column:
+        # Cores and the gaps around them alternate, so that each hit follows from the ends of the one before it.
+        none = F.array().cast("array<struct<start:bigint,core:string,before:string,after:string>>")
+        start = F.struct(pos.alias("pos"), left.alias("left"), none.alias("found"))
+
+        def step(acc: Column, k: Column) -> Column:
+            core, gap = F.get(cores, k), F.get(gaps, k)
+            at, before = acc["pos"] + F.length(gap), F.concat(acc["left"], gap)
+            after = F.concat(F.get(gaps, k + 1), F.coalesce(F.get(cores, k + 1), right))
+            hit = F.struct(at.alias("start"), core.alias("core"), before.alias("before"), after.alias("after"))
+            return F.struct(
+                (at + F.length(core)).alias("pos"),
+                F.substring(F.concat(before, core), -CONTEXT, CONTEXT).alias("left"),
+                F.array_append(acc["found"], hit).alias("found"),
+            )
+
+        return F.aggregate(F.sequence(F.lit(0), F.size(cores) - 1), start, step)["found"]
+
     def at_word(pieces: Column, hit: Column) -> Column:
         word = lambda k: F.coalesce(F.get(pieces, hit["at"] + k), F.lit(""))
         left = F.concat(word(-3), word(-2), word(-1))
         right = F.concat(word(1), word(2), word(3))
-        return let(
-            word(0),
-            lambda own: F.transform(
-                F.array_distinct(F.regexp_extract_all(own, F.lit(CANDIDATE), F.lit(0))),
-                lambda core: let(
-                    F.instr(own, core),
-                    lambda i: F.struct(
-                        (hit["pos"] + i - 1).cast("long").alias("start"),
-                        core.alias("core"),
-                        F.concat(left, F.substring(own, F.lit(1), i - 1)).alias("before"),
-                        F.concat(F.substring(own, i + F.length(core), F.length(own)), right).alias("after"),
-                    ),
-                ),
-            ),
-        )
+        cores = F.regexp_extract_all(word(0), F.lit(CANDIDATE), F.lit(0))
+        return let(cores, lambda c: let(F.split(word(0), CANDIDATE, -1), lambda g: in_run(c, g, hit["pos"], left, right)))
 
     def hits(pieces: Column) -> Column:
         none = F.array().cast("array<struct<pos:bigint,at:int>>")

@@ -55,6 +55,26 @@ def test_findings_and_redaction(spark, forest):
     assert S.scan(df.limit(0), forest).count() == 0
 
 
+def test_every_place_in_a_run_without_blanks(spark, forest):
+    texts = [
+        f"é x api_key={HEX}&api_key={HEX},{HEX} end",
+        f"see sha1={HEX};token={HEX} now",
+        f'x{HEX}9,token="{HEX}" after',
+        f'{{"sha1":"{HEX}","token":"{HEX}"}}',
+        f"api_key={HEX}==\u00a0" * 50,
+    ]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = S.scan(df, forest).collect()
+    for i, text in enumerate(texts):
+        own = sorted((r.start, r.length) for r in rows if r.doc_id == i)
+        assert own == [(m.start(), m.end() - m.start()) for m in re.finditer(S.CANDIDATE, text)]
+    secret = {(r.doc_id, r.start) for r in rows if r.is_secret}
+    assert {(i, texts[i].rindex(HEX)) for i in (1, 2, 3)} <= secret and not {(1, texts[1].index(HEX)), (2, 0), (3, texts[3].index(HEX))} & secret
+    assert len({s for d, s in secret if d == 4}) == 50
+    clean = {r.doc_id: r.text for r in S.redact(df, forest).collect()}
+    assert clean[1] == "see sha1=[SECRET];token=[SECRET] now" and HEX not in clean[0] + clean[4]
+
+
 def test_no_python_in_the_plan(spark, forest):
     plan = S.scan(spark.createDataFrame([(1, "a")], "doc_id long, text string"), forest)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Exchange" not in plan
