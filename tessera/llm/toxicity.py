@@ -1,9 +1,12 @@
 """Toxicity (operator 2): a subsequence string-kernel support vector machine with Nyström landmarks.
 
-Kernel. A string's features are its subsequences of four symbols in which each step skips at most one symbol, weighted
-DECAY per skipped symbol; the kernel of two strings is the product of their feature vectors, hashed to 2^BITS
-coordinates. A skipped symbol may be a blank, a dot, a star or any other inserted character, so "i d i o t" and
-"id*iot" share the features of "idiot". Look-alike digits and signs are read as letters, capitals as small letters.
+Kernel. A string's features are its subsequences of four symbols, one symbol a code point, in which each step skips at
+most one symbol, or goes from a letter to the next one over a run of up to GAP symbols that are not letters; weighted
+DECAY per skipped symbol, a run counting as two. The kernel of two strings is the product of their feature vectors,
+hashed to 2^BITS coordinates. A skipped symbol may be a blank, a dot, a star or any other inserted character, so "id*iot"
+and "idi -- ot" share the features of "idiot". Three or more letters that stand alone, with runs of up to GAP other
+symbols between them, are read as one word: "i d i o t", "i--d--i--o--t", "i · d · i · o · t". Look-alike digits and
+signs are read as letters, capitals as small letters.
 
 Learning. Sentences of labelled documents carry their document's label. Landmarks are the words whose presence tells
 most about the label, and some ordinary ones. Sentences are mapped to k(x, landmarks) K^-1/2 and a squared-hinge SVM
@@ -21,6 +24,7 @@ labels every score is 0; repeated rows and null ids are scored like others; extr
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -37,6 +41,8 @@ DECAY = 0.8
 WIDTH = 10
 #: Blanks around texts: more than a window and a subsequence reach, so that neighbours never meet.
 PAD, REACH = 16, 8
+#: Symbols other than letters that a step, or the join of a spelled word, goes over at most (less than PAD).
+GAP = 12
 #: Documents of each label that the machine learns from, in expectation.
 SAMPLE = 1200
 LANDMARKS, PLAIN = 288, 32
@@ -52,9 +58,11 @@ STEPS = [np.cumsum([a, b, c]) for a in (1, 2) for b in (1, 2) for c in (1, 2)]
 
 
 def _symbols() -> np.ndarray:
-    table = np.full(256, 28, np.uint8)
-    for b in range(128, 256):
-        table[b] = 32 + (b & 31)
+    """Of each code point below 2^17: 0 blank, 1 to 26 letters, 27 digit, 28 sign, 32 and more other letters."""
+    table = np.full(1 << 17, 28, np.uint8)
+    for b in range(128, 1 << 17):
+        kind = unicodedata.category(chr(b))[0]
+        table[b] = 0 if kind == "Z" else 32 + (b & 31) if kind in "LN" else 28
     for k, ch in enumerate("abcdefghijklmnopqrstuvwxyz"):
         table[ord(ch)] = table[ord(ch.upper())] = k + 1
     for ch in "0123456789":
@@ -66,6 +74,45 @@ def _symbols() -> np.ndarray:
 
 
 SYMBOLS = _symbols()
+LETTER = np.array([1 <= k <= 26 or k >= 32 for k in range(64)])
+
+
+def _code_points(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The symbols of UTF-8 bytes, one for each code point, and where each text starts among them."""
+    out = SYMBOLS[raw]
+    tail = (raw & 0xC0) == 0x80
+    at = np.flatnonzero(raw >= 0xC0)
+    if not len(at):
+        return out, offsets
+    lead = raw[at].astype(np.int64)
+    size = 2 + (lead >= 0xE0) + (lead >= 0xF0)
+    point = lead & (0x7F >> size)
+    for k in (1, 2, 3):
+        more = size > k
+        point[more] = (point[more] << 6) | (raw[at[more] + k] & 0x3F)
+    out[at] = np.where(point < len(SYMBOLS), SYMBOLS[np.minimum(point, len(SYMBOLS) - 1)], 32 + (point & 31))
+    return out[~tail], offsets - np.searchsorted(np.flatnonzero(tail), offsets)
+
+
+def decoded(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The symbols of texts, without what stands between the letters of words spelled out; where each text starts."""
+    s, offsets = _code_points(raw, np.asarray(offsets))
+    letter = LETTER[s]
+    inner = offsets[(offsets > 0) & (offsets < len(s))]
+    before, after = np.r_[False, letter[:-1]], np.r_[letter[1:], False]
+    before[inner], after[inner - 1] = False, False
+    alone = np.flatnonzero(letter & ~before[: len(s)] & ~after[: len(s)])
+    if len(alone) < 3:
+        return s, offsets
+    a, gap = alone[:-1], np.diff(alone) - 1
+    text = np.searchsorted(offsets, alone, side="right")
+    link = (gap <= GAP) & (text[1:] == text[:-1])
+    for k in range(1, GAP):
+        link &= (k > gap) | ~letter[np.minimum(a + k, len(s) - 1)]
+    link &= np.r_[False, link[:-1]] | np.r_[link[1:], False]
+    gap = gap[link]
+    drop = np.repeat(a[link] + 1, gap) + np.arange(gap.sum()) - np.repeat(np.cumsum(gap) - gap, gap)
+    return np.delete(s, drop), offsets - np.searchsorted(drop, offsets)
 
 
 def _hashed(a, b, c, d) -> np.ndarray:
@@ -75,22 +122,58 @@ def _hashed(a, b, c, d) -> np.ndarray:
     return code
 
 
+def _over_runs(s: np.ndarray, n: int) -> Iterator[tuple[np.ndarray, np.ndarray, float]]:
+    """The subsequences that start below n and go over a run of two or more symbols: starts, hashes and their weight."""
+    letter = LETTER[s]
+    at = np.flatnonzero(letter[:-2] & ~letter[1:-1] & ~letter[2:])
+    far = np.zeros(len(at), np.int64)
+    for d in range(GAP + 1, 2, -1):
+        far[letter[np.minimum(at + d, len(s) - 1)]] = d
+    at, far = at[far > 0], far[far > 0]
+    hop = np.zeros(len(s), np.uint8)
+    hop[at] = far
+
+    def go(start: np.ndarray, read: list[np.ndarray], now: np.ndarray, weight: float) -> Iterator[tuple[np.ndarray, np.ndarray, float]]:
+        if len(read) == 4:
+            yield start, _hashed(*read), weight
+            return
+        for step in (1, 2):
+            yield from go(start, [*read, s[now + step]], now + step, weight * DECAY ** (step - 1))
+        on = hop[now] > 0
+        if on.any():
+            to = now[on] + hop[now[on]]
+            yield from go(start[on], [*[x[on] for x in read], s[to]], to, weight * DECAY**2)
+
+    # The first hop comes after none, one or two short steps.
+    for steps in ((), (1,), (2,), (1, 1), (1, 2), (2, 1), (2, 2)):
+        start = at - sum(steps)
+        on = (start >= 0) & (start < n)
+        if on.any():
+            start, to = start[on], at[on] + far[on]
+            read = [s[start + k] for k in np.cumsum([0, *steps])]
+            yield from go(start, [*read, s[to]], to, DECAY ** (sum(steps) - len(steps) + 2))
+
+
 def features(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
     """The hashed subsequences of one string and their weights."""
-    s = np.concatenate([SYMBOLS[np.frombuffer(raw, np.uint8)], np.zeros(REACH, np.uint8)]).astype(np.uint32)
-    n = len(raw)
+    s, _ = decoded(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
+    n = len(s)
+    s = np.concatenate([s, np.zeros(REACH, np.uint8)]).astype(np.uint32)
     idx = [_hashed(s[:n], s[i : i + n], s[j : j + n], s[k : k + n]) for i, j, k in STEPS]
     w = [np.full(n, DECAY ** int(k - 3), np.float32) for _, _, k in STEPS]
+    for start, code, weight in _over_runs(s, n):
+        idx.append(code)
+        w.append(np.full(len(start), weight, np.float32))
     return np.concatenate(idx), np.concatenate(w)
 
 
-def padded(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def padded(symbols: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The symbols of all texts in one array with PAD blanks around each; and where each starts, and the end."""
     n = np.diff(offsets)
     starts = offsets + PAD * np.arange(1, len(offsets) + 1)
     out = np.zeros(int(starts[-1]), np.uint8)
-    to = np.arange(len(raw)) + np.repeat(PAD * np.arange(1, len(n) + 1), n)
-    out[to] = SYMBOLS[raw]
+    to = np.arange(len(symbols)) + np.repeat(PAD * np.arange(1, len(n) + 1), n)
+    out[to] = symbols
     return out, starts
 
 
@@ -103,6 +186,8 @@ def responses(symbols: np.ndarray, weights: np.ndarray) -> np.ndarray:
     total = np.zeros(n, np.float32)
     for i, j, k in STEPS:
         total += np.float32(DECAY ** int(k - 3)) * weights[_hashed(s[:n], s[i : i + n], s[j : j + n], s[k : k + n])]
+    for start, code, weight in _over_runs(s, n):
+        total[start] += np.float32(weight) * weights[code]
     sums = np.concatenate([[0.0], np.cumsum(total, dtype=np.float64)])
     hi = np.minimum(np.arange(n) + WIDTH, n)
     return (sums[hi] - sums[:n]).astype(np.float32)
@@ -121,20 +206,21 @@ class Model:
 def counts(raw: np.ndarray, offsets: np.ndarray, model: Model) -> np.ndarray:
     """Of each text: its words, and its excursions above each level."""
     out = np.zeros((len(offsets) - 1, 1 + len(model.levels)))
+    symbols, offsets = decoded(raw, offsets)
     for i, j in blocks(offsets, BLOCK):
         a, b = int(offsets[i]), int(offsets[j])
         if j == i + 1 and b - a > 4 * BLOCK:  # a very long text, piece by piece with an overlap
             for lo in range(a, b, BLOCK):
                 hi, left = min(b, lo + BLOCK), min(lo - a, 1)
-                right = min(b - hi, WIDTH + PAD)
-                out[i] += _block(raw[lo - left : hi + right], np.array([0, hi + right - lo + left]), model, left, hi - lo)[0]
+                right = min(b - hi, WIDTH + 3 * (GAP + 1))
+                out[i] += _block(symbols[lo - left : hi + right], np.array([0, hi + right - lo + left]), model, left, hi - lo)[0]
         else:
-            out[i:j] = _block(raw[a:b], offsets[i : j + 1] - a, model)
+            out[i:j] = _block(symbols[a:b], offsets[i : j + 1] - a, model)
     return out
 
 
-def _block(raw: np.ndarray, offsets: np.ndarray, model: Model, left: int = 0, own: int | None = None) -> np.ndarray:
-    symbols, starts = padded(raw, offsets)
+def _block(symbols: np.ndarray, offsets: np.ndarray, model: Model, left: int = 0, own: int | None = None) -> np.ndarray:
+    symbols, starts = padded(symbols, offsets)
     r = responses(symbols, model.weights)
     n = len(offsets) - 1
     out = np.zeros((n, 1 + len(model.levels)))
@@ -212,7 +298,7 @@ def landmarks(texts: list[str], labels: np.ndarray, rng: np.random.Generator) ->
     gain = {}
     for w, k in seen[1].items():
         p, q = (k + 0.5) / (n1 + 1), (seen[0][w] + 0.5) / (n0 + 1)
-        if len(w) >= 4 and k >= 3 and p > 2 * q:
+        if len(w) >= 2 and k >= 3 and p > 2 * q:
             gain[w] = k * np.log(p / q)
     best = sorted(gain, key=lambda w: (-gain[w], w))[: LANDMARKS - PLAIN]
     rest = sorted(w for w in seen[0] if len(w) >= 4 and w not in gain)
@@ -277,7 +363,7 @@ def fit(texts: list[str], labels: np.ndarray, seed: int = 5) -> Model:
     # Levels: from the windows of the training documents; then the documents' own regression.
     raw = np.frombuffer("".join(texts).encode(), np.uint8)
     offsets = np.cumsum([0] + [len(t.encode()) for t in texts])
-    hit = np.array([responses(padded(np.frombuffer(f" {m} ".encode(), np.uint8), np.array([0, len(m.encode()) + 2]))[0], table).max() for m in marks])
+    hit = np.array([responses(padded(*decoded(np.frombuffer(f" {m} ".encode(), np.uint8), np.array([0, len(m.encode()) + 2])))[0], table).max() for m in marks])
     top = np.median(np.sort(hit)[-max(8, len(hit) // 4) :])
     model = Model(table, levels=top * np.array([0.35, 0.5, 0.65, 0.8]))
     x = _design(counts(raw, offsets, model))

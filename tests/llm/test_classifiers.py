@@ -53,6 +53,46 @@ def test_gapped_and_inserted_characters_share_features():
     assert min(product("idiot", s) for s in ("i d i o t", "id*iot", "1DIOT", "idi-ot")) > 4 * product("idiot", "nation")
 
 
+def test_longer_gaps_and_signs_beyond_ascii():
+    def vector(s):
+        v = np.zeros(1 << T.BITS)
+        f, w = T.features(s.encode())
+        np.add.at(v, f, w)
+        return v / np.sqrt(v @ v)
+
+    far = 4 * vector("idiot") @ vector("nation")
+    for s in ("i--d--i--o--t", "i - d - i - o - t", "i·d·i·o·t", "i…d…i…o…t", "i\u200bd\u200bi\u200bo\u200bt", "id--iot", "id … iot", "i  diot"):
+        assert vector(" idiot ") @ vector(f" {s} ") > far, s
+    # Texts that stand side by side are not read as one word, and code points keep their texts.
+    texts = ["i", "d", "i", "ö·", "·o", "", "x y z", "–é"]
+    symbols, offsets = T.decoded(*_flat(texts))
+    assert np.diff(offsets).tolist() == [1, 1, 1, 2, 2, 0, 3, 2] and symbols[:3].tolist() == [9, 4, 9]
+
+
+def test_spelled_out_and_short_insults_are_found():
+    rng = np.random.default_rng(3)
+    made = ["".join(rng.choice(list("abcdefghijklmnoprstuvwz"), 6)) for _ in range(150)]
+    clean = [" ".join(rng.choice(made, 40)) + "." for _ in range(240)]
+    insults = ["idiot", "moron", "oaf", "scum"]
+    toxic = [t.replace(" ", f" {insults[i % 4]} ", 2) for i, t in enumerate(clean[:120])]
+    labels = np.array([1] * 120 + [0] * 120)
+    assert "oaf" in T.landmarks(toxic + clean[120:], labels, rng)
+    model = T.fit(toxic + clean[120:], labels)
+    for sep in ("--", " - ", "·", "…"):
+        new = [t.replace(" ", f" {sep.join(insults[i % 2])} ", 2) for i, t in enumerate(clean[120:160])]
+        assert (T.scores(*_flat(new), model) >= T.THRESHOLD).mean() > 0.9, sep
+    assert (T.scores(*_flat(clean[120:]), model) >= T.THRESHOLD).mean() < 0.05
+    # Cut into pieces, they keep their counts.
+    raw, offsets = _flat([" é i--d--i--o--t, id  …  iot ·· mo—ron. a - b - c " * 30, "i - d", "x" * 500])
+    whole = T.counts(raw, offsets, model)
+    for block in (1, 7, 97):
+        T.BLOCK, kept = block, T.BLOCK
+        try:
+            assert np.array_equal(T.counts(raw, offsets, model), whole)
+        finally:
+            T.BLOCK = kept
+
+
 def test_attention_gradient_is_right():
     rng = np.random.default_rng(0)
     x, of, y, wt = rng.standard_normal((9, 5)), np.array([0, 0, 1, 1, 1, 2, 3, 3, 3]), np.array([1.0, 0, 1, 0]), np.array([1.0, 2, 1, 1])
