@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import geometry as G
 from tessera.functions import pixels as P
-from tessera.operators import frames, raster, regions, sampling_plan
+from tessera.operators import frames, raster, regions, sampling_plan, tissue
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -122,6 +122,28 @@ def otsu_mask(spark, sf):
     return raster.threshold_mask(p, raster.otsu(p)).groupBy("slide").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _scan(spark, sf):
+    """Whole slides as (slide, y, x, gray, stained): cells without a row are white."""
+    r, g, b = _unit()
+    stained = (P.saturation(r, g, b) >= 0.08) & (P.optical_density(r, g, b) >= 0.35)
+    p = pixels(spark, sf)
+    seen = p.select("slide", "y", "x", P.gray(F.col("r"), F.col("g"), F.col("b")).alias("gray"), stained.alias("stained"))
+    frame = tissue._frame(p.select("slide").distinct(), SIDE, SIDE).join(seen, ["slide", "y", "x"], "left")
+    return frame.select("slide", "y", "x", F.coalesce("gray", F.lit(255.0)).alias("gray"), F.coalesce("stained", F.lit(False)).alias("stained"))
+
+
+@query()
+def otsu_tissue_mask(spark, sf):
+    s = _scan(spark, sf)
+    return tissue.otsu_mask(s, 1, 12, SIDE, SIDE, s.filter("stained"), 1, "gray")
+
+
+@query()
+def entropy_tissue_mask(spark, sf):
+    s = _scan(spark, sf)
+    return tissue.entropy_mask(s, 2, 12, SIDE, SIDE, s.filter("stained"), 1, "gray")
+
+
 @query("m AS (SELECT slide, min(v) AS lo, max(v) AS hi FROM raster GROUP BY slide) SELECT slide, y, x, CAST(round_even((v - lo) / CAST(CASE WHEN hi > lo THEN hi - lo ELSE 1 END AS DOUBLE) * 255.0, 0) AS INTEGER) AS u8 FROM raster JOIN m USING (slide)", True)
 def min_max_uint8(spark, sf):
     p = pixels(spark, sf)

@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.operators import frames, graph, raster, regions, stack
+from tessera.operators import frames, graph, raster, regions, stack, tissue
 from tessera.streaming import events as streaming
 
 
@@ -107,3 +107,82 @@ def test_streams(spark, tmp_path):
         if r.n_events >= last.get(r.run_id, (0,))[0]:
             last[r.run_id] = (r.n_events, r.status)
     assert last == {"r0": (10, "step"), "r1": (10, "step"), "r2": (10, "end")}
+
+
+def _pieces(m):
+    """The 4-connected pieces of a boolean array, as lists of cells."""
+    left, out = {(int(y), int(x)) for y, x in np.argwhere(m)}, []
+    while left:
+        todo, piece = [left.pop()], []
+        while todo:
+            y, x = todo.pop()
+            piece.append((y, x))
+            for c in ((y + 1, x), (y - 1, x), (y, x + 1), (y, x - 1)):
+                if c in left:
+                    left.remove(c)
+                    todo.append(c)
+        out.append(piece)
+    return out
+
+
+def _mask_of(image, kind, radius, least, stained, opened):
+    """The mask of one image, restated with arrays."""
+    h, w = image.shape
+
+    def shrink(m, r):
+        return np.array([[all(m[y + a, x + b] for a, b in raster.disk(r) if 0 <= y + a < h and 0 <= x + b < w) for x in range(w)] for y in range(h)])
+
+    def grow(m, r):
+        return ~shrink(~m, r)
+
+    def only(m, keep):
+        out = np.zeros_like(m)
+        for piece in _pieces(m):
+            if keep(piece):
+                out[tuple(np.transpose(piece))] = True
+        return out
+
+    if kind == "otsu":
+        taps = np.exp(-(np.arange(-4, 5) ** 2) / 2)
+        v = image.astype(float)
+        for _ in range(2):
+            v = np.apply_along_axis(lambda c: np.convolve(np.pad(c, 4, mode="edge"), taps / taps.sum(), "valid"), 0, v).T
+    else:
+        u8 = ((image - image.min()) / (image.max() - image.min() + 1e-6) * 255 + 0.5).astype(int)
+        v = np.zeros((h, w))
+        for y in range(h):
+            for x in range(w):
+                p = np.unique([u8[y + a, x + b] for a, b in raster.disk(radius) if 0 <= y + a < h and 0 <= x + b < w], return_counts=True)[1]
+                v[y, x] = -(p / p.sum() * np.log2(p / p.sum())).sum()
+    n, edges = np.histogram(v, 256)
+    c = (edges[1:] + edges[:-1]) / 2
+    w0, s0 = np.cumsum(n)[:-1], np.cumsum(n * c)[:-1]
+    cut = c[np.argmax((s0 / w0 - ((n * c).sum() - s0) / (n.sum() - w0)) ** 2 * w0 * (n.sum() - w0))]
+    m = ((v < cut) if kind == "otsu" else (v > cut)) & stained
+    if opened:
+        m = grow(shrink(m, opened), opened)
+    m = shrink(grow(m, radius), radius)
+    if kind == "otsu":
+        return only(only(~m, lambda p: len(p) >= least) ^ True, lambda p: len(p) >= least)
+    m = ~only(~m, lambda p: any(y in (0, h - 1) or x in (0, w - 1) for y, x in p))
+    return ~only(~only(m, lambda p: len(p) >= least), lambda p: len(p) >= least)
+
+
+@pytest.mark.parametrize("kind, opened", [("otsu", 0), ("otsu", 1), ("entropy", 1)])
+def test_tissue_masks_equal_their_steps_on_arrays(spark, kind, opened):
+    rng = np.random.default_rng(8)
+    h, w = 26, 30
+    images = rng.integers(200, 206, (2, h, w)).astype(float)
+    for image in images:
+        for _ in range(7):
+            y, x, a, b = rng.integers(0, h - 4), rng.integers(0, w - 4), *rng.integers(3, 10, 2)
+            image[y : y + a, x : x + b] = rng.integers(20, 150, image[y : y + a, x : x + b].shape)
+        image[8:20, 0:12], image[11:16, 3:6], image[10:12, 8:10] = rng.integers(20, 90, (12, 12)), 204, 204
+    stained = rng.random(images.shape) < 0.97
+    rows = [(s, y, x, float(images[s, y, x]), bool(stained[s, y, x])) for s in (0, 1) for y in range(h) for x in range(w)]
+    df = spark.createDataFrame(rows + [(2, y, x, 7.0, True) for y in range(h) for x in range(w)], "slide long, y long, x long, v double, ok boolean")
+    got = getattr(tissue, f"{kind}_mask")(df, 2, 9, h, w, df.filter("ok"), opened).collect()
+    assert len(got) == len(set(got)) and not any(r.slide == 2 for r in got)
+    for s in (0, 1):
+        want = {(int(y), int(x)) for y, x in np.argwhere(_mask_of(images[s], kind, 2, 9, stained[s], opened))}
+        assert 0 < len(want) < h * w and {(r.y, r.x) for r in got if r.slide == s} == want
