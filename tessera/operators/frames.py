@@ -157,19 +157,24 @@ def project_cost(estimate: DataFrame, base_chunks: int, base_bytes: int, base_se
 
 
 def sample_blocks(work: DataFrame, how: str, n: int, seed: int = 0) -> DataFrame:
-    """n blocks of each slide: first, random (by a hash), tissue (largest mask_fraction), or stratified.
+    """n blocks of each slide: first, random (by a hash), tissue (largest mask_fraction above 0), mixed (the first ones of
+    that coarse stratum), or stratified.
 
     Stratified gives each of the four coarse strata n / 4 blocks, the remainder to the first ones; what a stratum cannot
     fill is filled from the rest in block order.
     """
     by = W.partitionBy("slide")
     key = F.xxhash64("slide", "label", "block_index", F.lit(seed))
+    coarse = F.when(F.col("stratum").startswith("mixed"), "mixed").otherwise(F.col("stratum")) if how in ("mixed", "stratified") else None
+    if how == "mixed":
+        return sample_blocks(work.filter(coarse == "mixed"), "first", n)
+    if how == "tissue":
+        work = work.filter("mask_fraction > 0")
     if how in ("first", "random", "tissue"):
         order = {"first": ["label", "block_index"], "random": [key], "tissue": [F.desc("mask_fraction"), "label", "block_index"]}[how]
         return work.withColumn("__r", F.row_number().over(by.orderBy(*order))).filter(F.col("__r") <= n).drop("__r")
     if how != "stratified":
         raise ValueError(f"unknown sampling {how}")
-    coarse = F.when(F.col("stratum").startswith("mixed"), "mixed").otherwise(F.col("stratum"))
     names = ["padding", "background", "mixed", "tissue"]
     quota = F.lit(0)
     for k, name in enumerate(names):

@@ -186,3 +186,11 @@ def test_tissue_masks_equal_their_steps_on_arrays(spark, kind, opened):
     for s in (0, 1):
         want = {(int(y), int(x)) for y, x in np.argwhere(_mask_of(images[s], kind, 2, 9, stained[s], opened))}
         assert 0 < len(want) < h * w and {(r.y, r.x) for r in got if r.slide == s} == want
+
+
+def test_samples_of_tissue_and_mixed_blocks(spark):
+    rows = [(0, 0, i, f, s) for i, (f, s) in enumerate([(0.0, "padding"), (0.2, "mixed_low"), (0.0, "background"), (1.0, "tissue"), (0.7, "mixed_high"), (0.5, "mixed_low")])]
+    work = spark.createDataFrame(rows + [(1, 0, 0, 0.0, "background")], "slide long, label long, block_index long, mask_fraction double, stratum string")
+    pick = lambda how, n: sorted((r.slide, r.block_index) for r in frames.sample_blocks(work, how, n).collect())
+    assert pick("tissue", 5) == [(0, 1), (0, 3), (0, 4), (0, 5)] and pick("tissue", 2) == [(0, 3), (0, 4)]
+    assert pick("mixed", 2) == [(0, 1), (0, 4)] and pick("mixed", 9) == [(0, 1), (0, 4), (0, 5)]
