@@ -10,8 +10,8 @@ signs are read as letters, capitals as small letters.
 
 Learning. Sentences of labelled documents carry their document's label. Landmarks are the words whose presence tells
 most about the label, and some ordinary ones. Sentences are mapped to k(x, landmarks) K^-1/2 and a squared-hinge SVM
-is fitted in that space by Newton steps; then, as most sentences of a toxic document are harmless, only its
-highest-scoring ones stay positive and the machine is fitted again. At most SAMPLE documents of each label are used.
+is fitted in that space by Newton steps, to a random part of each document's; then, as most sentences of a toxic document
+are harmless, only the highest-scoring of all its sentences stay positive and the machine is fitted again. At most SAMPLE documents of each label are used.
 
 Scoring. The machine is linear in the hashed features, so it collapses to one table of weights. A document's weights
 are summed over windows of WIDTH symbols, the excursions above a few levels counted, and a logistic regression of
@@ -46,7 +46,7 @@ GAP = 12
 #: Documents of each label that the machine learns from, in expectation.
 SAMPLE = 1200
 LANDMARKS, PLAIN = 288, 32
-#: Sentences of a toxic document that stay positive in the second fit, and all that are kept in memory.
+#: Sentences of a toxic document that stay positive in the second fit, and all that are drawn at random.
 TOP, MOST = 4, 40_000
 BLOCK = 1 << 20
 THRESHOLD = 0.7
@@ -306,6 +306,14 @@ def landmarks(texts: list[str], labels: np.ndarray, rng: np.random.Generator) ->
     return best + plain
 
 
+def drawn(own: list[str], per: int, rng: np.random.Generator) -> tuple[list[str], list[str]]:
+    """`per` sentences drawn at random, and the others."""
+    if len(own) <= per:
+        return own, []
+    picked = set(rng.choice(len(own), per, replace=False).tolist())
+    return [own[i] for i in sorted(picked)], [s for i, s in enumerate(own) if i not in picked]
+
+
 def fit(texts: list[str], labels: np.ndarray, seed: int = 5) -> Model:
     """Learn from texts and their 0/1 labels."""
     size = 1 << BITS
@@ -326,26 +334,40 @@ def fit(texts: list[str], labels: np.ndarray, seed: int = 5) -> Model:
     keep = values > 1e-6 * values.max()
     root = vectors[:, keep] / np.sqrt(values[keep])
 
-    # The longest documents would crowd out the others: of each, sentences drawn at random.
-    sentences, of, y = [], [], []
+    # The longest documents would crowd out the others: of each, sentences drawn at random. Of toxic ones, the first
+    # machine also reads all that were not drawn, so that no insult is left out.
+    sentences, of, y, left = [], [], [], []
     per = max(TOP, MOST // max(1, len(texts)))
     for d, (text, label) in enumerate(zip(texts, labels, strict=True)):
-        own = [s for s in _SENTENCE.findall(text) if len(s) > 3]
-        for s in own if len(own) <= per else [own[i] for i in rng.choice(len(own), per, replace=False)]:
-            sentences.append(s)
-            of.append(d)
-            y.append(1.0 if label else -1.0)
-    z = np.zeros((len(sentences), int(keep.sum())), np.float32)
-    for i, s in enumerate(sentences):
-        raw = s.encode()
-        f, w = features(raw)
-        r = row[f]
-        hit = r >= 0
-        z[i] = (w[hit] @ phi[r[hit]]) @ root / np.sqrt(len(raw) + 20)
+        some, others = drawn([s for s in _SENTENCE.findall(text) if len(s) > 3], per, rng)
+        sentences += some
+        of += [d] * len(some)
+        y += [1.0 if label else -1.0] * len(some)
+        if label and others:
+            left.append((d, others))
+
+    def mapped(sentences: list[str]) -> np.ndarray:
+        z = np.zeros((len(sentences), int(keep.sum())), np.float32)
+        for i, s in enumerate(sentences):
+            raw = s.encode()
+            f, w = features(raw)
+            r = row[f]
+            hit = r >= 0
+            z[i] = (w[hit] @ phi[r[hit]]) @ root / np.sqrt(len(raw) + 20)
+        return z
+
+    z = mapped(sentences)
     y, of = np.array(y), np.array(of)
 
     cost = np.where(y > 0, 1.0 / max(1, (y > 0).sum()), 1.0 / max(1, (y < 0).sum())) * len(y)
     w = svm(z, y, cost)
+    more = []
+    for d, others in left:
+        own = mapped(others)
+        more.append(own[np.argsort(-(own @ w[:-1]), kind="stable")[:TOP]])
+        of = np.r_[of, np.full(len(more[-1]), d)]
+    z = np.concatenate([z, *more])
+    y = np.r_[y, np.ones(len(z) - len(y))]
     for _ in range(2):  # the harmless sentences of toxic documents leave the positives
         margin = z @ w[:-1]
         order = np.lexsort((-margin, of))

@@ -93,6 +93,34 @@ def test_spelled_out_and_short_insults_are_found():
             T.BLOCK = kept
 
 
+def test_no_sentence_with_an_insult_is_left_out(monkeypatch):
+    train, _ = _labelled("toxic", 3, 1)
+    pos, neg = [r for r in train if r[2]][: T.SAMPLE], [r for r in train if r[2] == 0][: T.SAMPLE]
+    texts, labels = [r[1] for r in pos + neg], np.array([r[2] for r in pos + neg])
+    # As few sentences of each as at the full sample; what the first machine reads and what the last one keeps.
+    monkeypatch.setattr(T, "MOST", len(texts) * (T.MOST // (2 * T.SAMPLE)))
+    monkeypatch.setattr(T, "LANDMARKS", 96)
+    read, machine, kernel, plain = [], [], T.svm, T.features
+
+    def svm(z, y, c):
+        machine.append((len(z), (y > 0).sum()))
+        return kernel(z, y, c)
+
+    def features(raw):
+        read.append(raw.decode())
+        return plain(raw)
+
+    monkeypatch.setattr(T, "svm", svm)
+    monkeypatch.setattr(T, "features", features)
+    T.fit(texts, labels)
+    read = set(read)
+    holds = [[s for s in T._SENTENCE.findall(t) if len(s) > 3 and "idiot" in s.lower()] for t in texts[: len(pos)]]
+    assert sum(map(len, holds)) > 50 and all(s in read for hold in holds for s in hold)
+    per = T.MOST // len(texts)
+    whole = [sum(len(s) > 3 for s in T._SENTENCE.findall(t)) for t in texts[: len(pos)]]
+    assert max(whole) > per and machine[1][1] == machine[2][1] == sum(min(T.TOP, n) for n in whole)
+
+
 def test_attention_gradient_is_right():
     rng = np.random.default_rng(0)
     x, of, y, wt = rng.standard_normal((9, 5)), np.array([0, 0, 1, 1, 1, 2, 3, 3, 3]), np.array([1.0, 0, 1, 0]), np.array([1.0, 2, 1, 1])
