@@ -11,15 +11,20 @@ has so many that they could be all it shares. So no frequent word, line or passa
 shared only where everything in its range agrees.
 
 Token-group matrix.
-1. Groups: from each token's list come pairs of a class with the list's first. A class is compared with the one that it
-   meets most often, and links that hold make groups of similar documents; the pairs that still join different groups
-   are compared next.
-2. The matrix holds each group's union of tokens, as (token, group). A query's overlap with a group's union bounds its
-   overlap with every member, so only groups that share enough tokens with it are opened.
-3. In an opened group the members that share a token with the query are compared exactly.
-Lists whose classes are all in one group need no more work, which is what becomes of large groups of near copies: no
-list is ever expanded to all its pairs. Comparisons with one class are dealt to as many tasks as it has partners. The
-texts of classes that share a token are written once; the full table is shuffled once for that.
+1. Groups: from each token's list come pairs of a class with the list's first (all pairs of the shortest lists). A class is
+   compared with the one that it meets most often, then with those of other groups. Pairs that link make components;
+   pairs of half the threshold already make *families*, the groups that similar documents are partitioned into.
+2. The matrix holds each family's union of tokens, as (token, family). A query's overlap with a family's union bounds
+   its overlap with every member, so a query visits only families that share enough tokens with it. A token of very
+   many families would make rows by the square; its list becomes a group of its own instead.
+3. An opened family is compared in tiles: its sets are cut into blocks of bounded size, and each pair of blocks is one
+   piece of work inside a task. There the same matrix is used on the shingles themselves: sets most of whose shingles
+   nobody else has are left out, the others stand in small groups with the union of their shingles, and a query
+   opens only groups whose union holds enough of it. Pairs that are in one component already are not looked at.
+Lists whose classes are all in one component need no more work, which is what becomes of large groups of near copies; a
+family whose members are alike but do not link costs the square of its number of blocks, not of its members, in rows,
+and no pair of it is ever a row. Comparisons with one class are dealt to as many tasks as the bytes of its partners need. The
+sets of classes that share a token are written once; the full table is shuffled once for that.
 
 Edge cases: null and empty texts, and texts of blanks, have no shingles and link with nothing; a text of one to three
 words is one shingle; repeated rows link like other copies; a null id is nobody's component (a component of only null
@@ -52,8 +57,14 @@ SHORT = 3
 BLOCK = 1 << 19
 GATHER = 16 << 20
 SHARD_BYTES = 4 << 20
-#: Partners of one class that a task compares.
-PARTNERS = 400
+#: Bytes of sets that one call compares with a class, and that one call of several small pieces of work gets about.
+SLOT_BYTES = 4 << 20
+#: A family has up to BLOCKS blocks of at least BLOCK_LEAST bytes, and more only where they would pass BLOCK_MOST.
+BLOCKS, BLOCK_LEAST, BLOCK_MOST = 6, 1 << 19, 8 << 20
+#: A token of more families than this makes its list a group of its own.
+MANY = 32
+#: Sets in one group of the matrix within a tile.
+GROUP = 32
 
 TOKEN = np.dtype([("token", "<u8"), ("cls", "<u8"), ("n", "<u4"), ("need", "u1")])
 
@@ -176,14 +187,19 @@ def _pairs(n: int) -> tuple[np.ndarray, np.ndarray]:
     return both[:, 0], both[:, 1]
 
 
-def links(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
-    """Whether two sets link."""
-    if min(len(a), len(b)) * 100 < percent * max(len(a), len(b)) or not len(a) or not len(b):
-        return False
+def common(a: np.ndarray, b: np.ndarray) -> int:
+    """Elements that two sorted sets share."""
+    if not len(a) or not len(b):
+        return 0
     at = np.searchsorted(b, a)
     at[at == len(b)] = 0
-    both = int((b[at] == a).sum())
-    return 100 * both >= percent * (len(a) + len(b) - both)
+    return int((b[at] == a).sum())
+
+
+def links(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
+    """Whether two sets link."""
+    both = common(a, b)
+    return bool(both) and 100 * both >= percent * (len(a) + len(b) - both)
 
 
 def _pack(rows: np.ndarray) -> bytes:
@@ -240,7 +256,7 @@ def _indexer(n_shards: int, k: int, percent: int):
             cut = np.flatnonzero(np.r_[True, to[1:] != to[:-1]])
             none = [None] * len(cut)
             packed = [_pack(rows[a:b]) for a, b in zip(cut, [*cut[1:], len(to)], strict=True)]
-            yield _batch(none, none, none, none, to[cut].tolist(), packed)
+            yield _batch(none, none, none, none, none, to[cut].tolist(), packed)
 
         for batch in batches:
             raw, offsets = flat(batch.column(1))
@@ -258,7 +274,8 @@ def _indexer(n_shards: int, k: int, percent: int):
                     held.append(e)
                     size += b - a
             lot = -1 - (cls[0] if cls else 0) % n_shards  # passes through any shard's task
-            yield _batch(batch.column(0).to_pylist(), batch.column(2).to_pylist(), n, cls, [lot] * len(n), [None] * len(n))
+            ids, hashes, texts = (batch.column(i).to_pylist() for i in (0, 2, 3))
+            yield _batch(ids, hashes, texts, n, cls, [lot] * len(n), [None] * len(n))
             if size >= GATHER:
                 yield from flush()
                 held, size = [], 0
@@ -268,15 +285,15 @@ def _indexer(n_shards: int, k: int, percent: int):
     return run
 
 
-_INDEX = "doc_id long, text_hash long, n long, cls long, shard long, records binary"
+_INDEX = "doc_id long, id_hash long, text_hash long, n long, cls long, shard long, records binary"
 
 
 def _batch(*columns) -> pa.RecordBatch:
-    kinds = [pa.int64()] * 5 + [pa.binary()]
+    kinds = [pa.int64()] * 6 + [pa.binary()]
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], [x.split()[0] for x in _INDEX.split(", ")])
 
 
-_LISTS = "a long, b long, met int, token long, need int, doc_id long, text_hash long, n long, cls long"
+_LISTS = "a long, b long, met int, size long, token long, need int, doc_id long, id_hash long, text_hash long, n long, cls long"
 
 
 def _columns(rows: int, **columns) -> pa.Table:
@@ -287,11 +304,11 @@ def _columns(rows: int, **columns) -> pa.Table:
 
 
 def _list_tokens(table: pa.Table, percent: int) -> pa.Table:
-    """Of a shard's tokens: pairs (a, b, met), how often the first of a list met a member (all pairs of short lists);
-    (token, cls, need) of the lists of more than SHORT; and (cls) of all classes in lists. Documents' rows pass through.
+    """Of a shard's tokens: pairs (a, b, met, size), how often the first of a list met a member (all pairs of short
+    lists), with the size of set a; and (token, a, need) of the lists of more than SHORT. Documents' rows pass through.
     """
     if table.num_rows and table.column("shard")[0].as_py() < 0:
-        own = {c: table.column(c).combine_chunks() for c in ("doc_id", "text_hash", "n", "cls")}
+        own = {c: table.column(c).combine_chunks() for c in ("doc_id", "id_hash", "text_hash", "n", "cls")}
         return _columns(table.num_rows, **own)
     rows = np.concatenate([_unpack(x.as_py()) for x in table.column("records")])
     # Most tokens stand alone: only those that repeat are put in full order.
@@ -315,110 +332,273 @@ def _list_tokens(table: pa.Table, percent: int) -> pa.Table:
     i, j = (np.concatenate([p[k] for p in pairs]) for k in (0, 1))
     n = rows["n"].astype(np.int64)
     ok = np.minimum(n[i], n[j]) * 100 >= percent * np.maximum(n[i], n[j])
-    both, met = np.unique(np.stack([rows["cls"][i[ok]], rows["cls"][j[ok]]], 1), axis=0, return_counts=True) if ok.any() else (np.zeros((0, 2), np.uint64), np.zeros(0, np.int64))
+    i, j = i[ok], j[ok]
+    order = np.lexsort((rows["cls"][j], rows["cls"][i]))
+    i, j = i[order], j[order]
+    x, y = rows["cls"][i], rows["cls"][j]
+    new = np.flatnonzero(np.r_[True, (x[1:] != x[:-1]) | (y[1:] != y[:-1])]) if len(x) else np.zeros(0, np.int64)
+    met = np.diff(np.r_[new, len(x)])
     kept = rows[member]
     return pa.concat_tables([
-        _columns(len(both), a=_signed(both[:, 0]), b=_signed(both[:, 1]), met=pa.array(met)),
+        _columns(len(new), a=_signed(x[new]), b=_signed(y[new]), met=pa.array(met), size=pa.array(n[i[new]])),
         _columns(len(kept), token=_signed(kept["token"]), a=_signed(kept["cls"]), need=pa.array(kept["need"].astype(np.int32))),
     ])
 
 
-def _tokens_of(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
-    """(cls, slots, text) to one row (a, part, cls, tokens) for each slot."""
+def _sets(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
+    """(cls, text) to (cls, n, tokens); rows that repeat id and text give one of a task."""
+    seen: set[int] = set()
     for batch in batches:
-        raw, offsets = flat(batch.column(2))
-        out: list[list] = [[], [], [], []]
-        for i, (cls, slots) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)):
-            packed = pack_set(shingles(word_hashes(raw[offsets[i] : offsets[i + 1]]), k))
-            for s in slots:
-                for held, v in zip(out, (s["a"], s["part"], cls, packed), strict=True):
+        raw, offsets = flat(batch.column(1))
+        out: list[list] = [[], [], []]
+        for i, cls in enumerate(batch.column(0).to_pylist()):
+            if cls not in seen:
+                seen.add(cls)
+                tokens = shingles(word_hashes(raw[offsets[i] : offsets[i + 1]]), k)
+                for held, v in zip(out, (cls, len(tokens), pack_set(tokens)), strict=True):
                     held.append(v)
-        yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int64()), pa.array(out[3], pa.binary())], ["a", "part", "cls", "tokens"])
-
-
-def _compare(table: pa.Table, percent: int) -> pa.Table:
-    """The links of one class with the partners dealt to this slot."""
-    a = table.column("a")[0].as_py()
-    sets = dict(zip(table.column("cls").to_pylist(), (unpack_set(x) for x in table.column("tokens").to_pylist()), strict=True))
-    own = sets.pop(a, None)
-    hit = [c for c, s in sets.items() if own is not None and links(own, s, percent)]
-    return pa.table({"a": pa.array([a] * len(hit), pa.int64()), "b": pa.array(hit, pa.int64())})
-
-
-def _verified(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
-    """Those of the distinct pairs (a, b) of classes whose sets link. texts: (cls, text) of the classes that take part."""
-    pairs = materialise(pairs.select("a", "b"), "pairs")
-    parts = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / PARTNERS).alias("parts"))
-    slots = pairs.join(parts, "a").withColumn("part", F.pmod(F.xxhash64("b"), F.col("parts")))
-    owners = parts.select("a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
-    needs = slots.select(F.col("b").alias("cls"), "a", "part").unionByName(owners.select(F.col("a").alias("cls"), "a", "part"))
-    # A class of very many slots is spread over rows of bounded length.
-    needs = needs.groupBy("cls", F.floor(F.col("part") / 64).alias("lot")).agg(F.collect_list(F.struct("a", "part")).alias("slots"))
-    rows = needs.join(texts, "cls").select("cls", "slots", "text")
-    sets = rows.mapInArrow(lambda batches: _tokens_of(batches, k), "a long, part long, cls long, tokens binary")
-    links_ = materialise(sets.groupBy("a", "part").applyInArrow(lambda table: _compare(table, percent), "a long, b long"), "near")
+        yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.binary())], ["cls", "n", "tokens"])
+
+
+def _runs(*keys: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int]]]:
+    """An order by keys, and the ranges in it that agree in all of them."""
+    order = np.lexsort(keys[::-1])
+    new = np.zeros(len(order), bool)
+    new[:1] = True
+    for k in keys:
+        new[1:] |= k[order][1:] != k[order][:-1]
+    cut = np.flatnonzero(new).tolist()
+    return order, list(zip(cut, [*cut[1:], len(order)], strict=True))
+
+
+def _numbers(table: pa.Table, name: str) -> np.ndarray:
+    return table.column(name).to_numpy()
+
+
+def _compare_stars(table: pa.Table, percent: int) -> pa.Table:
+    """(a, b, strong) of pairs that link or have half the similarity: each class a with the partners in this slot."""
+    hub, cls, tokens = _numbers(table, "a"), _numbers(table, "cls"), table.column("tokens")
+    order, ranges = _runs(hub)
+    out: list[tuple[int, int, bool]] = []
+    for x, y in ranges:
+        at = order[x:y]
+        a = int(hub[at[0]])
+        sets = {int(cls[i]): unpack_set(tokens[int(i)].as_py()) for i in at}
+        own = sets.pop(a)
+        for b, s in sets.items():
+            both = common(own, s)
+            union = len(own) + len(s) - both
+            if 100 * both >= percent // 2 * union:
+                out.append((a, b, 100 * both >= percent * union))
+    a, b, strong = zip(*out, strict=True) if out else ([], [], [])
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "strong": pa.array(strong, pa.bool_())})
+
+
+def _slots(rows: int, sets: DataFrame) -> int:
+    """How many calls of about SLOT_BYTES compare so many sets."""
+    return max(1, int(rows * 6 * (sets.agg(F.avg("n")).first()[0] or 0)) // SLOT_BYTES)
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b, strong) of the distinct pairs (a, b) of classes that link (strong) or are half as similar; size: of set a.
+
+    A class's partners have about its size; as many as fill SLOT_BYTES are one piece of work.
+    """
+    pairs = materialise(pairs.select("a", "b", "size"), "pairs")
+    n_slots = _slots(2 * pairs.count(), sets)
+    parts = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) * F.max("size") * 6 / SLOT_BYTES).alias("parts"))
+    partners = pairs.join(parts, "a").select(F.col("b").alias("cls"), "a", F.pmod(F.xxhash64("b"), F.col("parts")).alias("part"))
+    owners = parts.select(F.col("a").alias("cls"), "a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
+    # A class's parts are different slots' or, at worst, one slot's together.
+    slot = F.pmod(F.xxhash64("a", "part"), F.lit(n_slots)).alias("slot")
+    rows = partners.unionByName(owners).join(sets.select("cls", "tokens"), "cls").select(slot, "a", "cls", "tokens")
+    found = materialise(rows.groupBy("slot").applyInArrow(lambda table: _compare_stars(table, percent), "a long, b long, strong boolean"), "near")
     discard(pairs)
-    return links_
+    return found
+
+
+def open_groups(sets: list[np.ndarray], root: np.ndarray, side: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Links between sets of different roots, as many as join what they connect; of two sides, only across.
+
+    The token-group matrix of one tile: groups of similar sets with their union, and queries that open them.
+    """
+    n = np.array([len(s) for s in sets], dtype=np.int64)
+    across = bool(side.any())
+    alive, first = np.arange(len(sets)), np.concatenate([[0], np.cumsum(n)])
+    names = np.unique(np.concatenate(sets), return_inverse=True)[1]
+    for _ in range(4):  # a set links with nobody if too few of its elements are anybody else's
+        ids = np.concatenate([names[first[i] : first[i + 1]] for i in alive])
+        times = np.bincount(ids)
+        known = np.add.reduceat(times[ids] > 1, np.concatenate([[0], np.cumsum(n[alive])[:-1]]), dtype=np.int64)
+        alive = alive[100 * known >= percent * n[alive]]
+        if len(alive) < 2:
+            return []
+        if len(alive) == len(known):
+            break
+    # Similar sets stand together: by root, then by their smallest elements.
+    small = np.array([[sets[i][0], sets[i][min(1, n[i] - 1)]] for i in alive])
+    order = np.lexsort((small[:, 1], small[:, 0], root[alive]))
+    alive = alive[order]
+    ids = np.unique(np.concatenate([names[first[i] : first[i + 1]] for i in alive]), return_inverse=True)[1]
+    size, part, s = n[alive], np.unique(root[alive], return_inverse=True)[1], side[alive]
+    starts = np.concatenate([[0], np.cumsum(size)])
+    mask = np.zeros(int(ids.max()) + 1, bool)
+    out: list[tuple[int, int]] = []
+    for g in range(0, len(alive), GROUP):
+        h = min(len(alive), g + GROUP)
+        union = ids[starts[g] : starts[h]]
+        mask[union] = True
+        shared = np.add.reduceat(mask[ids[starts[g] :]], starts[g:-1] - starts[g], dtype=np.int64)  # queries from the group on
+        mask[union] = False
+        ask = 100 * shared >= percent * np.maximum(size[g:], size[g:h].min())
+        ask &= percent * size[g:] <= 100 * size[g:h].max()
+        queries = g + np.flatnonzero(ask)
+        for x in range(g, h):
+            q = queries[(queries > x) & (part[queries] != part[x])]
+            if across:
+                q = q[s[q] != s[x]]
+            if not len(q):
+                continue
+            own = ids[starts[x] : starts[x + 1]]
+            mask[own] = True
+            at = np.concatenate([[0], np.cumsum(size[q])])
+            span = np.arange(at[-1]) + np.repeat(starts[q] - at[:-1], size[q])
+            both = np.add.reduceat(mask[ids[span]], at[:-1], dtype=np.int64)
+            mask[own] = False
+            q = q[100 * both >= percent * (size[q] + size[x] - both)]
+            for y in q.tolist():
+                if part[y] != part[x]:
+                    out.append((int(alive[x]), int(alive[y])))
+                    part[part == part[y]] = part[x]
+    return out
+
+
+def _compare_tiles(table: pa.Table, percent: int) -> pa.Table:
+    """Links (a, b) of the tiles in this slot."""
+    cls, root, side, tokens = _numbers(table, "cls"), _numbers(table, "root"), _numbers(table, "side"), table.column("tokens")
+    order, ranges = _runs(_numbers(table, "grp"), _numbers(table, "tile"))
+    a, b = [], []
+    for x, y in ranges:
+        at = order[x:y]
+        sets = [unpack_set(tokens[int(i)].as_py()) for i in at]
+        for i, j in open_groups(sets, root[at], side[at], percent):
+            a.append(int(cls[at[i]]))
+            b.append(int(cls[at[j]]))
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+
+def _in_tiles(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between members (grp, cls, root) of one group but of different roots, compared tile by tile.
+
+    Sets of one root that alone would fill a block have blocks of their own, and pairs of such blocks need no tile; so a
+    component of any size costs its number of blocks times those of the rest of its group.
+    """
+    members = members.join(sets.select("cls", "n"), "cls")
+    roots = members.groupBy("grp", "root").agg((6 * F.sum("n")).alias("bytes"))
+    roots = roots.withColumn("large", F.col("bytes") > BLOCK_MOST).withColumn("unit", F.when(F.col("large"), F.col("root")).otherwise(0))
+    roots = materialise(roots, "roots")
+    several = roots.groupBy("grp").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y").select("grp")
+    n_blocks = F.greatest(F.least(F.ceil(F.col("bytes") / BLOCK_LEAST), F.lit(BLOCKS)), F.ceil(F.col("bytes") / BLOCK_MOST))
+    units = roots.join(several, "grp").groupBy("grp", "large", "unit").agg(F.sum("bytes").alias("bytes")).withColumn("blocks", n_blocks)
+    units = materialise(units, "units")
+    total = units.agg(F.sum(F.col("bytes") * F.col("blocks"))).first()[0]
+    u, v = units.alias("u"), units.alias("v")
+    same = (F.col("u.large") == F.col("v.large")) & (F.col("u.unit") == F.col("v.unit"))
+    after = F.struct("u.large", "u.unit") < F.struct("v.large", "v.unit")
+    numbers = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), F.col(c) - 1))
+    both = u.join(v, (F.col("u.grp") == F.col("v.grp")) & ((same & ~F.col("u.large")) | after))
+    both = both.select("u.grp", same.alias("same"), *[F.col(f"{s}.{c}").alias(f"{s}_{c}") for s in "uv" for c in ("large", "unit", "blocks")])
+    tiles = both.withColumn("i", numbers("u_blocks")).withColumn("j", numbers("v_blocks")).filter("not same or i <= j")
+    tiles = tiles.withColumn("tile", F.xxhash64("u_large", "u_unit", "i", "v_large", "v_unit", "j"))
+    left = F.struct(F.col("u_large").alias("large"), F.col("u_unit").alias("unit"), F.col("i").alias("block"), F.lit(0).alias("side"))
+    right = F.struct(F.col("v_large").alias("large"), F.col("v_unit").alias("unit"), F.col("j").alias("block"), F.lit(1).alias("side"))
+    ends = F.when(F.col("same") & (F.col("i") == F.col("j")), F.array(left)).otherwise(F.array(left, right))
+    ends = tiles.select("grp", "tile", F.explode(ends).alias("e")).select("grp", "tile", "e.*")
+    placed = members.join(roots.select("grp", "root", "large", "unit"), ["grp", "root"]).join(units.select("grp", "large", "unit", "blocks"), ["grp", "large", "unit"])
+    placed = placed.select("grp", "large", "unit", F.pmod(F.xxhash64("cls"), F.col("blocks")).alias("block"), "cls", "root")
+    slot = F.pmod(F.xxhash64("grp", "tile"), F.lit(max(1, int(total or 0) // SLOT_BYTES))).alias("slot")
+    rows = placed.join(ends, ["grp", "large", "unit", "block"]).join(sets.select("cls", "tokens"), "cls").select(slot, "grp", "tile", "side", "cls", "root", "tokens")
+    found = materialise(rows.groupBy("slot").applyInArrow(lambda table: _compare_tiles(table, percent), "a long, b long"), "near")
+    discard(roots, units)
+    return found
+
+
+def _with_root(rows: DataFrame, groups: DataFrame, key: str, name: str) -> DataFrame:
+    """rows with the root of their column key, itself where no link has it."""
+    to = groups.select(F.col("key").alias(key), F.col("root").alias(name))
+    return rows.join(to, key, "left").withColumn(name, F.coalesce(name, key))
 
 
 def jaccard_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, and cls, the class of equal sets it is in."""
     small_batches(docs.sparkSession)
-    base = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    base = base.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
+    text = F.coalesce("text", F.lit(""))
+    # Two hashes, of the text and of text and id, name a row: 128 bits.
+    base = docs.select("doc_id", text.alias("text"), F.xxhash64(text, F.lit(17), "doc_id").alias("id_hash"), F.xxhash64(text).alias("text_hash"))
     size = base.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_shards = max(4, size // SHARD_BYTES)
-    index = base.select("doc_id", "text", "text_hash").mapInArrow(_indexer(n_shards, k, percent), _INDEX)
+    index = base.select("doc_id", "text", "id_hash", "text_hash").mapInArrow(_indexer(n_shards, k, percent), _INDEX)
     lists = materialise(index.groupBy("shard").applyInArrow(lambda table: _list_tokens(table, percent), _LISTS), "lists")
-    members = lists.filter("n IS NOT NULL").select("doc_id", "text_hash", "n", "cls")
-    reps = members.filter("n > 0").groupBy("cls").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("r"))
-    reps = materialise(reps.select("cls", "r.doc_id", "r.text_hash"), "classes")
+    members = lists.filter("n IS NOT NULL").select("doc_id", "id_hash", "text_hash", "n", "cls")
+    reps = members.filter("n > 0").groupBy("cls").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "id_hash", "text_hash")).alias("r"))
+    reps = materialise(reps.select("cls", "r.doc_id", "r.id_hash", "r.text_hash"), "classes")
 
-    pairs = lists.filter("met IS NOT NULL").groupBy("a", "b").agg(F.sum("met").alias("met"))
+    pairs = lists.filter("met IS NOT NULL").groupBy("a", "b").agg(F.sum("met").alias("met"), F.max("size").alias("size"))
     pairs = materialise(pairs, "pairs")
     long_ = lists.filter("token IS NOT NULL").select("token", F.col("a").alias("cls"), "need")
     active = pairs.select(F.explode(F.array("a", "b")).alias("cls")).unionByName(long_.select("cls")).distinct()
-    where = materialise(active.join(reps, "cls"), "active")
-    d, w = base.alias("d"), where.alias("w")
-    same = (F.col("d.text_hash") == F.col("w.text_hash")) & F.col("d.doc_id").eqNullSafe(F.col("w.doc_id"))
-    texts = materialise(d.join(w, same).select("w.cls", "d.text"), "texts")
+    where = materialise(active.join(reps, "cls").select("cls", "id_hash", "text_hash"), "active")
+    sets = base.join(where, ["id_hash", "text_hash"]).select("cls", "text").mapInArrow(lambda batches: _sets(batches, k), "cls long, n long, tokens binary")
+    sets = materialise(sets, "sets")
+    if sets.count() > where.count():  # rows that repeat id and text, in several tasks
+        sets = materialise(sets.dropDuplicates(["cls"]), "sets")
     discard(where)
 
-    # 1. Groups: each class with the one it met most, then what still joins different groups.
-    best = pairs.groupBy("b").agg(F.max_by("a", F.struct("met", -F.col("a").cast("decimal(20,0)"))).alias("a")).select("a", "b")
-    found = _verified(best, texts, k, percent)
-    groups = components(found)
-    to = groups.select(F.col("key").alias("b"), F.col("root").alias("rb"))
-    left = pairs.join(groups.select(F.col("key").alias("a"), F.col("root").alias("ra")), "a", "left").join(to, "b", "left")
-    left = left.filter(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b").join(best, ["a", "b"], "left_anti")
-    more = _verified(left, texts, k, percent)
+    # 1. Each class with the one it met most, then what still joins different families.
+    pairs = pairs.join(pairs.groupBy("b").agg(F.max_by("a", F.struct("met", -F.col("a").cast("decimal(20,0)"))).alias("best")), "b")
+    found = _verified(pairs.filter("a = best"), sets, percent)
+    families = components(found)
+    left = _with_root(_with_root(pairs.filter("a <> best"), families, "a", "ra"), families, "b", "rb")
+    more = _verified(left.filter("ra <> rb"), sets, percent)
+    found = found.unionByName(more)
     if more.take(1):
-        found = found.unionByName(more)
-        groups = components(found)
-    # 2. The matrix, over lists that reach into more than one group.
-    rows = long_.join(groups, long_.cls == groups.key, "left").select("token", "cls", "need", F.coalesce("root", "cls").alias("grp"))
-    several = rows.groupBy("token").agg(F.min("grp").alias("x"), F.max("grp").alias("y")).filter("x <> y").select("token")
-    rows = materialise(rows.join(several, "token"), "rows")
-    if rows.take(1):
-        matrix = rows.select("token", "grp").distinct()
-        sizes = rows.select("grp", "cls").distinct().groupBy("grp").agg(F.count(F.lit(1)).alias("size"))
-        # The smaller group asks, the larger one answers: one of the two directions is enough.
-        asks = rows.join(sizes, "grp").select("token", F.col("cls").alias("q"), "need", F.col("grp").alias("own"), F.col("size").alias("own_size"))
-        overlap = asks.join(matrix.join(sizes, "grp"), "token").filter("own <> grp AND (own_size < size OR (own_size = size AND own < grp))")
-        bound = overlap.groupBy("q", "grp").agg(F.count(F.lit(1)).alias("shared"), F.max("need").alias("need")).filter("shared >= need")
-        opened = materialise(bound.select("q", "grp"), "opened")
-        # 3. Members of opened groups that share a token with the query.
-        asks = rows.select("token", F.col("cls").alias("q")).join(opened, "q")
-        inside = asks.join(rows.select("token", "grp", F.col("cls").alias("x")), ["token", "grp"]).select(F.least("q", "x").alias("a"), F.greatest("q", "x").alias("b")).distinct()
-        last = _verified(inside, texts, k, percent)
+        families = components(found)
+    groups = components(found.filter("strong"))
+    # 2. The matrix, over lists that reach into more than one component.
+    rows = _with_root(long_, groups, "cls", "root")
+    several = rows.groupBy("token").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y").select("token")
+    rows = rows.join(several, "token")
+    enough = rows.groupBy("cls").agg(F.count(F.lit(1)).alias("held"), F.max("need").alias("need")).filter("held >= need").select("cls")
+    rows = materialise(_with_root(rows.join(enough, "cls"), families, "cls", "family"), "rows")
+    reach = rows.select("token", "family").distinct().groupBy("token").agg(F.count(F.lit(1)).alias("families"))
+    wide = rows.join(reach.filter("families > 1"), "token")
+    named = lambda kind, c: F.xxhash64(F.lit(kind), c).alias("grp")
+    hot = wide.filter(F.col("families") > MANY).select(named("list", "token"), "cls", "root")
+    wide = wide.filter(F.col("families") <= MANY)
+    sizes = rows.select("family", "cls").distinct().groupBy("family").agg(F.count(F.lit(1)).alias("members"))
+    asks = wide.join(sizes, "family").select("token", "cls", "root", "need", F.col("family").alias("own"), F.col("members").alias("own_members"))
+    matrix = wide.select("token", "family").distinct().join(sizes, "family")
+    # The smaller family asks, the larger one answers: one of the two directions is enough.
+    overlap = asks.join(matrix, "token").filter("own_members < members OR (own_members = members AND own < family)")
+    visits = overlap.groupBy("cls", "root", "family").agg(F.count(F.lit(1)).alias("shared"), F.max("need").alias("need")).filter("shared >= need")
+    # Pairs of short lists have been compared, but for those within one family.
+    inner = _with_root(_with_root(pairs, families, "a", "fa"), families, "b", "fb").filter("fa = fb").select("a", "b", F.col("fa").alias("family"))
+    inner = _with_root(_with_root(inner, groups, "a", "ra"), groups, "b", "rb").filter("ra <> rb")
+    inner = inner.select("family", F.explode(F.array(F.struct(F.col("a").alias("cls"), F.col("ra").alias("root")), F.struct(F.col("b").alias("cls"), F.col("rb").alias("root")))).alias("e"))
+    opened = rows.select(named("family", "family"), "cls", "root").unionByName(visits.select(named("family", "family"), "cls", "root"))
+    opened = opened.unionByName(inner.select(named("family", "family"), "e.cls", "e.root")).unionByName(hot).distinct()
+    opened = materialise(opened, "opened")
+    # 3. Opened families, tile by tile.
+    if opened.take(1):
+        last = _in_tiles(opened, sets, percent)
         if last.take(1):
-            groups = components(found.unionByName(last))
-    discard(texts, pairs, rows)
+            groups = components(found.filter("strong").select("a", "b").unionByName(last))
+    discard(sets, rows, opened)
     root = reps.join(groups, reps.cls == groups.key, "left").select("cls", F.coalesce("root", "cls").alias("root"), "doc_id")
     least = root.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     label = root.join(least, "root").select("cls", "component_id")
     return members.join(label, "cls", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), "cls", "text_hash"
+        "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), "cls", "id_hash", "text_hash"
     )
 
 
@@ -429,7 +609,7 @@ def keep_one(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     the winning text stay.
     """
     rows = jaccard_components(docs, k, percent)
-    stay = rows.filter("n_shingles = 0 OR doc_id <=> component_id").select("doc_id", "text_hash").distinct()
-    d, k = docs.alias("d"), materialise(stay, "stay").alias("k")
-    same = (F.xxhash64(F.coalesce("d.text", F.lit(""))) == F.col("k.text_hash")) & F.col("d.doc_id").eqNullSafe(F.col("k.doc_id"))
-    return d.join(k, same, "left_semi")
+    stay = materialise(rows.filter("n_shingles = 0 OR doc_id <=> component_id").select("id_hash", "text_hash").distinct(), "stay").alias("k")
+    text = F.coalesce("d.text", F.lit(""))
+    same = (F.xxhash64(text, F.lit(17), "d.doc_id") == F.col("k.id_hash")) & (F.xxhash64(text) == F.col("k.text_hash"))
+    return docs.alias("d").join(stay, same, "left_semi")

@@ -90,3 +90,70 @@ def test_keep_one_takes_five_words_and_four_fifths(spark):
     rows = [(3, " ".join(near), "k"), (1, " ".join(base), "k"), (7, " ".join(far), "k"), (8, None, "k"), (9, "", None)]
     out = J.keep_one(spark.createDataFrame(rows, "doc_id long, text string, source string"))
     assert out.columns == ["doc_id", "text", "source"] and sorted(r.doc_id for r in out.collect()) == [1, 7, 8, 9]
+
+
+def test_a_large_family_below_the_threshold(spark, monkeypatch):
+    """1,500 texts of equal length, all alike, few of which link; in one tile and in many."""
+    rng = random.Random(5)
+    base = [f"w{i}" for i in range(150)]
+    rows = []
+    for i in range(1500):
+        ws = list(base)
+        for _ in range(4):
+            ws[rng.randrange(150)] = f"x{rng.randrange(10**6)}"
+        rows.append((i, " ".join(ws)))
+    rows += [(1500 + i, t.replace("w3 ", "changed ")) for i, (_, t) in enumerate(rows[:40])]
+    expected = sorted((str(d), n, c) for d, n, c in _components_by_elements(rows))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    for least, most in ((1 << 20, 8 << 20), (1 << 15, 1 << 16)):
+        monkeypatch.setattr(J, "BLOCK_LEAST", least)
+        monkeypatch.setattr(J, "BLOCK_MOST", most)
+        got = sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in J.jaccard_components(df).collect())
+        assert got == expected
+
+
+def _components_by_elements(rows):
+    """As brute, with a matrix of elements."""
+    sets = [sets_of(t) for _, t in rows]
+    names = {e: i for i, e in enumerate(sorted({e for s in sets for e in s}))}
+    m = np.zeros((len(rows), len(names)), np.float32)
+    for i, s in enumerate(sets):
+        m[i, [names[e] for e in s]] = 1
+    n = m.sum(1)
+    both = m @ m.T
+    near = 100 * both >= 85 * (n[:, None] + n[None, :] - both)
+    root = np.arange(len(rows))
+    for _ in range(len(rows)):
+        new = np.where(near, root[None, :], len(rows)).min(1)
+        if (new == root).all():
+            break
+        root = new
+    return [(d, len(s), str(r)) for (d, _), s, r in zip(rows, sets, root, strict=True)]
+
+
+def test_many_families_share_a_token(spark, monkeypatch):
+    monkeypatch.setattr(J, "MANY", 2)
+    rows = _rows(150, 3)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in J.jaccard_components(df).collect()) == brute(rows)
+
+
+def test_open_groups_finds_what_connects():
+    rng = np.random.default_rng(3)
+    seeds = [np.unique(rng.integers(0, 2**48, 60, dtype=np.uint64)) for _ in range(6)]
+    sets = []
+    for i in range(200):
+        s = seeds[i % 6]
+        sets.append(np.unique(np.concatenate([rng.permutation(s)[rng.integers(0, 9) :], rng.integers(0, 2**48, rng.integers(0, 4), dtype=np.uint64)])))
+    for side in (np.zeros(200, np.int32), (np.arange(200) % 5 == 0).astype(np.int32)):
+        def roots(pairs):
+            r = np.arange(200)
+            for i, j in pairs:
+                r[r == r[i]] = r[j]
+            return np.unique(r, return_inverse=True)[1].tolist()
+
+        every = [(i, j) for i in range(200) for j in range(i) if J.links(sets[i], sets[j]) and (not side.any() or side[i] != side[j])]
+        some = J.open_groups(sets, np.arange(200), side, 85)
+        assert set(some) <= {*every, *((j, i) for i, j in every)} and len(some) < 200
+        a, b = roots(every), roots(some)
+        assert len(set(zip(a, b, strict=True))) == len(set(a)) == len(set(b))
