@@ -194,3 +194,22 @@ def test_samples_of_tissue_and_mixed_blocks(spark):
     pick = lambda how, n: sorted((r.slide, r.block_index) for r in frames.sample_blocks(work, how, n).collect())
     assert pick("tissue", 5) == [(0, 1), (0, 3), (0, 4), (0, 5)] and pick("tissue", 2) == [(0, 3), (0, 4)]
     assert pick("mixed", 2) == [(0, 1), (0, 4)] and pick("mixed", 9) == [(0, 1), (0, 4), (0, 5)]
+
+
+def test_components_by_one_task_and_by_rounds(spark, monkeypatch):
+    import random
+
+    from tessera.operators import graph
+
+    rng = random.Random(4)
+    links = [(rng.randrange(300) * 7 - 900, rng.randrange(300) * 7 - 900) for _ in range(220)] + [(5000 + i, 5001 + i) for i in range(90)] + [(6, 6)]
+    root = {k: k for pair in links if pair[0] != pair[1] for k in pair}
+    for _ in root:
+        for a, b in links:
+            if a != b:
+                root[a] = root[b] = min(root[a], root[b])
+    df = spark.createDataFrame(links, "a long, b long")
+    for few in (1 << 14, 1):
+        monkeypatch.setattr(graph, "FEW", few)
+        assert {r.key: r.root for r in graph.components(df).collect()} == root
+    assert graph.components(df.limit(0)).count() == 0
