@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,6 +39,16 @@ def discard(*frames: DataFrame) -> None:
             _written.remove((df.sparkSession, path))
 
 
+def sweep(spark: SparkSession) -> None:
+    """Have the driver collect what nothing refers to any more.
+
+    Spark deletes the shuffle files of a finished step when its plan is collected, which a driver with a large heap may
+    put off until long after the next steps have needed the disk.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def _delete(spark: SparkSession, path: str) -> None:
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
