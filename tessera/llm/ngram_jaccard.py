@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.storage import discard, materialise
+from tessera.functions.storage import discard, materialise, sweep
 from tessera.llm.common import flat, mix64, small_batches
 from tessera.operators.graph import components
 
@@ -539,6 +539,7 @@ def jaccard_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT
     n_shards = max(4, size // SHARD_BYTES)
     index = base.select("doc_id", "text", "id_hash", "text_hash").mapInArrow(_indexer(n_shards, k, percent), _INDEX)
     lists = materialise(index.groupBy("shard").applyInArrow(lambda table: _list_tokens(table, percent), _LISTS), "lists")
+    sweep(docs.sparkSession)
     members = lists.filter("n IS NOT NULL").select("doc_id", "id_hash", "text_hash", "n", "cls")
     reps = members.filter("n > 0").groupBy("cls").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "id_hash", "text_hash")).alias("r"))
     reps = materialise(reps.select("cls", "r.doc_id", "r.id_hash", "r.text_hash"), "classes")
@@ -548,8 +549,10 @@ def jaccard_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT
     long_ = lists.filter("token IS NOT NULL").select("token", F.col("a").alias("cls"), "need")
     active = pairs.select(F.explode(F.array("a", "b")).alias("cls")).unionByName(long_.select("cls")).distinct()
     where = materialise(active.join(reps, "cls").select("cls", "id_hash", "text_hash"), "active")
-    sets = base.join(where, ["id_hash", "text_hash"]).select("cls", "text").mapInArrow(lambda batches: _sets(batches, k), "cls long, n long, tokens binary")
-    sets = materialise(sets, "sets")
+    # The active classes grow with the table, so they are never broadcast.
+    rows = base.join(where.hint("merge"), ["id_hash", "text_hash"]).select("cls", "text")
+    sets = materialise(rows.mapInArrow(lambda batches: _sets(batches, k), "cls long, n long, tokens binary"), "sets")
+    sweep(docs.sparkSession)
     if sets.count() > where.count():  # rows that repeat id and text, in several tasks
         sets = materialise(sets.dropDuplicates(["cls"]), "sets")
     discard(where)
