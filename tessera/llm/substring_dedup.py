@@ -8,24 +8,26 @@ start at anchors, about one in 33, need to be indexed. The windows that share on
 
 1. Each task turns its texts into entries (fingerprint of the gram, fingerprint of the whole region, document, place)
    and folds equal regions at once, keeping the earliest: a passage in a third of all texts leaves a task once.
-2. Entries are dealt to shards by the gram. A shard's arrivals are batches: each is sorted into a suffix array ordered
-   by fingerprint, is merge-scanned with the levels of equal size that exist, and merges with them geometrically. A
-   scan that meets equal regions keeps the earlier and reports the later as covered. What is left at the end are
-   distinct regions; those whose gram occurs in several are reported for checking.
-3. Texts meet the reports (dealt by a hash of the id, in blocks of bounded size). A text without reports to check is
-   finished. For the others the bytes of such regions go back to shards of the gram, where their windows are compared
-   byte by byte.
+2. Entries are dealt to shards by the gram, where equal regions are folded again. What is left are distinct regions;
+   those whose gram occurs in several may still share windows and are reported for checking.
+3. Texts meet the reports (dealt by a hash of id and text, in blocks of bounded size). A text without reports to check
+   is finished. For the others the bytes of such regions go to shards of the gram, and there to the index family:
+   the regions of one block are a batch, whose windows get a suffix array (the sparse suffixes in lexicographic order of
+   their bytes); it is merge-scanned with the levels that exist, where neighbours with a common prefix of LENGTH bytes
+   are matches of which the earlier stays; and levels of equal size merge geometrically, so that each window takes part in
+   a logarithmic number of merges. A merge of two sorted levels is linear (timsort joins two runs).
 4. The texts that waited get their windows from 3 and are finished.
 
-Grams that a sample shows in more than HOT of the texts would gather in one shard; each of their windows is an entry of
-its own, dealt by the window's content.
+Hot grams. A counting pass takes a histogram of the grams' hashes over all texts. Hashes of more than a fixed number of entries
+above the mean (HOT) would gather in one shard; each window of their regions is an entry of its own, dealt by the
+window's content and folded by its fingerprint in tasks first. So no gram has more than that many regions in 3.
 
-Fingerprints are 64 bits, of the region as a whole; two different regions with one fingerprint are the only way to go
-wrong, at odds of n^2 / 2^65 for n regions of one shard group.
+Fingerprints are 64 bits, of a region as a whole (or of a hot gram's window); two different ones with one fingerprint are
+the only way to go wrong, at odds of n^2 / 2^65 for n regions of one gram's 32 bits. What 3 compares, it compares byte by byte.
 
 Edge cases: null and empty texts have no bytes (and the empty digest's hash); texts under LENGTH bytes keep all bytes;
-rows that repeat both doc_id and text count as one document and get the same result; of one id's different texts the one
-of smaller sha256 is earlier; a null id is later than all others; extra columns are ignored.
+rows that repeat both doc_id and text count as one document, get the same result and are dealt to one block; of one id's different texts the one
+of smaller sha256 is earlier; a null id is later than all others (2^63 - 1 is taken for null); an empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -38,18 +40,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.functions.storage import discard, sweep
 from tessera.llm.common import flat, materialise, mix64, small_batches
 
 LENGTH = 100
 K = 36
 #: Bytes of text handled at a time; positions within must fit 20 bits.
 BLOCK = 1 << 19
-#: Bytes of text whose entries a task gathers before it sends them off.
-GATHER = 32 << 20
+#: Bytes of entries that a task gathers before it folds them and sends them off.
+GATHER = 40 << 20
 #: Bytes of text for each shard of entries, and for each block of texts.
 SHARD_BYTES, BLOCK_BYTES = 16 << 20, 6 << 20
-#: Texts in the sample that finds hot grams, and the share of them that makes one hot.
-SAMPLE, HOT = 1500, 0.004
+#: Entries above the mean of all hashes that make a hash of grams hot; and about how many entries a hash has.
+HOT, MEAN = 2048, 256
+#: Windows that are put into one index family together.
+CHUNK = 1 << 17
 NULL_ID = np.iinfo(np.int64).max
 
 _B = 0x9E3779B97F4A7C15
@@ -136,12 +141,13 @@ def text_regions(raw: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, in
         i = j
 
 
-def _entries(docs: np.ndarray, shas: np.ndarray, raw: np.ndarray, offsets: np.ndarray, hot: np.ndarray) -> Iterator[np.ndarray]:
+def _entries(docs: np.ndarray, shas: np.ndarray, raw: np.ndarray, offsets: np.ndarray, hot: np.ndarray, n_buckets: int) -> Iterator[np.ndarray]:
+    """The regions of the texts as entries; hot: the hashes of grams whose windows are entries."""
     for i, base, r, part in text_regions(raw, offsets):
         if not len(r["at"]):
             continue
         if len(hot):
-            is_hot = np.isin(r["gram"], hot)
+            is_hot = np.isin(_bucket(r["gram"], n_buckets), hot)
             if is_hot.any():
                 yield _windows(docs, shas, offsets, i, base, {f: v[is_hot] for f, v in r.items()}, part)
                 r = {f: v[~is_hot] for f, v in r.items()}
@@ -157,6 +163,10 @@ def _short(gram: np.ndarray) -> np.ndarray:
     return (gram >> np.uint64(32)).astype(np.uint32)
 
 
+def _bucket(gram: np.ndarray, n_buckets: int) -> np.ndarray:
+    return (_short(gram) % np.uint32(n_buckets)).astype(np.int64)
+
+
 def _windows(docs, shas, offsets, i, base, r, part) -> np.ndarray:
     """Each window of the regions as an entry, dealt by its own content."""
     p, inv = _table(len(part) + 1)
@@ -193,29 +203,50 @@ def fold(e: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class IndexFamily:
-    """Suffix arrays of geometrically growing size; no two levels hold about as much."""
+    """Suffix arrays of windows, in levels of geometrically growing size; no two levels hold about as much.
+
+    A level: the distinct windows in lexicographic order, as (keys, ranks): LENGTH bytes, and the earliest place of all
+    that were met. `covered` gathers the ranks of windows that an earlier one equals.
+    """
 
     def __init__(self):
-        self.levels: dict[int, np.ndarray] = {}
+        self.levels: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         self.covered: list[np.ndarray] = []
 
-    def add(self, batch: np.ndarray) -> None:
-        level, later = fold(batch)
-        self.covered.append(later)
-        size = max(1, len(batch)).bit_length()
+    def add(self, keys: np.ndarray, ranks: np.ndarray) -> None:
+        """keys: (n, LENGTH) bytes of a batch's windows."""
+        size, level = max(1, len(keys)).bit_length(), self._scan(keys, ranks)
         while size in self.levels:  # merge-scan with the level of equal size, which moves both one level up
-            level, later = fold(np.concatenate([self.levels.pop(size), level]))
-            self.covered.append(later)
+            level = self._joined(level, self.levels.pop(size))
             size += 1
         self.levels[size] = level
 
-    def finish(self) -> tuple[np.ndarray, np.ndarray]:
-        """All distinct regions, in order; and all entries that an earlier one covers."""
-        rest = np.zeros(0, ENTRY)
+    def finish(self) -> np.ndarray:
+        """The ranks of all windows that an earlier one equals."""
+        level = None
         for size in sorted(self.levels):
-            rest, later = fold(np.concatenate([rest, self.levels[size]]))
-            self.covered.append(later)
-        return rest, np.concatenate(self.covered) if self.covered else np.zeros(0, ENTRY)
+            level = self.levels[size] if level is None else self._joined(level, self.levels[size])
+        return np.concatenate(self.covered) if self.covered else np.zeros(0, np.int64)
+
+    def _joined(self, x: tuple[np.ndarray, np.ndarray], y: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        return self._scan(np.concatenate([x[0], y[0]]), np.concatenate([x[1], y[1]]))
+
+    def _scan(self, keys: np.ndarray, ranks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if not len(keys):
+            return keys, ranks
+        order = np.argsort(np.ascontiguousarray(keys).view(f"V{LENGTH}").ravel(), kind="stable")
+        keys, ranks = keys[order], ranks[order]
+        match = common_prefix(keys[:-1], keys[1:]) >= LENGTH
+        head = np.flatnonzero(np.r_[True, ~match])
+        first = np.minimum.reduceat(ranks, head)
+        self.covered.append(ranks[ranks != np.repeat(first, np.diff(np.r_[head, len(ranks)]))])
+        return keys[head], first
+
+
+def common_prefix(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """The length of the common prefix of each row of x and y."""
+    differ = x != y
+    return np.where(differ.any(1), differ.argmax(1), x.shape[1])
 
 
 def _report(e: np.ndarray, check: int) -> np.ndarray:
@@ -226,8 +257,8 @@ def _report(e: np.ndarray, check: int) -> np.ndarray:
     return out
 
 
-def _block_of(doc: np.ndarray, n: int) -> np.ndarray:
-    """pmod(xxhash64(doc), n) as Spark computes it for a bigint."""
+def _block_of(doc: np.ndarray, sha: np.ndarray, n: int) -> np.ndarray:
+    """_block_sql: xxhash64(doc) as Spark computes it for a bigint, mixed with the upper 60 bits of the sha256."""
     p1, p2, p3 = np.uint64(0x9E3779B185EBCA87), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
     p4, p5 = np.uint64(0x85EBCA77C2B2AE63), np.uint64(0x27D4EB2F165667C5)
 
@@ -238,7 +269,7 @@ def _block_of(doc: np.ndarray, n: int) -> np.ndarray:
     h = rotl(h, 27) * p1 + p4
     h = (h ^ (h >> np.uint64(33))) * p2
     h = (h ^ (h >> np.uint64(29))) * p3
-    return (h ^ (h >> np.uint64(32))).view(np.int64) % n
+    return (h ^ (h >> np.uint64(32)) ^ (sha.astype(np.uint64) >> np.uint64(4))).view(np.int64) % n
 
 
 def pack(rows: np.ndarray) -> bytes:
@@ -286,21 +317,31 @@ def _texts(batch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     return ids, shas, raw, offsets
 
 
-def _hot_grams(docs: DataFrame, n: int) -> np.ndarray:
-    """Grams in more than HOT of a bounded sample of texts; no more than one for each region of the sample."""
-    rate = min(1.0, SAMPLE / max(1, n))
-    rows = docs.select("text")
-    rows = (rows.sample(False, rate, 3) if rate < 1 else rows).limit(2 * SAMPLE).collect()
-    seen: list[np.ndarray] = []
-    for r in rows:
-        raw = np.frombuffer((r.text or "").encode(), np.uint8)
-        found = [x["gram"] for _, _, x, _ in text_regions(raw, np.array([0, len(raw)]))]
-        if found:
-            seen.append(np.unique(np.concatenate(found)))
-    if not seen:
-        return np.zeros(0, np.uint64)
-    grams, count = np.unique(np.concatenate(seen), return_counts=True)
-    return grams[count >= max(12, HOT * len(rows))]
+def _hot_grams(texts: DataFrame, n_buckets: int) -> np.ndarray:
+    """The hashes of grams with over HOT entries more than twice the mean; no more of them than the table has entries / HOT."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+
+        def flush():
+            pairs = np.unique(np.concatenate(held)) if held else np.zeros(0, np.uint64)  # equal regions leave a task once
+            found, times = np.unique((pairs >> np.uint64(32)).astype(np.int64) % n_buckets, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(times.astype(np.int64))], ["bucket", "n"])
+
+        for batch in batches:
+            raw, offsets = flat(batch.column(0))
+            held += [r["gram"] & ~np.uint64(0xFFFFFFFF) | r["region"] >> np.uint64(32) for _, _, r, _ in text_regions(raw, offsets)]
+            if sum(map(len, held)) > 1 << 20:
+                yield from flush()
+                held = []
+        yield from flush()
+
+    counts = texts.select("text").mapInArrow(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
+    counts = materialise(counts, "grams")
+    mean = (counts.agg(F.sum("n")).first()[0] or 0) / n_buckets
+    hot = [r.bucket for r in counts.filter(F.col("n") > 2 * mean + HOT).collect()]
+    discard(counts)
+    return np.array(sorted(hot), dtype=np.int64)
 
 
 def substring_dedup(docs: DataFrame) -> DataFrame:
@@ -309,9 +350,10 @@ def substring_dedup(docs: DataFrame) -> DataFrame:
     small_batches(spark)
     text = F.coalesce("text", F.lit(""))
     base = docs.select("doc_id", F.sha2(text, 256).alias("sha"), text.alias("text"))
-    size, n = base.agg(F.sum(F.octet_length("text")), F.count(F.lit(1))).first()
-    n_shards, n_blocks = max(4, (size or 0) // SHARD_BYTES), max(4, (size or 0) // BLOCK_BYTES)
-    hot = _hot_grams(docs, n)
+    size = base.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    n_shards, n_blocks = max(4, size // SHARD_BYTES), max(4, size // BLOCK_BYTES)
+    n_buckets = min(1 << 24, max(64, size // 33 // MEAN))
+    hot = _hot_grams(base, n_buckets)
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
@@ -328,11 +370,12 @@ def substring_dedup(docs: DataFrame) -> DataFrame:
 
         for batch in batches:
             ids, shas, raw, offsets = _texts(batch)
-            held += list(_entries(ids, shas, raw, offsets, hot))
-            size += len(raw)
-            if size >= GATHER:
-                yield from flush()
-                held, size = [], 0
+            for e in _entries(ids, shas, raw, offsets, hot, n_buckets):
+                held.append(e)
+                size += e.nbytes
+                if size >= GATHER:
+                    yield from flush()
+                    held, size = [], 0
         yield from flush()
 
     def merge(table: pa.Table) -> pa.Table:
@@ -340,10 +383,7 @@ def substring_dedup(docs: DataFrame) -> DataFrame:
         if table.num_rows and table.column(0)[0].as_py() < 0:
             out = _report(np.concatenate(arrived), 0)
         else:
-            family = IndexFamily()
-            for batch in arrived:
-                family.add(batch)
-            rest, covered = family.finish()
+            rest, covered = fold(np.concatenate(arrived))
             order = np.argsort(rest["gram"], kind="stable")
             g = rest["gram"][order]
             twin = np.zeros(len(g), bool)
@@ -352,18 +392,20 @@ def substring_dedup(docs: DataFrame) -> DataFrame:
                 twin[1:] |= equal
                 twin[:-1] |= equal
             out = np.concatenate([_report(covered, 0), _report(rest[order[twin]], 1)])
-        return _dealt(out, _block_of(out["doc"], n_blocks), "block")
+        return _dealt(out, _block_of(out["doc"], out["sha"], n_blocks), "block")
 
     entries = base.mapInArrow(index, "shard long, records binary")
     reports = materialise(entries.groupBy("shard").applyInArrow(merge, "block long, records binary"), "reports")
+    sweep(spark)
 
     # Texts meet the reports of their block. kind 0: finished; 1: waits; 2: regions to compare.
     schema = "kind int, block long, doc_id long, sha string, text string, n_bytes long, n_removed long, n_spans long, kept_sha256 string, shard long, records binary"
 
-    block = F.expr(_block_sql("doc_id", n_blocks))
-    placed = base.select(block.alias("block"), "doc_id", "sha", "text")
+    placed = base.select(F.expr(_block_sql(n_blocks)).alias("block"), "doc_id", "sha", "text")
     met = placed.groupBy("block").cogroup(reports.groupBy("block")).applyInArrow(_meeter(n_shards), schema)
     met = materialise(met, "met")
+    discard(reports)
+    sweep(spark)
 
     compared = met.filter("kind = 2").select("shard", "records").groupBy("shard").applyInArrow(_comparer(n_blocks), "block long, records binary")
     waiting = met.filter("kind = 1").select("block", "doc_id", "sha", "text", "records")
@@ -423,26 +465,57 @@ def _meeter(n_shards: int):
     return meet
 
 
-def compare(e: np.ndarray, data: list[bytes]) -> np.ndarray:
-    """Reports of the windows, among regions of equal grams, that an earlier region holds too."""
-    order = np.lexsort((e["at"], e["sha"], e["doc"], e["gram"])).tolist()
-    grams, docs, shas, ats, ns = (e[f].tolist() for f in ("gram", "doc", "sha", "at", "n"))
-    out: list[tuple] = []
-    gram, best = None, {}
-    for k in order:
-        if grams[k] != gram:
-            gram, best = grams[k], {}
-        own, at, text, run = (docs[k], shas[k]), ats[k], data[k], 0
-        for w in range(ns[k]):
-            me = (own, at + w)
-            if best.setdefault(text[w : w + LENGTH], me) != me:
-                run += 1
-            elif run:
-                out.append((*own, at + w - run, run, gram, 0))
-                run = 0
-        if run:
-            out.append((*own, at + ns[k] - run, run, gram, 0))
-    return np.array(out, REPORT) if out else np.zeros(0, REPORT)
+def _keys_of(data: list[bytes], n: np.ndarray) -> np.ndarray:
+    """The windows of regions with n windows each, as rows of LENGTH bytes."""
+    raw = np.frombuffer(b"".join(data), np.uint8)
+    length = n + LENGTH - 1
+    starts = np.cumsum(length) - length
+    first = np.cumsum(n) - n
+    at = np.arange(n.sum()) - np.repeat(first, n) + np.repeat(starts, n)
+    return np.lib.stride_tricks.sliding_window_view(raw, LENGTH)[at]
+
+
+def compare(e: np.ndarray, data: list[bytes], batch: np.ndarray | None = None) -> np.ndarray:
+    """Reports of the windows, among regions of equal grams, that an earlier region holds too.
+
+    batch: the batch that each region came in. Grams are taken together up to CHUNK windows, and have one family.
+    """
+    batch = np.zeros(len(e), np.int64) if batch is None else batch
+    order = np.lexsort((e["at"], e["sha"], e["doc"], e["gram"]))
+    t = e[order]
+    again = np.r_[False, np.all([t[f][1:] == t[f][:-1] for f in ("gram", "doc", "sha", "at")], axis=0)] if len(t) else np.zeros(0, bool)
+    order = order[~again]  # repeated rows report the same region
+    gram, n = e["gram"][order], e["n"][order].astype(np.int64)
+    ends = np.flatnonzero(np.r_[gram[1:] != gram[:-1], True]) + 1 if len(gram) else np.zeros(0, np.int64)
+    total = np.concatenate([[0], np.cumsum(n)])
+    out, lo = [], 0
+    for hi in ends.tolist():
+        if total[hi] - total[lo] < CHUNK and hi < len(order):
+            continue
+        r = order[lo:hi]
+        r = r[np.lexsort((e["at"][r], e["sha"][r], e["doc"][r]))]  # a window's rank is its place in this order
+        m = e["n"][r].astype(np.int64)
+        first = np.concatenate([[0], np.cumsum(m)])
+        family = IndexFamily()
+        for b in np.unique(batch[r]).tolist():
+            i = np.flatnonzero(batch[r] == b)
+            ranks = np.arange(m[i].sum()) + np.repeat(first[i] - (np.cumsum(m[i]) - m[i]), m[i])
+            family.add(_keys_of([data[k] for k in r[i]], m[i]), ranks)
+        gone = np.zeros(first[-1] + 1, bool)
+        gone[family.finish()] = True
+        owner = np.repeat(np.arange(len(r)), m)
+        edge = np.r_[True, owner[1:] != owner[:-1], True]
+        on = gone[:-1]
+        start = np.flatnonzero(on & (edge[:-1] | np.r_[True, ~on[:-1]]))
+        stop = np.flatnonzero(on & (edge[1:] | np.r_[~on[1:], True])) + 1
+        rows = np.empty(len(start), REPORT)
+        own = r[owner[start]]
+        for f in ("doc", "sha", "gram"):
+            rows[f] = e[f][own]
+        rows["at"], rows["n"], rows["check"] = e["at"][own] + start - first[owner[start]], stop - start, 0
+        out.append(rows)
+        lo = hi
+    return np.concatenate(out) if out else np.zeros(0, REPORT)
 
 
 def _comparer(n_blocks: int):
@@ -453,8 +526,9 @@ def _comparer(n_blocks: int):
             ends = np.cumsum(e["n"].astype(np.int64) + LENGTH - 1).tolist()
             data += [blob[a:b] for a, b in zip([0, *ends], ends, strict=False)]
             found.append(e)
-        out = compare(np.concatenate(found), data) if found else np.zeros(0, REPORT)
-        return _dealt(out, _block_of(out["doc"], n_blocks), "block")
+        batch = np.repeat(np.arange(len(found)), [len(e) for e in found])
+        out = compare(np.concatenate(found), data, batch) if found else np.zeros(0, REPORT)
+        return _dealt(out, _block_of(out["doc"], out["sha"], n_blocks), "block")
 
     return run
 
@@ -474,8 +548,8 @@ def _finish_late(left: pa.Table, right: pa.Table) -> pa.Table:
     })
 
 
-def _block_sql(column: str, n: int) -> str:
-    return f"pmod(xxhash64(coalesce({column}, {NULL_ID}L)), {n}L)"
+def _block_sql(n: int) -> str:
+    return f"pmod(xxhash64(coalesce(doc_id, {NULL_ID}L)) ^ cast(conv(substring(sha, 1, 15), 16, 10) as bigint), {n}L)"
 
 
 def cover(n_bytes: int, at: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -61,15 +61,13 @@ def test_cut_texts_and_hot_grams(spark, monkeypatch):
     rows = _rows(60, 2)
     want = brute(rows)
     raw = [np.frombuffer((t or "").encode(), np.uint8) for _, t in rows]
-    hot = np.unique(np.concatenate([x["gram"] for r in raw for _, _, x, _ in S.text_regions(r, np.array([0, len(r)]))]))[::3]
+    grams = np.concatenate([x["gram"] for r in raw for _, _, x, _ in S.text_regions(r, np.array([0, len(r)]))])
+    hot = np.unique(S._bucket(grams, 64))[::3]
     ids = np.array([NULL if i is None else i for i, _ in rows])
     shas = np.array([int(hashlib.sha256((t or "").encode()).hexdigest()[:16], 16) for _, t in rows], np.uint64)
     data = "".join(t or "" for _, t in rows).encode()
     offsets = np.cumsum([0] + [len((t or "").encode()) for _, t in rows])
-    family = S.IndexFamily()
-    for e in S._entries(ids, shas, np.frombuffer(data, np.uint8), offsets, hot):
-        family.add(e)
-    rest, covered = family.finish()
+    rest, covered = S.fold(np.concatenate(list(S._entries(ids, shas, np.frombuffer(data, np.uint8), offsets, hot, 64))))
     order = np.argsort(rest["gram"], kind="stable")
     g = rest["gram"][order]
     twin = np.zeros(len(g), bool)
@@ -77,7 +75,8 @@ def test_cut_texts_and_hot_grams(spark, monkeypatch):
     twin[:-1] |= g[1:] == g[:-1]
     check = S._report(rest[order[twin]], 1)
     text = {(int(i), int(s)): (t or "").encode() for i, s, (_, t) in zip(ids, shas, rows, strict=True)}
-    more = S.compare(check, [text[(int(e["doc"]), int(e["sha"]))][e["at"] : e["at"] + int(e["n"]) + S.LENGTH - 1] for e in check])
+    monkeypatch.setattr(S, "CHUNK", 500)
+    more = S.compare(check, [text[(int(e["doc"]), int(e["sha"]))][e["at"] : e["at"] + int(e["n"]) + S.LENGTH - 1] for e in check], np.arange(len(check)) % 7)
     rows_, of = S._slices(np.concatenate([S._report(covered, 0), more]))
     got = []
     for i, s, (_, t) in zip(ids, shas, rows, strict=True):
@@ -93,5 +92,35 @@ def test_empty_table(spark):
 @pytest.mark.parametrize("n", [1, 7, 100])
 def test_block_of_equals_spark(spark, n):
     ids = np.array([0, 1, -5, 10**15, NULL])
-    got = [r[0] for r in spark.createDataFrame([(int(i),) for i in ids], "doc_id long").selectExpr(S._block_sql("doc_id", n)).collect()]
-    assert got == S._block_of(ids, n).tolist()
+    shas = [hashlib.sha256(str(i).encode()).hexdigest() for i in ids]
+    df = spark.createDataFrame([(int(i), x) for i, x in zip(ids, shas, strict=True)], "doc_id long, sha string")
+    got = [r[0] for r in df.selectExpr(S._block_sql(n)).collect()]
+    assert got == S._block_of(ids, np.array([int(x[:16], 16) for x in shas], np.uint64), n).tolist()
+
+
+def test_every_gram_hot_and_all_ids_null(spark, monkeypatch):
+    monkeypatch.setattr(S, "HOT", -(10**6))
+    rows = _rows(40, 3)
+    assert _got(spark, rows) == brute(rows)
+    rows = [(None, t) for _, t in _rows(20, 4)]
+    assert _got(spark, rows) == brute(rows)
+
+
+def test_index_family_against_a_dictionary():
+    """Levels are lexicographic and distinct at any time, and the later of equal windows are covered."""
+    rng = np.random.default_rng(2)
+    pool = rng.integers(97, 99, (40, S.LENGTH)).astype(np.uint8)
+    pool[:, :-3] = pool[0, :-3]  # common prefixes up to the last bytes
+    keys = pool[rng.integers(0, 40, 700)]
+    ranks = rng.permutation(700)
+    family = S.IndexFamily()
+    for a in range(0, 700, 23):
+        family.add(keys[a : a + 23], ranks[a : a + 23])
+        for k, r in family.levels.values():
+            rows = [x.tobytes() for x in k]
+            assert rows == sorted(set(rows)) and len(r) == len(rows)
+    assert len(family.levels) <= 6
+    first = {}
+    for k, r in sorted(zip([x.tobytes() for x in keys], ranks.tolist(), strict=True), key=lambda x: x[1]):
+        first.setdefault(k, r)
+    assert sorted(family.finish().tolist()) == sorted(set(ranks.tolist()) - set(first.values()))
