@@ -17,8 +17,10 @@ def with_suffix(stem: Column, label: Column, pad: int = 4) -> Column:
 
 
 def normal_extension(ext: Column) -> Column:
-    e = F.regexp_replace(F.lower(ext), "^\\.", "")
-    return F.when(e == "jpeg", "jpg").when(e == "tiff", "tif").otherwise(e)
+    """jpg, tiff or png, whatever the case and with or without leading dots; any other is an error."""
+    e = F.regexp_replace(F.lower(ext), r"^\.+", "")
+    known = F.when(e.isin("jpg", "jpeg"), "jpg").when(e.isin("tif", "tiff"), "tiff").when(e == "png", "png")
+    return F.when(e.isNull(), e).otherwise(F.coalesce(known, F.raise_error(F.concat(F.lit("unknown extension: "), ext)).cast("string")))
 
 
 def parse_name(name: Column) -> Column:
@@ -39,24 +41,28 @@ def safe_name(s: Column) -> Column:
     return F.when(t == "", F.lit("untitled")).otherwise(t)
 
 
-def job_id(row_number: Column, *fields: Column) -> Column:
+def job_id(batch: Column, row_number: Column, identifier: Column, path: Column, stage: str = "tissue_detection") -> Column:
     """tissue-detection-row-%05d- and 12 hex digits of the sha256 of the fields joined by |; nulls count as empty."""
-    text = F.concat_ws("|", *[F.coalesce(c.cast("string"), F.lit("")) for c in fields])
+    text = F.concat_ws("|", *[F.coalesce(c.cast("string"), F.lit("")) for c in (batch, row_number, identifier, path, F.lit(stage))])
     return F.concat(F.format_string("tissue-detection-row-%05d-", row_number.cast("long")), F.substring(F.sha2(text, 256), 1, 12))
 
 
 def human_bytes(n: Column) -> Column:
-    """The largest unit of 1024 steps with one decimal, half to even; bytes as they are."""
-    x, out = n.cast("double"), F.format_string("%d B", n.cast("long"))
-    for k, unit in enumerate(("KiB", "MiB", "GiB", "TiB"), 1):
-        out = F.when(x >= 1024.0**k, F.format_string(f"%.1f {unit}", F.rint(x / 1024.0**k * 10) / 10)).otherwise(out)
+    """The largest unit of 1024 steps up to TiB, with two decimals: the nearest to the binary value, exact ties half to even."""
+    x = n.cast("double")
+    out = None
+    for k, unit in reversed(list(enumerate(("B", "KiB", "MiB", "GiB", "TiB")))):
+        v = x / 1024.0**k
+        text = F.concat(F.format_number(F.rint(v * 100) / 100, "0.00"), F.lit(f" {unit}"))
+        out = text if out is None else F.when(v < 1024.0, text).otherwise(out)
     return out
 
 
 def accepted(source: Column, extensions: list[str]) -> Column:
-    """Whether the path of a URL, or the value itself, ends in one of the extensions, whatever the case."""
-    path = F.lower(F.regexp_replace(source, r"[?#].*$", ""))
+    """Whether the path of a URL (its escapes undone), or the value itself, ends in one of the extensions, whatever the case."""
+    path = F.regexp_extract(source, r"^[A-Za-z][A-Za-z0-9+.-]*:(?://[^/?#]*)?([^?#]*)", 1)
+    target = F.lower(F.when(path != "", F.coalesce(F.try_url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))), path)).otherwise(source))
     out = F.lit(False)
     for e in extensions:
-        out = out | path.endswith(e.lower())
+        out = out | target.endswith(e.lower())
     return out

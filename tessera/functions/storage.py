@@ -43,9 +43,11 @@ def sweep(spark: SparkSession) -> None:
     """Have the driver collect what nothing refers to any more.
 
     Spark deletes the shuffle files of a finished step when its plan is collected, which a driver with a large heap may
-    put off until long after the next steps have needed the disk.
+    put off until long after the next steps have needed the disk. Spark's listeners and scheduler hold the plan that ran
+    last until another one has run, so a small one does.
     """
     gc.collect()
+    spark.range(1).write.format("noop").mode("overwrite").save()
     spark._jvm.System.gc()
 
 
