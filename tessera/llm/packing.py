@@ -2,22 +2,24 @@
 
 A document's ids (then id 0) form a piece, or pieces of the capacity if it is longer. Each piece goes where the sum,
 over residual gaps, of the squared count of open bins with that gap becomes smallest; opening a bin is one of the
-choices. That keeps open bins of every gap in stock and leaves few bins unfilled.
+choices. That keeps open bins of every gap in stock and leaves few bins unfilled. Pieces are taken in falling order of length.
 
-Packing is sequential, so it is done in shards of bounded size (SHARD pieces, drawn by a hash, whatever the source or
-the copies of a document), all in parallel. What a shard can't close well is packed again: the bins that lack more
-than SLACK tokens are dissolved, and their pieces, a small part of all, packed in larger shards, and the leftovers of
-those once more. A round that would not shrink the leftovers is the last. No task ever holds more than a shard.
+Packing is sequential, so it is done in shards of about SHARD pieces, drawn by a hash of the piece and of its row's place, so
+that copies and repeated rows are dealt like others, all in parallel. What a shard can't close well is packed again: the bins that lack more
+than SLACK tokens are dissolved, and their pieces, a small part of all, dealt to fewer shards of the same size, and the
+leftovers of those once more. A round that would not shrink the leftovers is the last.
 
 Words repeat, so a worker tokenises only words it has not seen lately: the vocabulary drops white space, and no merge
-crosses it, so a text's ids are its words' ids one after another.
+crosses it, so a text's ids are its words' ids one after another. Special tokens that stand in a text are taken as such, as the
+library does by default. Both hold for the pipeline that USUAL describes; with any other file the library encodes whole texts.
 
-Edge cases: null and empty texts are one piece that holds only id 0; repeated rows and null ids are packed like any
-others; extra columns are ignored; an empty table gives no rows.
+Edge cases: null and empty texts are one piece that holds only id 0; texts of any length are tokenised whole; repeated rows
+and null ids are packed like any others; extra columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from collections.abc import Iterator
@@ -37,8 +39,14 @@ CAPACITY = 2048
 SHARD = 20_000
 #: A bin that lacks more tokens than this after a round is packed again.
 SLACK = 0
-#: Words that a worker remembers.
-MEMO = 900_000
+#: Words that a worker remembers, and the longest that it does.
+MEMO, LONGEST = 900_000, 64
+#: Fixed value: the normaliser and the cut of the pipeline whose words can be taken one by one.
+USUAL = (
+    ["NFC", "Replace", "Lowercase"],
+    ["Split", "ByteLevel"],
+    r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+",
+)
 
 # Fixed value: the characters with the Unicode property White_Space.
 _SPACE = regex.compile("[\t-\r \x85\xa0  -     　]+")
@@ -64,18 +72,22 @@ class WordIds(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.by_word, self.special = _usual(self.tokenizer.to_str())
+        self.specials = re.compile("|".join(map(re.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
         self.old: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
-        self.model, self.normalise = self.tokenizer.model, self.tokenizer.normalizer.normalize_str
-        self.cut = self.tokenizer.pre_tokenizer.pre_tokenize_str
+        if self.by_word:
+            self.model, self.normalise = self.tokenizer.model, self.tokenizer.normalizer.normalize_str
+            self.cut = self.tokenizer.pre_tokenizer.pre_tokenize_str
 
     def _part(self, part: str) -> bytes:
         ids = self.parts.get(part)
         if ids is None:
-            if len(self.parts) >= MEMO // 2:
-                self.parts.clear()
-            ids = self.parts[part] = b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(part)])
+            ids = b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(part)])
+            if len(part) <= LONGEST:
+                if len(self.parts) >= MEMO // 2:
+                    self.parts.clear()
+                self.parts[part] = ids
         return ids
 
     def __missing__(self, word: str) -> bytes:
@@ -86,15 +98,36 @@ class WordIds(dict):
                 ids = self._part(low) if low.isalpha() else b"".join(map(self._part, _PARTS.findall(low)))
             else:
                 ids = b"".join([self._part(x) for x, _ in self.cut(self.normalise(word))])
-        if len(self) >= MEMO // 2:
-            self.old = dict(self)
-            self.clear()
-        self[word] = ids
+        if len(word) <= LONGEST:
+            if len(self) >= MEMO // 2:
+                self.old = dict(self)
+                self.clear()
+            self[word] = ids
         return ids
 
     def encode(self, text: str | None) -> bytes:
         """The ids of a text."""
-        return b"".join(map(self.__getitem__, split_words(text or "")))
+        text = text or ""
+        if not self.by_word:
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        if self.specials is None or not self.specials.search(text):
+            return b"".join(map(self.__getitem__, split_words(text)))
+        out, at = [], 0
+        for m in self.specials.finditer(text):
+            out += [*map(self.__getitem__, split_words(text[at : m.start()])), self.special[m[0]].to_bytes(4, "little")]
+            at = m.end()
+        return b"".join([*out, *map(self.__getitem__, split_words(text[at:]))])
+
+
+def _usual(described: str) -> tuple[bool, dict[str, int]]:
+    """Whether a tokenizer's words can be taken one by one, and its added tokens."""
+    t = json.loads(described)
+    steps = lambda part, name: [x["type"] for x in (t[part] or {}).get(name, [])]
+    added = t["added_tokens"]
+    by_word = steps("normalizer", "normalizers") == USUAL[0] and steps("pre_tokenizer", "pretokenizers") == USUAL[1]
+    by_word = by_word and t["pre_tokenizer"]["pretokenizers"][0]["pattern"] == {"Regex": USUAL[2]}
+    by_word = by_word and not any(x[f] for x in added for f in ("single_word", "lstrip", "rstrip", "normalized"))
+    return by_word, {x["content"]: x["id"] for x in added}
 
 
 @lru_cache(maxsize=2)
@@ -187,7 +220,8 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, shard: int = SHARD, slack:
         shards = max(1, -(-m // shard))
         if n is not None and (m == 0 or 2 * m > n):  # nothing left, or the round before did not close enough bins
             break
-        key = F.pmod(F.xxhash64("doc_id", "piece", "start", "ids_crc32", F.lit(k)), F.lit(shards))
+        # The place in the written table is the same whenever a task is repeated.
+        key = F.pmod(F.xxhash64("doc_id", "piece", "start", "ids_crc32", F.monotonically_increasing_id(), F.lit(k)), F.lit(shards))
         rows = left.select("doc_id", "piece", "start", "length", "ids_crc32", key.alias("shard"))
         packed = rows.groupBy("shard").applyInPandas(_shard_packer(capacity, k), schema)
         packed = materialise(packed, "packed")

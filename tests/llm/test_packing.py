@@ -1,3 +1,4 @@
+import json
 import zlib
 
 import numpy as np
@@ -10,7 +11,6 @@ from tessera.llm import packing as K
 
 PATH = P.path("word_bpe_49k.json")
 LIB = Tokenizer.from_file(PATH)
-LIB.encode_special_tokens = True
 WORDS = K.WordIds(PATH)
 
 
@@ -24,6 +24,26 @@ def test_word_by_word_equals_the_library(text):
     assert np.frombuffer(WORDS.encode(text), "<u4").tolist() == lib(text)
 
 
+def test_special_tokens_and_other_pipelines_equal_the_library(tmp_path):
+    texts = ["hello <|endoftext|> x", "<|startoftext|>a<|endoftext|><|endoftext|>", "<|EndOfText|> b<|endoftext|", "no\x1cne", "", "w" * 500 + " é" * 90]
+    for t in texts:
+        assert np.frombuffer(WORDS.encode(t), "<u4").tolist() == lib(t)
+    other = json.loads(Tokenizer.from_file(PATH).to_str())
+    other["normalizer"] = None
+    (tmp_path / "other.json").write_text(json.dumps(other))
+    words, library = K.WordIds(str(tmp_path / "other.json")), Tokenizer.from_file(str(tmp_path / "other.json"))
+    for t in [*texts, "Ab cD"]:
+        assert np.frombuffer(words.encode(t), "<u4").tolist() == library.encode(t, add_special_tokens=False).ids
+
+
+def test_repeated_rows_are_dealt_to_all_shards(spark):
+    n = 3000
+    pieces = spark.range(n).selectExpr("CAST(NULL AS long) AS doc_id", "0 AS piece", "0L AS start", "700L AS length", "5L AS ids_crc32")
+    rows = K.pack(pieces, 2048, shard=100).collect()
+    assert len(rows) == n and len({(r.sequence_id, r.offset) for r in rows}) == n
+    assert len({r.sequence_id >> 24 for r in rows}) > 20
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(1, 64), min_size=1, max_size=200))
 def test_bins_hold_no_more_than_the_capacity(sizes):
