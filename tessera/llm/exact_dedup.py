@@ -55,23 +55,20 @@ def exact_dedup(docs: DataFrame, salts: int = SALTS, hot: float = HOT) -> DataFr
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256."""
     norm = normalised(F.col("text"))
     base = docs.select("doc_id", F.length(F.coalesce("text", F.lit(""))).alias("n"), norm.alias("norm"))
+    # Each row's digests, once; the texts are read once more, to be compared.
+    digests = base.select("doc_id", "n", F.sha2("norm", 256).alias("text_sha256"), F.xxhash64("norm").alias("h"))
+    digests = materialise(digests, "digests")
+    total = digests.count()
+    counts = digests.groupBy("h").count().filter(F.col("count") >= max(2 * salts, hot * total))
     # Bounded by 1 / hot rows: no more groups than that can hold such a share each.
-    counts = base.select(F.xxhash64("norm").alias("h")).groupBy("h").count()
-    total = counts.agg(F.sum("count")).first()[0] or 0
-    hot_keys = [r[0] for r in counts.filter(F.col("count") >= max(2 * salts, hot * total)).collect()]
+    hot_keys = [r[0] for r in counts.collect()]
     spread = F.pmod(F.xxhash64("doc_id", "n"), F.lit(salts)).cast("int")
-    keyed = base.select(
-        "doc_id",
-        "n",
-        "norm",
-        F.sha2("norm", 256).alias("text_sha256"),
-        F.xxhash64("norm").alias("h"),
-    ).withColumn("salt", F.when(F.col("h").isin(hot_keys), spread).otherwise(F.lit(0)) if hot_keys else F.lit(0))
+    salt = F.when(F.col("h").isin(hot_keys), spread).otherwise(F.lit(0)) if hot_keys else F.lit(0)
 
     # 1 and 2: local, then salted. The digest and the second hash name the group afterwards.
-    salted = keyed.groupBy("text_sha256", "h", "salt", "norm").agg(
+    salted = base.withColumn("h", F.xxhash64("norm")).withColumn("salt", salt).groupBy("h", "salt", "norm").agg(
         F.max(_rank(F.col("n"), F.col("doc_id"))).alias("rank"), F.count(F.lit(1)).alias("size")
-    )
+    ).withColumn("text_sha256", F.sha2("norm", 256))
     is_hot = F.col("h").isin(hot_keys) if hot_keys else F.lit(False)
     cold = salted.filter(~is_hot).select("text_sha256", "h", "salt", "rank", "size")
     if hot_keys:
@@ -82,25 +79,28 @@ def exact_dedup(docs: DataFrame, salts: int = SALTS, hot: float = HOT) -> DataFr
         again = whole.select("text_sha256", "h", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"), "rank", "size")
         cold = cold.unionByName(again)
     winners = cold.select("text_sha256", "h", "salt", _winner(F.col("rank")).alias("keep_id"), F.col("size").alias("group_size"))
-    members = keyed.select("doc_id", "text_sha256", "h", "salt")
+    members = digests.select("doc_id", "text_sha256", "h", salt.alias("salt"))
     return members.join(winners, ["text_sha256", "h", "salt"]).select(
         "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256"
     )
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """docs without the copies: the rows that exact_dedup keeps, all columns as they were.
+    """docs without the copies: the rows that exact_dedup keeps, all columns as they were, whatever their names.
 
     A null doc_id never names a winner uniquely, so of a group of null ids every row stays. Of rows that repeat
-    both doc_id and normalised text one stays.
+    both doc_id and normalised text the longest stays, and of equally long ones that of the largest text.
     """
-    kept = exact_dedup(docs).filter("kept").groupBy("doc_id", "text_sha256").agg(F.count(F.lit(1)).alias("__rows"))
+    kept = exact_dedup(docs).filter("kept").groupBy("doc_id", "text_sha256").agg(F.count(F.lit(1)).alias("rows"))
     kept = materialise(kept, "kept")
-    key = F.sha2(normalised(F.col("text")), 256)
     d, k = docs.alias("d"), kept.alias("k")
     same = F.col("d.doc_id").eqNullSafe(F.col("k.doc_id")) & (F.sha2(normalised(F.col("d.text")), 256) == F.col("k.text_sha256"))
-    if not kept.filter("__rows > 1 AND doc_id IS NOT NULL").take(1):
+    if not kept.filter("rows > 1 AND doc_id IS NOT NULL").take(1):
         return d.join(k, same, "left_semi")
-    once = d.join(k.filter("k.__rows = 1 OR k.doc_id IS NULL"), same, "left_semi")
-    more = docs.withColumn("__key", key).alias("d").join(k.filter("k.__rows > 1 AND k.doc_id IS NOT NULL"), same, "left_semi")
-    return once.unionByName(more.dropDuplicates(["doc_id", "__key"]).drop("__key"))
+    once = d.join(k.filter("k.rows = 1 OR k.doc_id IS NULL"), same, "left_semi")
+    more = d.join(k.filter("k.rows > 1 AND k.doc_id IS NOT NULL"), same, "left_semi")
+    # The row as one value, beside which no name can clash.
+    more = more.select(F.struct(*[F.col(f"d.`{c}`") for c in docs.columns]).alias("row"), F.col("d.doc_id").alias("id"), F.coalesce("d.text", F.lit("")).alias("t"))
+    best = F.max_by("row", F.struct(F.length("t"), "t")).alias("row")
+    more = more.groupBy("id", F.sha2(normalised(F.col("t")), 256).alias("key")).agg(best)
+    return once.unionByName(more.select("row.*"))
