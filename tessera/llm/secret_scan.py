@@ -26,7 +26,8 @@ from pyspark.sql import functions as F
 from tessera.llm.quality_rules import let
 
 KEY = "[A-Za-z0-9+/_-]"
-CANDIDATE = f"(?=[A-Za-z+/_-]*(?:[0-9]|[a-z][A-Z])){KEY}{{16,}}={{0,2}}"
+#: Tried at the start of a run only, so that a run of any length is read a fixed number of times.
+CANDIDATE = f"(?<!{KEY})(?=[A-Za-z+/_-]*(?:[0-9]|[a-z][A-Z])){KEY}{{16,}}={{0,2}}"
 MASK = "[SECRET]"
 #: Characters of a run that are kept before its second and later candidates: more than any feature looks back.
 CONTEXT = 100

@@ -87,3 +87,21 @@ def test_equals_oracle(spark, name):
     cols = sorted(df.columns)
     rel = duckdb.sql(ORACLES[name])
     assert sorted(map(str, (tuple(r) for r in df.select(*cols).collect()))) == sorted(map(str, rel.select(*cols).fetchall()))
+
+
+def test_keep_first_of_repeated_ids_takes_the_longest_row(spark):
+    rows = [(1, "a b", "x"), (1, "a  b", "y"), (1, "ab", "z"), (2, "c", "k"), (2, "c", "k"), (2, "d", "k"), (None, "e", "k"), (None, " e", "k")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, `__key` string").withColumn("rows", F.lit(1)).withColumn("id", F.lit(2))
+    out = exact_dedup.keep_first(df)
+    assert out.columns == df.columns
+    got = sorted((str(r.doc_id), r.text, r["__key"]) for r in out.collect())
+    assert got == [("1", "a  b", "y"), ("2", "c", "k"), ("2", "d", "k"), ("None", " e", "k"), ("None", "e", "k")]
+
+
+def test_a_long_run_is_scanned_in_linear_time(spark):
+    from tessera.llm import secret_scan
+
+    text = "acgt" * 250_000
+    df = spark.createDataFrame([(1, text), (2, "token=" + "k3Y" * 9 + " " + text + "==" + "q7W" * 8)], "doc_id long, text string")
+    forest = secret_scan.train(spark)
+    assert sorted((r.doc_id, r.length) for r in secret_scan.scan(df, forest).collect())[0] == (2, 24)
