@@ -9,8 +9,9 @@ A small network maps a passage to h = tanh(W x + b); a gate gives it the weight
 and the document's score is sigmoid(c . sum(a h) + d). All weights are learned together, by Adam, from the documents'
 labels alone, on at most SAMPLE documents of each label; passages have no labels. Every passage of every text is scored.
 
-Edge cases: null, empty and blank texts are a bag of one passage without words; without labels every score is 0.5;
-repeated rows and null ids are scored like others; extra columns are ignored.
+Edge cases: null, empty and blank texts are a bag of one passage without words; very long texts are read in cuts at passages,
+which changes nothing; without labels of both kinds every score is 0.5; repeated rows, ties and null ids are scored like
+others; extra columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -56,18 +57,8 @@ def passages(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     xs, of = [], []
     for i, j in blocks(offsets, BLOCK):
         a, b = int(offsets[i]), int(offsets[j])
-        if j == i + 1 and b - a > 2 * BLOCK:  # a very long text, cut at blanks
-            while a < b:
-                end = min(b, a + BLOCK)
-                if end < b:
-                    blank = np.flatnonzero(BLANK[raw[a:end]])
-                    end = a + int(blank[-1]) + 1 if len(blank) else end
-                x, _ = _encode(raw[a:end], np.array([0, end - a]))
-                xs.append(x)
-                of.append(np.full(len(x), i))
-                a = end
-        else:
-            x, t = _encode(raw[a:b], offsets[i : j + 1] - a)
+        parts = _long(raw[a:b]) if j == i + 1 and b - a > BLOCK else [_encode(raw[a:b], offsets[i : j + 1] - a)]
+        for x, t in parts:
             xs.append(x)
             of.append(t + i)
     if not xs:
@@ -75,7 +66,35 @@ def passages(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return np.concatenate(xs), np.concatenate(of)
 
 
-def _encode(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _starts(raw: np.ndarray, lo: int, hi: int) -> np.ndarray:
+    """Where words begin in raw[lo:hi]."""
+    blank = BLANK[raw[max(0, lo - 1) : hi]]
+    return lo + np.flatnonzero(~blank & np.r_[True, blank[:-1]]) if not lo else lo + np.flatnonzero(~blank[1:] & blank[:-1])
+
+
+def _long(raw: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The passages of one long text, in cuts that begin where a passage does: the same as in one piece."""
+    words = sum(len(_starts(raw, lo, min(len(raw), lo + BLOCK))) for lo in range(0, len(raw), BLOCK))
+    a = at = 0  # where the passage begins, and how far words have been looked for
+    held: list[np.ndarray] = []
+    while a < len(raw):
+        while at < len(raw) and (at - a < BLOCK or sum(map(len, held)) <= WORDS):
+            held.append(_starts(raw, at, min(len(raw), at + BLOCK)))
+            at = min(len(raw), at + BLOCK)
+        start = np.concatenate(held) if held else np.zeros(0, np.int64)
+        if at == len(raw):
+            yield _encode(raw[a:], np.array([0, len(raw) - a]), words)
+            return
+        k = (len(start) - 1) // WORDS * WORDS
+        end = int(start[k])
+        # The next passage's first byte comes along, for the pair it ends, and its passage is left out.
+        x, t = _encode(raw[a : end + 1], np.array([0, end + 1 - a]), words)
+        yield x[:-1], t[:-1]
+        a, held = end, [start[k:]]
+
+
+def _encode(raw: np.ndarray, offsets: np.ndarray, words_of_text: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """The passages of texts and the text of each. words_of_text: of the text that raw is a cut of."""
     n = len(offsets) - 1
     lens = np.diff(offsets)
     text_of_byte = np.repeat(np.arange(n), lens)
@@ -101,7 +120,8 @@ def _encode(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     x[:, :N_KINDS] = np.bincount(byte_bag * N_KINDS + kind, minlength=total * N_KINDS).reshape(total, N_KINDS) / (size[:, None] + 1)
     if len(raw) > 1:
         pair = (raw[:-1].astype(np.int64) * 31 + raw[1:]) * 0x9E3779B1 >> 12 & (PAIRS - 1)
-        x[:, N_KINDS : N_KINDS + PAIRS] = np.bincount(byte_bag[:-1] * PAIRS + pair, minlength=total * PAIRS).reshape(total, PAIRS) / (size[:, None] + 1)
+        code = (byte_bag[:-1] * PAIRS + pair)[~first[1:]]  # no pair goes from one text to the next
+        x[:, N_KINDS : N_KINDS + PAIRS] = np.bincount(code, minlength=total * PAIRS).reshape(total, PAIRS) / (size[:, None] + 1)
     x[:, : N_KINDS + PAIRS] = np.sqrt(x[:, : N_KINDS + PAIRS])
     if len(start):
         end = np.concatenate([start[1:], [len(raw)]])
@@ -122,7 +142,7 @@ def _encode(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
         x[:, put + 3] = np.bincount((key >> np.uint64(40)).astype(np.int64), weights=new, minlength=total) / w1
         x[:, put + 4] = np.bincount(word_bag, weights=(length > 12), minlength=total) / w1
         x[:, put + 5] = np.bincount(word_bag, weights=(KIND[raw[start]] == 1), minlength=total) / w1
-    x[:, put + 6] = np.log1p(per_text).repeat(bags) / 8
+    x[:, put + 6] = np.log1p(per_text if words_of_text is None else np.array([words_of_text])).repeat(bags) / 8
     return x, np.repeat(np.arange(n), bags)
 
 

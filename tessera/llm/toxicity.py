@@ -10,15 +10,17 @@ signs are read as letters, capitals as small letters.
 
 Learning. Sentences of labelled documents carry their document's label. Landmarks are the words whose presence tells
 most about the label, and some ordinary ones. Sentences are mapped to k(x, landmarks) K^-1/2 and a squared-hinge SVM
-is fitted in that space by Newton steps, to a random part of each document's; then, as most sentences of a toxic document
-are harmless, only the highest-scoring of all its sentences stay positive and the machine is fitted again. At most SAMPLE documents of each label are used.
+is fitted in that space by Newton steps; then, as most sentences of a toxic document are harmless, only the highest-scoring
+ones of it stay positive and the machine is fitted again. About SAMPLE documents of each label are used (the parameter `most`), with
+all their sentences.
 
 Scoring. The machine is linear in the hashed features, so it collapses to one table of weights. A document's weights
 are summed over windows of WIDTH symbols, the excursions above a few levels counted, and a logistic regression of
 counts and rates, fitted on the same training documents, gives the score. Whole texts are read, in blocks.
 
 Edge cases: null and empty texts have no excursion and get the score of such a document; without training rows of both
-labels every score is 0; repeated rows and null ids are scored like others; extra columns are ignored.
+labels every score is 0; very long texts are read in overlapping pieces, which changes nothing; ties, repeated rows and null
+ids are scored like others; extra columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -46,8 +48,8 @@ GAP = 12
 #: Documents of each label that the machine learns from, in expectation.
 SAMPLE = 1200
 LANDMARKS, PLAIN = 288, 32
-#: Sentences of a toxic document that stay positive in the second fit, and all that are drawn at random.
-TOP, MOST = 4, 40_000
+#: Sentences of a toxic document that stay positive in the second fit.
+TOP = 4
 BLOCK = 1 << 20
 THRESHOLD = 0.7
 
@@ -267,18 +269,24 @@ def logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1.0, steps: int = 40
     return w
 
 
-def svm(z: np.ndarray, y: np.ndarray, c: np.ndarray, steps: int = 25) -> np.ndarray:
-    """Squared-hinge support vector machine with one cost per row, by Newton steps; the last entry is the bias."""
-    z = np.hstack([z, np.ones((len(z), 1), z.dtype)])
-    ridge = np.ones(z.shape[1])
+def svm(z: np.ndarray, y: np.ndarray, c: np.ndarray, steps: int = 25, rows: int = 1 << 13) -> np.ndarray:
+    """Squared-hinge support vector machine with one cost per row, by Newton steps; the last entry is the bias.
+
+    The rows are read in blocks, so that besides z only a few MB are held.
+    """
+    ridge = np.ones(z.shape[1] + 1)
     ridge[-1] = 1e-6
-    w = np.zeros(z.shape[1])
+    w = np.zeros(len(ridge))
     for _ in range(steps):
-        slack = 1 - y * (z @ w)
-        on = slack > 0
-        zo = z[on]
-        grad = ridge * w - 2 * zo.T @ (c[on] * y[on] * slack[on])
-        step = np.linalg.solve(np.diag(ridge) + 2 * (zo * c[on][:, None]).T @ zo, grad)
+        grad, hessian = ridge * w, np.diag(ridge)
+        for lo in range(0, len(z), rows):
+            part = np.hstack([z[lo : lo + rows], np.ones((len(z[lo : lo + rows]), 1), z.dtype)])
+            slack = 1 - y[lo : lo + rows] * (part @ w)
+            on = slack > 0
+            part, cost = part[on].astype(np.float64), c[lo : lo + rows][on]
+            grad -= 2 * part.T @ (cost * y[lo : lo + rows][on] * slack[on])
+            hessian += 2 * (part * cost[:, None]).T @ part
+        step = np.linalg.solve(hessian, grad)
         w -= step
         if np.abs(step).max() < 1e-5:
             break
@@ -306,14 +314,6 @@ def landmarks(texts: list[str], labels: np.ndarray, rng: np.random.Generator) ->
     return best + plain
 
 
-def drawn(own: list[str], per: int, rng: np.random.Generator) -> tuple[list[str], list[str]]:
-    """`per` sentences drawn at random, and the others."""
-    if len(own) <= per:
-        return own, []
-    picked = set(rng.choice(len(own), per, replace=False).tolist())
-    return [own[i] for i in sorted(picked)], [s for i, s in enumerate(own) if i not in picked]
-
-
 def fit(texts: list[str], labels: np.ndarray, seed: int = 5) -> Model:
     """Learn from texts and their 0/1 labels."""
     size = 1 << BITS
@@ -334,17 +334,12 @@ def fit(texts: list[str], labels: np.ndarray, seed: int = 5) -> Model:
     keep = values > 1e-6 * values.max()
     root = vectors[:, keep] / np.sqrt(values[keep])
 
-    # The longest documents would crowd out the others: of each, sentences drawn at random. Of toxic ones, the first
-    # machine also reads all that were not drawn, so that no insult is left out.
-    sentences, of, y, left = [], [], [], []
-    per = max(TOP, MOST // max(1, len(texts)))
+    sentences, of, y = [], [], []
     for d, (text, label) in enumerate(zip(texts, labels, strict=True)):
-        some, others = drawn([s for s in _SENTENCE.findall(text) if len(s) > 3], per, rng)
-        sentences += some
-        of += [d] * len(some)
-        y += [1.0 if label else -1.0] * len(some)
-        if label and others:
-            left.append((d, others))
+        own = [s for s in _SENTENCE.findall(text) if len(s) > 3]
+        sentences += own
+        of += [d] * len(own)
+        y += [1.0 if label else -1.0] * len(own)
 
     def mapped(sentences: list[str]) -> np.ndarray:
         z = np.zeros((len(sentences), int(keep.sum())), np.float32)
@@ -361,13 +356,6 @@ def fit(texts: list[str], labels: np.ndarray, seed: int = 5) -> Model:
 
     cost = np.where(y > 0, 1.0 / max(1, (y > 0).sum()), 1.0 / max(1, (y < 0).sum())) * len(y)
     w = svm(z, y, cost)
-    more = []
-    for d, others in left:
-        own = mapped(others)
-        more.append(own[np.argsort(-(own @ w[:-1]), kind="stable")[:TOP]])
-        of = np.r_[of, np.full(len(more[-1]), d)]
-    z = np.concatenate([z, *more])
-    y = np.r_[y, np.ones(len(z) - len(y))]
     for _ in range(2):  # the harmless sentences of toxic documents leave the positives
         margin = z @ w[:-1]
         order = np.lexsort((-margin, of))
@@ -390,7 +378,6 @@ def fit(texts: list[str], labels: np.ndarray, seed: int = 5) -> Model:
     model = Model(table, levels=top * np.array([0.35, 0.5, 0.65, 0.8]))
     x = _design(counts(raw, offsets, model))
     model.mean, model.scale = x.mean(0), x.std(0) + 1e-6
-    # Negatives were sampled more thinly than positives; a document counts as often as its label's sample says.
     model.coef = logistic((x - model.mean) / model.scale, labels.astype(float))
     return model
 

@@ -97,8 +97,7 @@ def test_no_sentence_with_an_insult_is_left_out(monkeypatch):
     train, _ = _labelled("toxic", 3, 1)
     pos, neg = [r for r in train if r[2]][: T.SAMPLE], [r for r in train if r[2] == 0][: T.SAMPLE]
     texts, labels = [r[1] for r in pos + neg], np.array([r[2] for r in pos + neg])
-    # As few sentences of each as at the full sample; what the first machine reads and what the last one keeps.
-    monkeypatch.setattr(T, "MOST", len(texts) * (T.MOST // (2 * T.SAMPLE)))
+    # What the first machine reads and what the last one keeps.
     monkeypatch.setattr(T, "LANDMARKS", 96)
     read, machine, kernel, plain = [], [], T.svm, T.features
 
@@ -116,9 +115,8 @@ def test_no_sentence_with_an_insult_is_left_out(monkeypatch):
     read = set(read)
     holds = [[s for s in T._SENTENCE.findall(t) if len(s) > 3 and "idiot" in s.lower()] for t in texts[: len(pos)]]
     assert sum(map(len, holds)) > 50 and all(s in read for hold in holds for s in hold)
-    per = T.MOST // len(texts)
     whole = [sum(len(s) > 3 for s in T._SENTENCE.findall(t)) for t in texts[: len(pos)]]
-    assert max(whole) > per and machine[1][1] == machine[2][1] == sum(min(T.TOP, n) for n in whole)
+    assert machine[0][1] == sum(whole) and machine[1][1] == machine[2][1] == sum(min(T.TOP, n) for n in whole)
 
 
 def test_attention_gradient_is_right():
@@ -164,3 +162,17 @@ def test_edge_rows(spark):
     assert {r.predicted for r in T.toxicity(docs, none).collect()} == {0}
     assert {r.score for r in Q.quality(docs, none).collect()} == {0.5}
     assert T.toxicity(docs.limit(0), labels).count() == Q.quality(docs.limit(0), labels).count() == 0
+
+
+def test_a_long_text_has_the_passages_of_one_piece(monkeypatch):
+    rng = np.random.default_rng(6)
+    words = ["idea", "Ένα", "x" * 90, "a", "Big!", "7"]
+    for text in (" ".join(rng.choice(words, 5000)) + "\n ", "  \n" + "y" * 3000 + " end", "z" * 700, " " * 900, "\t".join(rng.choice(words, 64 * 9))):
+        raw = np.frombuffer(("before it. " + text + "after").encode(), np.uint8)
+        offsets = np.array([0, 11, 11 + len(text.encode()), len(raw)])
+        monkeypatch.setattr(Q, "BLOCK", 1 << 19)
+        x, of = Q.passages(raw, offsets)
+        for block in (97, 500, 1000):
+            monkeypatch.setattr(Q, "BLOCK", block)
+            y, to = Q.passages(raw, offsets)
+            assert np.array_equal(of, to) and np.allclose(x, y, atol=1e-6), (block, text[:20])
