@@ -12,7 +12,7 @@ start at anchors, about one in 33, need to be indexed. The windows that share on
    those whose gram occurs in several may still share windows and are reported for checking.
 3. Texts meet the reports (dealt by a hash of id and text, in blocks of bounded size). A text without reports to check
    is finished. For the others the bytes of such regions go to shards of the gram, and there to the index family:
-   the regions of one block are a batch, whose windows get a suffix array (the sparse suffixes in lexicographic order of
+   the regions of some blocks are a batch, whose windows get a suffix array (the sparse suffixes in lexicographic order of
    their bytes); it is merge-scanned with the levels that exist, where neighbours with a common prefix of LENGTH bytes
    are matches of which the earlier stays; and levels of equal size merge geometrically, so that each window takes part in
    a logarithmic number of merges. A merge of two sorted levels is linear (timsort joins two runs).
@@ -53,17 +53,19 @@ GATHER = 40 << 20
 SHARD_BYTES, BLOCK_BYTES = 16 << 20, 6 << 20
 #: Entries above the mean of all hashes that make a hash of grams hot; and about how many entries a hash has.
 HOT, MEAN = 2048, 256
-#: Windows that are put into one index family together.
-CHUNK = 1 << 17
+#: Windows that are put into one index family together, and in each of its batches.
+CHUNK, BATCH = 1 << 17, 1 << 14
+#: Hashes of grams whose counts travel together.
+RANGE = 1 << 12
 NULL_ID = np.iinfo(np.int64).max
 
 _B = 0x9E3779B97F4A7C15
 _I = pow(_B, -1, 1 << 64)
 _MASK = np.uint64((1 << 20) - 1)
 
-ENTRY = np.dtype([("region", "<u8"), ("gram", "<u4"), ("doc", "<i8"), ("sha", "<u8"), ("at", "<i8"), ("n", "u1")])
+ENTRY = np.dtype([("region", "<u8"), ("gram", "<u4"), ("shard", "<u4"), ("doc", "<i8"), ("sha", "<u8"), ("at", "<i8"), ("n", "u1")])
 #: A report: n windows from `at` on are covered (check = 0), or are to be compared with others of the gram (check = 1).
-REPORT = np.dtype([("doc", "<i8"), ("sha", "<u8"), ("at", "<i8"), ("n", "u1"), ("gram", "<u4"), ("check", "u1")])
+REPORT = np.dtype([("doc", "<i8"), ("sha", "<u8"), ("at", "<i8"), ("n", "u1"), ("gram", "<u4"), ("shard", "<u4"), ("check", "u1")])
 
 
 def _powers(base: int, n: int) -> np.ndarray:
@@ -141,7 +143,7 @@ def text_regions(raw: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, in
         i = j
 
 
-def _entries(docs: np.ndarray, shas: np.ndarray, raw: np.ndarray, offsets: np.ndarray, hot: np.ndarray, n_buckets: int) -> Iterator[np.ndarray]:
+def _entries(docs: np.ndarray, shas: np.ndarray, raw: np.ndarray, offsets: np.ndarray, hot: np.ndarray, n_buckets: int, n_shards: int) -> Iterator[np.ndarray]:
     """The regions of the texts as entries; hot: the hashes of grams whose windows are entries."""
     for i, base, r, part in text_regions(raw, offsets):
         if not len(r["at"]):
@@ -149,25 +151,30 @@ def _entries(docs: np.ndarray, shas: np.ndarray, raw: np.ndarray, offsets: np.nd
         if len(hot):
             is_hot = np.isin(_bucket(r["gram"], n_buckets), hot)
             if is_hot.any():
-                yield _windows(docs, shas, offsets, i, base, {f: v[is_hot] for f, v in r.items()}, part)
+                yield _windows(docs, shas, offsets, i, base, {f: v[is_hot] for f, v in r.items()}, part, n_shards)
                 r = {f: v[~is_hot] for f, v in r.items()}
         e = np.empty(len(r["at"]), ENTRY)
         t = r["text"] + i
-        e["region"], e["gram"], e["n"] = r["region"], _short(r["gram"]), r["n"]
+        e["region"], e["gram"], e["shard"], e["n"] = r["region"], _short(r["gram"]), _shard(r["gram"], n_shards), r["n"]
         e["doc"], e["sha"], e["at"] = docs[t], shas[t], r["at"] + base - offsets[t]
         yield e
 
 
 def _short(gram: np.ndarray) -> np.ndarray:
-    """32 bits deal and group the grams; two that agree by chance are only compared in vain."""
+    """The 32 bits that group the grams of a shard; two that agree by chance are only compared in vain."""
     return (gram >> np.uint64(32)).astype(np.uint32)
 
 
+def _shard(gram: np.ndarray, n_shards: int) -> np.ndarray:
+    """By the other 32 bits, so that chance agreements stay as rare in a larger table, which has more shards."""
+    return gram.astype(np.uint32) % np.uint32(n_shards)
+
+
 def _bucket(gram: np.ndarray, n_buckets: int) -> np.ndarray:
     return (_short(gram) % np.uint32(n_buckets)).astype(np.int64)
 
 
-def _windows(docs, shas, offsets, i, base, r, part) -> np.ndarray:
+def _windows(docs, shas, offsets, i, base, r, part, n_shards) -> np.ndarray:
     """Each window of the regions as an entry, dealt by its own content."""
     p, inv = _table(len(part) + 1)
     sums = np.zeros(len(part) + 1, np.uint64)
@@ -177,7 +184,7 @@ def _windows(docs, shas, offsets, i, base, r, part) -> np.ndarray:
     t = np.repeat(r["text"], r["n"]) + i
     e = np.zeros(len(at), ENTRY)
     e["region"] = mix64(mix64((sums[at + LENGTH] - sums[at]) * inv[at]) + np.uint64(0x5BD1E995))
-    e["gram"], e["n"], e["doc"], e["sha"], e["at"] = _short(e["region"]), 1, docs[t], shas[t], at + base - offsets[t]
+    e["gram"], e["shard"], e["n"], e["doc"], e["sha"], e["at"] = _short(e["region"]), _shard(e["region"], n_shards), 1, docs[t], shas[t], at + base - offsets[t]
     return e
 
 
@@ -251,7 +258,7 @@ def common_prefix(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 def _report(e: np.ndarray, check: int) -> np.ndarray:
     out = np.empty(len(e), REPORT)
-    for f in ("doc", "sha", "at", "n", "gram"):
+    for f in ("doc", "sha", "at", "n", "gram", "shard"):
         out[f] = e[f]
     out["check"] = check
     return out
@@ -317,6 +324,9 @@ def _texts(batch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     return ids, shas, raw, offsets
 
 
+_COUNT = np.dtype([("bucket", "<u4"), ("n", "<u4")])
+
+
 def _hot_grams(texts: DataFrame, n_buckets: int) -> np.ndarray:
     """The hashes of grams with over HOT entries more than twice the mean; no more of them than the table has entries / HOT."""
 
@@ -326,7 +336,12 @@ def _hot_grams(texts: DataFrame, n_buckets: int) -> np.ndarray:
         def flush():
             pairs = np.unique(np.concatenate(held)) if held else np.zeros(0, np.uint64)  # equal regions leave a task once
             found, times = np.unique((pairs >> np.uint64(32)).astype(np.int64) % n_buckets, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(times.astype(np.int64))], ["bucket", "n"])
+            rows = np.empty(len(found), _COUNT)
+            rows["bucket"], rows["n"] = found, times
+            lot = found // RANGE
+            cut = np.flatnonzero(np.r_[True, lot[1:] != lot[:-1]]) if len(lot) else np.zeros(0, np.int64)
+            packed = [rows[a:b].tobytes() for a, b in zip(cut, [*cut[1:], len(rows)], strict=False)]
+            yield pa.RecordBatch.from_arrays([pa.array(lot[cut], pa.int64()), pa.array(packed, pa.binary())], ["lot", "counts"])
 
         for batch in batches:
             raw, offsets = flat(batch.column(0))
@@ -336,10 +351,17 @@ def _hot_grams(texts: DataFrame, n_buckets: int) -> np.ndarray:
                 held = []
         yield from flush()
 
-    counts = texts.select("text").mapInArrow(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
+    def total(table: pa.Table) -> pa.Table:
+        rows = np.frombuffer(b"".join(table.column(1).to_pylist()), _COUNT)
+        base = table.column(0)[0].as_py() * RANGE
+        n = np.bincount(rows["bucket"] - base, weights=rows["n"], minlength=RANGE).astype(np.int64)
+        many = np.flatnonzero(n > HOT)  # and the lot's sum, as bucket -1
+        return pa.table({"bucket": pa.array(np.r_[-1, many + base], pa.int64()), "n": pa.array(np.r_[n.sum(), n[many]], pa.int64())})
+
+    counts = texts.select("text").mapInArrow(count, "lot long, counts binary").groupBy("lot").applyInArrow(total, "bucket long, n long")
     counts = materialise(counts, "grams")
-    mean = (counts.agg(F.sum("n")).first()[0] or 0) / n_buckets
-    hot = [r.bucket for r in counts.filter(F.col("n") > 2 * mean + HOT).collect()]
+    mean = (counts.filter("bucket < 0").agg(F.sum("n")).first()[0] or 0) / n_buckets
+    hot = [r.bucket for r in counts.filter((F.col("bucket") >= 0) & (F.col("n") > 2 * mean + HOT)).collect()]
     discard(counts)
     return np.array(sorted(hot), dtype=np.int64)
 
@@ -361,7 +383,7 @@ def substring_dedup(docs: DataFrame) -> DataFrame:
 
         def flush():
             kept, later = fold(np.concatenate(held)) if held else (np.zeros(0, ENTRY), np.zeros(0, ENTRY))
-            to = (kept["gram"] % np.uint32(n_shards)).astype(np.int64)
+            to = kept["shard"].astype(np.int64)
             order = np.lexsort((kept["at"], kept["doc"]))  # by place, so that the places compress
             yield from _dealt(kept[order], to[order], "shard").to_batches()
             # What the task itself found covered passes through any shard.
@@ -370,7 +392,7 @@ def substring_dedup(docs: DataFrame) -> DataFrame:
 
         for batch in batches:
             ids, shas, raw, offsets = _texts(batch)
-            for e in _entries(ids, shas, raw, offsets, hot, n_buckets):
+            for e in _entries(ids, shas, raw, offsets, hot, n_buckets, n_shards):
                 held.append(e)
                 size += e.nbytes
                 if size >= GATHER:
@@ -402,7 +424,7 @@ def substring_dedup(docs: DataFrame) -> DataFrame:
     schema = "kind int, block long, doc_id long, sha string, text string, n_bytes long, n_removed long, n_spans long, kept_sha256 string, shard long, records binary"
 
     placed = base.select(F.expr(_block_sql(n_blocks)).alias("block"), "doc_id", "sha", "text")
-    met = placed.groupBy("block").cogroup(reports.groupBy("block")).applyInArrow(_meeter(n_shards), schema)
+    met = placed.groupBy("block").cogroup(reports.groupBy("block")).applyInArrow(_meet, schema)
     met = materialise(met, "met")
     discard(reports)
     sweep(spark)
@@ -427,42 +449,39 @@ def _keys(table: pa.Table) -> list[tuple[int, int]]:
     return [(NULL_ID if i is None else i, int(x[:16], 16)) for i, x in zip(ids, shas, strict=True)]
 
 
-def _meeter(n_shards: int):
-    def meet(left: pa.Table, right: pa.Table) -> pa.Table:
-        rows, of = _slices(_unpack_all(right.column(1), REPORT))
-        out: dict[str, list] = {f: [] for f in ("kind", "block", "doc_id", "sha", "text", "n_bytes", "n_removed", "n_spans", "kept_sha256", "shard", "records")}
-        lists = list(out.values())
-
-        def put(*values):
-            for held, v in zip(lists, values, strict=True):
-                held.append(v)
-
-        again: list[np.ndarray] = []
-        blobs: list[bytes] = []
-        for key, block, doc_id, sha, text in zip(_keys(left), *(left.column(f) for f in ("block", "doc_id", "sha", "text")), strict=True):
-            data = (text.as_py() or "").encode()
-            a, b = of.get(key, (0, 0))
-            own = rows[a:b]
-            check = own["check"] == 1
-            if check.any():
-                done = own[~check]
-                put(1, block.as_py(), doc_id.as_py(), sha.as_py(), text.as_py(), None, None, None, None, None, pack(done))
-                again.append(own[check])
-                blobs += [data[x : x + n + LENGTH - 1] for x, n in zip(own["at"][check].tolist(), own["n"][check].tolist(), strict=True)]
-            else:
-                put(0, None, doc_id.as_py(), None, None, *_result(data, own["at"], own["n"]), None, None)
-        if again:
-            e = np.concatenate(again)
-            shard = (e["gram"] % np.uint32(n_shards)).astype(np.int64)
-            order = np.argsort(shard, kind="stable")
-            cut = np.flatnonzero(np.r_[True, np.diff(shard[order]) != 0])
-            for x, y in zip(cut, [*cut[1:], len(order)], strict=True):
-                to = order[x:y]
-                put(2, *[None] * 8, int(shard[to[0]]), pack(e[to]) + b"".join(blobs[i] for i in to))
-        kinds = [pa.int32(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.binary()]
-        return pa.table({f: pa.array(v, k) for (f, v), k in zip(out.items(), kinds, strict=True)})
-
-    return meet
+def _meet(left: pa.Table, right: pa.Table) -> pa.Table:
+    rows, of = _slices(_unpack_all(right.column(1), REPORT))
+    out: dict[str, list] = {f: [] for f in ("kind", "block", "doc_id", "sha", "text", "n_bytes", "n_removed", "n_spans", "kept_sha256", "shard", "records")}
+    lists = list(out.values())
+
+    def put(*values):
+        for held, v in zip(lists, values, strict=True):
+            held.append(v)
+
+    again: list[np.ndarray] = []
+    blobs: list[bytes] = []
+    for key, block, doc_id, sha, text in zip(_keys(left), *(left.column(f) for f in ("block", "doc_id", "sha", "text")), strict=True):
+        data = (text.as_py() or "").encode()
+        a, b = of.get(key, (0, 0))
+        own = rows[a:b]
+        check = own["check"] == 1
+        if check.any():
+            done = own[~check]
+            put(1, block.as_py(), doc_id.as_py(), sha.as_py(), text.as_py(), None, None, None, None, None, pack(done))
+            again.append(own[check])
+            blobs += [data[x : x + n + LENGTH - 1] for x, n in zip(own["at"][check].tolist(), own["n"][check].tolist(), strict=True)]
+        else:
+            put(0, None, doc_id.as_py(), None, None, *_result(data, own["at"], own["n"]), None, None)
+    if again:
+        e = np.concatenate(again)
+        shard = e["shard"].astype(np.int64)
+        order = np.argsort(shard, kind="stable")
+        cut = np.flatnonzero(np.r_[True, np.diff(shard[order]) != 0])
+        for x, y in zip(cut, [*cut[1:], len(order)], strict=True):
+            to = order[x:y]
+            put(2, *[None] * 8, int(shard[to[0]]), pack(e[to]) + b"".join(blobs[i] for i in to))
+    kinds = [pa.int32(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.binary()]
+    return pa.table({f: pa.array(v, k) for (f, v), k in zip(out.items(), kinds, strict=True)})
 
 
 def _keys_of(data: list[bytes], n: np.ndarray) -> np.ndarray:
@@ -497,8 +516,10 @@ def compare(e: np.ndarray, data: list[bytes], batch: np.ndarray | None = None) -
         m = e["n"][r].astype(np.int64)
         first = np.concatenate([[0], np.cumsum(m)])
         family = IndexFamily()
-        for b in np.unique(batch[r]).tolist():
-            i = np.flatnonzero(batch[r] == b)
+        arrived = np.argsort(batch[r], kind="stable")
+        lot = np.cumsum(m[arrived]) // BATCH
+        for b in np.unique(lot).tolist():  # what arrived together, in batches of about BATCH windows
+            i = arrived[lot == b]
             ranks = np.arange(m[i].sum()) + np.repeat(first[i] - (np.cumsum(m[i]) - m[i]), m[i])
             family.add(_keys_of([data[k] for k in r[i]], m[i]), ranks)
         gone = np.zeros(first[-1] + 1, bool)
@@ -510,7 +531,7 @@ def compare(e: np.ndarray, data: list[bytes], batch: np.ndarray | None = None) -
         stop = np.flatnonzero(on & (edge[1:] | np.r_[~on[1:], True])) + 1
         rows = np.empty(len(start), REPORT)
         own = r[owner[start]]
-        for f in ("doc", "sha", "gram"):
+        for f in ("doc", "sha", "gram", "shard"):
             rows[f] = e[f][own]
         rows["at"], rows["n"], rows["check"] = e["at"][own] + start - first[owner[start]], stop - start, 0
         out.append(rows)

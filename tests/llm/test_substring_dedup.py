@@ -67,7 +67,7 @@ def test_cut_texts_and_hot_grams(spark, monkeypatch):
     shas = np.array([int(hashlib.sha256((t or "").encode()).hexdigest()[:16], 16) for _, t in rows], np.uint64)
     data = "".join(t or "" for _, t in rows).encode()
     offsets = np.cumsum([0] + [len((t or "").encode()) for _, t in rows])
-    rest, covered = S.fold(np.concatenate(list(S._entries(ids, shas, np.frombuffer(data, np.uint8), offsets, hot, 64))))
+    rest, covered = S.fold(np.concatenate(list(S._entries(ids, shas, np.frombuffer(data, np.uint8), offsets, hot, 64, 5))))
     order = np.argsort(rest["gram"], kind="stable")
     g = rest["gram"][order]
     twin = np.zeros(len(g), bool)
@@ -76,6 +76,7 @@ def test_cut_texts_and_hot_grams(spark, monkeypatch):
     check = S._report(rest[order[twin]], 1)
     text = {(int(i), int(s)): (t or "").encode() for i, s, (_, t) in zip(ids, shas, rows, strict=True)}
     monkeypatch.setattr(S, "CHUNK", 500)
+    monkeypatch.setattr(S, "BATCH", 90)
     more = S.compare(check, [text[(int(e["doc"]), int(e["sha"]))][e["at"] : e["at"] + int(e["n"]) + S.LENGTH - 1] for e in check], np.arange(len(check)) % 7)
     rows_, of = S._slices(np.concatenate([S._report(covered, 0), more]))
     got = []
@@ -99,7 +100,7 @@ def test_block_of_equals_spark(spark, n):
 
 
 def test_every_gram_hot_and_all_ids_null(spark, monkeypatch):
-    monkeypatch.setattr(S, "HOT", -(10**6))
+    monkeypatch.setattr(S, "HOT", -(10**3))
     rows = _rows(40, 3)
     assert _got(spark, rows) == brute(rows)
     rows = [(None, t) for _, t in _rows(20, 4)]
