@@ -48,13 +48,17 @@ def job_id(batch: Column, row_number: Column, identifier: Column, path: Column,
 
 
 def human_bytes(n: Column) -> Column:
-    """The largest unit of 1024 steps up to TiB, with two decimals: the nearest to the binary value, exact ties half to even."""
-    x = n.cast("double")
-    out = None
+    """A whole number of bytes (up to 80 PiB) in the largest unit of 1024 steps up to TiB, with two decimals, half to even.
+
+    Hundredths are counted in whole numbers, as halves that a double would hide matter.
+    """
+    n, out = n.cast("long"), None
     for k, unit in reversed(list(enumerate(("B", "KiB", "MiB", "GiB", "TiB")))):
-        v = x / 1024.0**k
-        text = F.concat(F.format_number(F.rint(v * 100) / 100, "0.00"), F.lit(f" {unit}"))
-        out = text if out is None else F.when(v < 1024.0, text).otherwise(out)
+        q, twice = F.shiftright(n * 100, 10 * k), 2 * F.pmod(n * 100, F.lit(1024**k))
+        q = q + F.when((twice > 1024**k) | ((twice == 1024**k) & (q % 2 == 1)), 1).otherwise(0)
+        cents = q % 100
+        text = F.concat(((q - cents) / 100).cast("long").cast("string"), F.lit("."), F.lpad(cents.cast("string"), 2, "0"), F.lit(f" {unit}"))
+        out = text if out is None else F.when(n < 1024 ** (k + 1), text).otherwise(out)
     return out
 
 

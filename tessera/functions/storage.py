@@ -23,7 +23,7 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write df as Parquet in the shared folder and read it back."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/tessera-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     _written.append((spark, path))
     out = spark.read.schema(df.schema).parquet(path)
     out._tessera_path = path
