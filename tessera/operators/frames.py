@@ -138,8 +138,9 @@ def estimate_bytes(frames: DataFrame, levels: int, channels: int = 3, bytes_per_
 
 
 def estimate_warning(n_bytes: Column, chunks: Column) -> Column:
+    """The code of the first limit that is reached, or null."""
     gib = 1 << 30
-    return F.when(n_bytes >= 250 * gib, "very_large").when(n_bytes >= 100 * gib, "large").when(chunks >= 100_000, "many_chunks").otherwise("none")
+    return F.when(n_bytes >= 250 * gib, "very_large_output_over_250_gib").when(n_bytes >= 100 * gib, "large_output_over_100_gib").when(chunks >= 100_000, "many_s0_chunks_over_100k")
 
 
 def project_cost(estimate: DataFrame, base_chunks: int, base_bytes: int, base_seconds: float, base_files: int) -> DataFrame:
@@ -161,7 +162,7 @@ def sample_blocks(work: DataFrame, how: str, n: int, seed: int = 0) -> DataFrame
     that coarse stratum), or stratified.
 
     Stratified gives each of the four coarse strata n / 4 blocks, the remainder to the first ones; what a stratum cannot
-    fill is filled from the rest in block order.
+    fill is drawn from the rest by a hash.
     """
     by = W.partitionBy("slide")
     key = F.xxhash64("slide", "label", "block_index", F.lit(seed))
@@ -181,5 +182,5 @@ def sample_blocks(work: DataFrame, how: str, n: int, seed: int = 0) -> DataFrame
         quota = F.when(coarse == name, F.lit(n // 4 + (k < n % 4))).otherwise(quota)
     rows = work.withColumn("__q", quota).withColumn("__r", F.row_number().over(W.partitionBy("slide", coarse).orderBy(key)))
     rows = rows.withColumn("__own", F.col("__r") <= F.col("__q"))
-    rows = rows.withColumn("__r", F.row_number().over(by.orderBy(F.desc("__own"), "label", "block_index")))
+    rows = rows.withColumn("__r", F.row_number().over(by.orderBy(F.desc("__own"), key)))
     return rows.filter(F.col("__r") <= n).drop("__q", "__r", "__own")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from tessera.functions import naming
+from tessera.functions.storage import materialise
 
 
 def first_source(records: DataFrame) -> DataFrame:
@@ -21,9 +22,18 @@ def from_names(files: DataFrame, name: str = "filename") -> DataFrame:
 
 
 def group_order(records: DataFrame) -> DataFrame:
-    """group_index of each source image: by its smallest overall index, then by name."""
+    """group_index of each source image: by its smallest overall index, then by name.
+
+    Images are sorted by range into partitions; the rank within a partition and the counts of those before it make the
+    index, so that no task ranks them all.
+    """
     low = records.groupBy("source_image").agg(F.min("overall_index").alias("low"), F.count(F.lit(1)).alias("n"))
-    return low.select("source_image", "n", F.dense_rank().over(W.orderBy("low", "source_image")).alias("group_index"))
+    rows = materialise(low.repartitionByRange("low", "source_image").withColumn("part", F.spark_partition_id()), "order")
+    rows = rows.withColumn("at", F.row_number().over(W.partitionBy("part").orderBy("low", "source_image")))
+    sizes = rows.groupBy("part").agg(F.count(F.lit(1)).alias("size"))
+    before = sizes.withColumn("before", F.sum("size").over(W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)))  # one row for each partition
+    out = rows.join(F.broadcast(before), "part")
+    return out.select("source_image", "n", (F.col("at") + F.coalesce("before", F.lit(0))).cast("int").alias("group_index"))
 
 
 def overall_index(files: DataFrame, spacing: int = 9, pad: int = 4) -> DataFrame:

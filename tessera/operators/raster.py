@@ -156,6 +156,12 @@ def masked(df: DataFrame, mask: DataFrame, values: list[str], fill: int = 0) ->
     return df.join(m, KEYS, "left").select(*KEYS, *[F.when(F.col("__in"), F.col(v)).otherwise(F.lit(fill)).alias(v) for v in values])
 
 
+def outside_zero(df: DataFrame, mask: DataFrame, value: str = "v") -> DataFrame:
+    """(slide, bad, n): pixels outside the mask whose value is not 0, and all pixels."""
+    out = df.join(mask.select(*KEYS).distinct().withColumn("inside_mask", F.lit(True)), KEYS, "left")
+    return out.groupBy("slide").agg(F.count_if(F.col("inside_mask").isNull() & (F.col(value) != 0)).alias("bad"), F.count(F.lit(1)).alias("n"))
+
+
 def iou(a: DataFrame, b: DataFrame) -> DataFrame:
     """(slide, iou) of two masks; 1 where both are empty is up to the caller, as such slides have no rows."""
     rows = a.select(*KEYS, F.lit(1).alias("a"), F.lit(0).alias("b")).unionByName(b.select(*KEYS, F.lit(0).alias("a"), F.lit(1).alias("b")))

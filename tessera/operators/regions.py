@@ -9,8 +9,9 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 from pyspark.sql.window import Window as W
 
 from tessera.operators import graph
@@ -26,53 +27,66 @@ def _union_find(rows: pd.DataFrame, eight: bool) -> pd.DataFrame:
     number = y * SPAN + x
     order = np.argsort(number)
     number, root = number[order], np.arange(len(number))
+    i, j = [], []
     for d in (1, SPAN) + ((SPAN - 1, SPAN + 1) if eight else ()):
         to = np.searchsorted(number, number + d)
         to[to == len(number)] = 0
         hit = np.flatnonzero(number[to] == number + d)
-        for i, j in zip(hit.tolist(), to[hit].tolist(), strict=True):
-            while root[i] != i:
-                root[i] = root[root[i]]
-                i = root[i]
-            while root[j] != j:
-                root[j] = root[root[j]]
-                j = root[j]
-            root[max(i, j)] = min(i, j)
-    while (again := root[root]).tolist() != root.tolist():
-        root = again
+        i.append(hit)
+        j.append(to[hit])
+    i, j = np.concatenate(i), np.concatenate(j)
+    while len(i):  # hook the larger root of every pair to the smaller, then shorten all paths
+        a, b = root[i], root[j]
+        np.minimum.at(root, np.maximum(a, b), np.minimum(a, b))
+        while not np.array_equal(again := root[root], root):
+            root = again
+        apart = root[i] != root[j]
+        i, j = i[apart], j[apart]
     return rows.iloc[order].assign(local=number[root])
 
 
+def _slide(df: DataFrame) -> Column:
+    """The slide as a bigint, or as it is if its name is no whole number."""
+    return F.col("slide").cast("long") if isinstance(df.schema["slide"].dataType, IntegralType) else F.col("slide")
+
+
+def _typed(df: DataFrame, schema: str) -> str:
+    """schema, whose first column is the slide, with the slide's type."""
+    return f"slide {df.schema['slide'].dataType.simpleString()}, {schema}"
+
+
 def label(mask: DataFrame, eight: bool = True, block: int = BLOCK) -> DataFrame:
-    """(slide, y, x, label): the label is the smallest y * SPAN + x of the region."""
-    m = mask.select(F.col("slide").cast("long").alias("slide"), F.col("y").cast("long").alias("y"), F.col("x").cast("long").alias("x")).distinct()
+    """(slide, y, x, label): the label is the smallest y * SPAN + x of the region. Slides may be numbers or names."""
+    m = mask.select(_slide(mask).alias("slide"), F.col("y").cast("long").alias("y"), F.col("x").cast("long").alias("x")).distinct()
     m = m.withColumns({"by": F.floor(F.col("y") / block), "bx": F.floor(F.col("x") / block)})
-    local = m.groupBy("slide", "by", "bx").applyInPandas(lambda rows: _union_find(rows, eight), "slide long, y long, x long, by long, bx long, local long")
-    local = graph.materialise(local, "local")
-    key = F.col("slide") * F.lit(1 << 44) + F.col("local")
-    at = local.select("slide", "y", "x", "by", "bx", key.alias("key"))
+    local = m.groupBy("slide", "by", "bx").applyInPandas(lambda rows: _union_find(rows, eight), _typed(m, "y long, x long, by long, bx long, local long"))
+    local = graph.materialise(local, "local").select("slide", "y", "x", "local")
     # Only pixels on a block's edge can touch another block.
-    edge = at.filter(f"y % {block} IN (0, {block - 1}) OR x % {block} IN (0, {block - 1})")
+    edge = local.filter(f"y % {block} IN (0, {block - 1}) OR x % {block} IN (0, {block - 1})")
     steps = [(0, 1), (1, 0)] + ([(1, 1), (1, -1)] if eight else [])
-    moved = edge.select("slide", F.col("key").alias("a"), F.explode(F.array(*[F.struct((F.col("y") + dy).alias("y"), (F.col("x") + dx).alias("x")) for dy, dx in steps])).alias("p"))
+    moved = edge.select("slide", F.col("local").alias("a"), F.explode(F.array(*[F.struct((F.col("y") + dy).alias("y"), (F.col("x") + dx).alias("x")) for dy, dx in steps])).alias("p"))
     moved = moved.select("slide", "a", F.col("p.y").alias("y"), F.col("p.x").alias("x"))
-    pairs = moved.join(edge.select("slide", "y", "x", F.col("key").alias("b")), KEYS).filter("a <> b").select("a", "b").distinct()
+    pairs = moved.join(edge.select("slide", "y", "x", F.col("local").alias("b")), KEYS).filter("a <> b").select("slide", "a", "b").distinct()
     pairs = graph.materialise(pairs, "pairs")
     if not pairs.take(1):
-        return at.select("slide", "y", "x", F.pmod("key", F.lit(1 << 44)).alias("label"))
-    roots = graph.components(pairs)
-    joined = at.join(roots, "key", "left")
-    return joined.select("slide", "y", "x", F.pmod(F.coalesce("root", "key"), F.lit(1 << 44)).alias("label"))
+        return local.withColumnRenamed("local", "label")
+    roots = graph.components(pairs.select(F.xxhash64("slide", "a").alias("a"), F.xxhash64("slide", "b").alias("b")))
+    names = pairs.select("slide", F.explode(F.array("a", "b")).alias("local")).distinct()
+    names = names.join(roots, F.xxhash64("slide", "local") == F.col("key")).select("slide", "local", "root")
+    least = names.groupBy("slide", "root").agg(F.min("local").alias("label"))
+    joined = local.join(names.join(least, ["slide", "root"]).select("slide", "local", "label"), ["slide", "local"], "left")
+    return joined.select("slide", "y", "x", F.coalesce("label", "local").alias("label"))
 
 
 def fill_holes(mask: DataFrame, h: int, w: int) -> DataFrame:
     """The mask with every 4-connected piece of background that does not reach the frame's edge."""
-    slides = mask.select(F.col("slide").cast("long").alias("slide")).distinct()
+    mask = mask.select(_slide(mask).alias("slide"), F.col("y").cast("long").alias("y"), F.col("x").cast("long").alias("x"))
+    slides = mask.select("slide").distinct()
     grid = slides.select("slide", F.explode(F.sequence(F.lit(0), F.lit(h - 1))).alias("y")).select("slide", "y", F.explode(F.sequence(F.lit(0), F.lit(w - 1))).alias("x"))
     back = label(grid.join(mask.select(*KEYS), KEYS, "left_anti"), eight=False)
     outer = back.filter(f"y IN (0, {h - 1}) OR x IN (0, {w - 1})").select("slide", "label").distinct()
     holes = back.join(outer, ["slide", "label"], "left_anti").select(*KEYS)
-    return mask.select(*[F.col(c).cast("long").alias(c) for c in KEYS]).unionByName(holes)
+    return mask.unionByName(holes)
 
 
 def areas(labels: DataFrame) -> DataFrame:
@@ -155,30 +169,60 @@ def artifact_reasons():
     return F.array_compact(F.array(*[F.when(test, F.lit(name)) for name, test in rules]))
 
 
-def trim_appendages(labels: DataFrame, stained: DataFrame, min_area: int) -> DataFrame:
-    """Labels without the unstained parts that touch their region's boundary; objects under max(64, min_area / 2) go.
+def appendages(labels: DataFrame, stained: DataFrame, signal: DataFrame | None = None, threshold: float = 0.0, radius: int = 2) -> DataFrame:
+    """One row for each weakly stained part of a region: its measures, the rule that it meets, and whether it is to be trimmed.
 
-    An unstained part is a region of (mask AND NOT stained); parts that lie wholly inside stay.
+    A part is a region of (label's pixels AND NOT stained). Rules: it touches the region's ring (what an erosion by a disk
+    takes away), has at most 0.18 of the region's area, and is either a strip or a ragged piece. It is trimmed only if its
+    mean signal (slide, y, x, signal; no table counts as 0) is weak as well.
     """
-    loose = label(labels.join(stained.select(*KEYS), KEYS, "left_anti"))
-    touching = boundary_contact(loose, labels).filter("contact > 0").select("slide", "label")
-    gone = loose.join(touching, ["slide", "label"], "left_semi").select(*KEYS)
-    return remove_small(label(labels.join(gone, KEYS, "left_anti")), max(64, min_area // 2))
+    loose = label(labels.join(stained.select(*KEYS), KEYS, "left_anti")).withColumnRenamed("label", "appendage")
+    ring = boundary_ring(labels, radius).withColumn("on", F.lit(1))
+    rows = loose.join(labels.select(*KEYS, "label"), KEYS).join(ring, KEYS, "left")
+    rows = rows.withColumn("signal", F.lit(0.0)) if signal is None else rows.join(signal.select(*KEYS, "signal"), KEYS, "left")
+    parts = rows.groupBy("slide", "label", "appendage").agg(
+        F.count(F.lit(1)).alias("area_px"), F.min("y").alias("bbox_y0"), F.min("x").alias("bbox_x0"), (F.max("y") + 1).alias("bbox_y1"), (F.max("x") + 1).alias("bbox_x1"),
+        F.count("on").alias("contact"), F.coalesce(F.avg("signal"), F.lit(0.0)).alias("mean_he_signal"),
+    )
+    h, w = F.col("bbox_y1") - F.col("bbox_y0"), F.col("bbox_x1") - F.col("bbox_x0")
+    parts = parts.join(areas(labels), ["slide", "label"]).withColumns({
+        "area_fraction": F.col("area_px") / F.col("area"), "aspect_ratio": F.greatest(h, w) / F.least(h, w),
+        "extent": F.col("area_px") / (h * w), "boundary_contact_fraction": F.col("contact") / F.col("area_px"),
+    })
+    c = F.col
+    # The names and thresholds of the two rules, and of a weak signal.
+    small = (c("contact") > 0) & (c("area_fraction") <= 0.18)
+    strip = small & (c("aspect_ratio") >= 4.0) & (c("boundary_contact_fraction") >= 0.03)
+    ragged = small & (c("extent") <= 0.35) & (c("boundary_contact_fraction") >= 0.08)
+    reason = F.when(strip, "peripheral_low_he_strip").when(ragged, "peripheral_low_he_appendage").otherwise("")
+    weak = c("mean_he_signal") <= max(threshold * 1.25, 0.04)
+    return parts.drop("area").withColumn("appendage_reason", reason).withColumn("trimmed", (c("appendage_reason") != "") & weak)
+
+
+def trim_appendages(labels: DataFrame, stained: DataFrame, min_area: int, signal: DataFrame | None = None, threshold: float = 0.0) -> DataFrame:
+    """Labels of the mask without the parts that `appendages` trims; objects under max(64, min_area / 2) go, if any was trimmed on the slide."""
+    cut = graph.materialise(appendages(labels, stained, signal, threshold).filter("trimmed").select("slide", "appendage"), "cut")
+    loose = label(labels.join(stained.select(*KEYS), KEYS, "left_anti")).withColumnRenamed("label", "appendage")
+    gone = loose.join(cut, ["slide", "appendage"], "left_semi").select(*KEYS)
+    rest = label(labels.join(gone, KEYS, "left_anti"), eight=False)
+    small = areas(rest).filter(F.col("area") < max(64, min_area // 2)).join(cut.select("slide").distinct(), "slide", "left_semi")
+    return label(rest.join(small, ["slide", "label"], "left_anti"))
 
 
 # --- kernels without a relational form ------------------------------------------------------------------------------
 
 
 def _distance(grid: np.ndarray) -> np.ndarray:
-    """Squared distance of each cell to the nearest background cell, by one pass of minima along each axis."""
+    """Squared distance of each cell to the nearest background cell: along each axis, minima over shifts up to the farthest that still matter."""
     h, w = grid.shape
-    far = float(h * h + w * w)
-    g = np.where(grid, far, 0.0)
-    for axis in (0, 1):
-        n = g.shape[axis]
-        k = np.arange(n)
-        cost = (k[:, None] - k[None, :]) ** 2
-        g = np.min(g[:, None, :] + cost[:, :, None], axis=0) if axis == 0 else np.min(g[:, :, None] + cost[None], axis=1)
+    g = np.where(grid, float(h * h + w * w), 0.0)
+    for _ in range(2):
+        out, d = g.copy(), 1
+        while d < len(g) and d * d < out.max():
+            np.minimum(out[d:], g[:-d] + d * d, out=out[d:])
+            np.minimum(out[:-d], g[d:] + d * d, out=out[:-d])
+            d += 1
+        g = np.ascontiguousarray(out.T)
     return g
 
 
@@ -197,7 +241,7 @@ def distance_transform(labels: DataFrame) -> DataFrame:
         d = np.sqrt(_distance(grid))
         return rows.assign(distance=d[rows["y"] - y0, rows["x"] - x0])
 
-    return labels.select("slide", "y", "x", "label").groupBy("slide", "label").applyInPandas(run, "slide long, y long, x long, label long, distance double")
+    return labels.select("slide", "y", "x", "label").groupBy("slide", "label").applyInPandas(run, _typed(labels, "y long, x long, label long, distance double"))
 
 
 def _hull_area(points: np.ndarray) -> float:
@@ -225,15 +269,19 @@ def solidity(labels: DataFrame) -> DataFrame:
         points = np.concatenate([rows[["y", "x0"]].to_numpy(), rows[["y", "x1"]].to_numpy()])
         return pd.DataFrame({"slide": rows["slide"][:1], "label": rows["label"][:1], "solidity": [rows["n"].sum() / _hull_area(points)]})
 
-    return ends.groupBy("slide", "label").applyInPandas(run, "slide long, label long, solidity double")
+    return ends.groupBy("slide", "label").applyInPandas(run, _typed(labels, "label long, solidity double"))
 
 
 def split_touching(labels: DataFrame, radius: int = 3, min_area: int = 256) -> DataFrame:
     """Regions cut where they only touch: seeds are what an erosion leaves, and pixels go to the seed that floods them first.
 
-    Flooding goes down the distance transform; pixels where two floods meet are left out. Parts under
-    max(64, min_area / 2) pixels go. One region is one task.
+    Flooding goes down the distance transform; pixels where two floods meet are left out. A region without a seed goes;
+    only where a whole slide has none, the pixel farthest from the background is its one seed. Parts under
+    max(64, min_area / 2) pixels go; without a radius nothing is cut, and parts under min_area go. One region is one task.
     """
+    if radius <= 0:
+        return remove_small(labels, min_area).select("slide", "y", "x", "label")
+
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         import heapq
 
@@ -241,9 +289,9 @@ def split_touching(labels: DataFrame, radius: int = 3, min_area: int = 256) -> D
         d = _distance(grid)
         core = d > radius * radius
         seed = np.zeros(grid.shape, np.int64)
-        n = 0
-        if not core.any():
-            core[np.unravel_index(int(np.argmax(d)), d.shape)] = True
+        n, whole, peak = 0, bool(core.any()), np.unravel_index(int(np.argmax(d)), d.shape)
+        core[peak] = True
+        at = int(peak[0] + y0) * SPAN + int(peak[1] + x0)
         for y, x in zip(*np.nonzero(core), strict=True):
             if not seed[y, x]:
                 n += 1
@@ -274,9 +322,13 @@ def split_touching(labels: DataFrame, radius: int = 3, min_area: int = 256) -> D
                     seed[u, v] = seed[y, x]
                     tick += 1
                     heapq.heappush(heap, (-d[u, v], tick, u, v))
-        return rows.assign(part=seed[rows["y"] - y0, rows["x"] - x0])
+        return rows.assign(part=seed[rows["y"] - y0, rows["x"] - x0], seeded=whole, peak=d.max(), peak_at=at)
 
-    parts = labels.select("slide", "y", "x", "label").groupBy("slide", "label").applyInPandas(run, "slide long, y long, x long, label long, part long")
+    parts = labels.select("slide", "y", "x", "label").groupBy("slide", "label").applyInPandas(run, _typed(labels, "y long, x long, label long, part long, seeded boolean, peak double, peak_at long"))
+    parts = graph.materialise(parts, "parts")
+    best = parts.groupBy("slide").agg(F.bool_or("seeded").alias("any_seed"), F.max(F.struct("peak", (-F.col("peak_at")).alias("at"))).alias("best"))
+    mine = (F.col("peak") == F.col("best.peak")) & (F.col("peak_at") == -F.col("best.at"))
+    parts = parts.join(F.broadcast(best), "slide").filter(F.col("seeded") | (~F.col("any_seed") & mine))  # one row for each slide
     whole = W.partitionBy("slide", "label", "part")
     parts = parts.filter("part > 0").withColumn("area", F.count(F.lit(1)).over(whole)).filter(F.col("area") >= max(64, min_area // 2))
     return parts.withColumn("label", F.min(F.col("y") * SPAN + F.col("x")).over(whole)).select("slide", "y", "x", "label")

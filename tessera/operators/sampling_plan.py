@@ -13,5 +13,12 @@ def summary(work: DataFrame) -> DataFrame:
 
 
 def warnings(positive: Column, mixed: Column, tissue: Column) -> Column:
-    """The names of the strata that a sample lacks."""
-    return F.array_compact(F.array(F.when(positive == 0, F.lit("no_positive_blocks")), F.when(mixed == 0, F.lit("no_mixed_blocks")), F.when(tissue == 0, F.lit("no_tissue_blocks"))))
+    """What a sample lacks: positive blocks, mixed or tissue ones, and highly positive ones (which is what tissue is)."""
+    lacks = {"no_positive_any_blocks_selected": positive == 0, "no_mixed_or_tissue_blocks_selected": (mixed == 0) & (tissue == 0), "no_high_positive_blocks_selected": tissue == 0}
+    return F.array_compact(F.array(*[F.when(test, F.lit(name)) for name, test in lacks.items()]))
+
+
+def sample_warnings(picked: DataFrame, by: list[str]) -> DataFrame:
+    """(by..., warnings) of sampled blocks with mask_fraction and stratum, joined by ;."""
+    n = picked.groupBy(*by).agg(F.count_if(F.col("mask_fraction") > 0).alias("p"), F.count_if(F.col("stratum").startswith("mixed")).alias("m"), F.count_if(F.col("stratum") == "tissue").alias("t"))
+    return n.select(*by, F.array_join(warnings(F.col("p"), F.col("m"), F.col("t")), ";").alias("warnings"))

@@ -44,14 +44,18 @@ def z_grid(slices: DataFrame, default_step: float = 10.0) -> DataFrame:
     return out.select("stack", "idx", (F.col("idx") - first).cast("long").alias("grid_index"), F.col("present_rank").cast("long").alias("present_rank"), (base + (F.col("idx") - first) * fallback).alias("z"))
 
 
-def fill(series: DataFrame, how: str = "linear") -> DataFrame:
-    """series (stack, idx, value) with nulls between observed neighbours filled: linear, or nearest (left if p <= 0.5)."""
+def fill(series: DataFrame, how: str = "linear", at: str = "idx") -> DataFrame:
+    """series (stack, idx, value) with nulls between observed neighbours filled: linear in column `at`, or nearest (left if p <= 0.5).
+
+    `at` rises with idx: the place itself, or a z position where steps are uneven. Both windows run forward, each over its
+    own order, so that a stack costs its length.
+    """
     before = W.partitionBy("stack").orderBy("idx").rowsBetween(W.unboundedPreceding, 0)
-    after = W.partitionBy("stack").orderBy("idx").rowsBetween(0, W.unboundedFollowing)
-    at = F.when(F.col("value").isNotNull(), F.struct(F.col("idx").alias("i"), F.col("value").alias("v")))
-    df = series.select("stack", "idx", "value", F.last(at, ignorenulls=True).over(before).alias("a"), F.first(at, ignorenulls=True).over(after).alias("b"))
+    after = W.partitionBy("stack").orderBy(F.desc("idx")).rowsBetween(W.unboundedPreceding, 0)
+    seen = F.when(F.col("value").isNotNull(), F.struct(F.col(at).alias("i"), F.col("value").alias("v")))
+    df = series.select("stack", "idx", F.col(at).alias("at"), "value", F.last(seen, ignorenulls=True).over(before).alias("a"), F.last(seen, ignorenulls=True).over(after).alias("b"))
     span = (F.col("b.i") - F.col("a.i")).cast("double")
-    p = F.when(span == 0, F.lit(0.0)).otherwise((F.col("idx") - F.col("a.i")) / F.when(span != 0, span))
+    p = F.when(span == 0, F.lit(0.0)).otherwise((F.col("at") - F.col("a.i")) / F.when(span != 0, span))
     filled = F.when(p <= 0.5, F.col("a.v")).otherwise(F.col("b.v")) if how == "nearest" else F.col("a.v") + p * (F.col("b.v") - F.col("a.v"))
     return df.select("stack", "idx", F.coalesce("value", filled).alias("value"), F.col("value").isNull().alias("filled"))
 
@@ -112,3 +116,56 @@ def axis_spacing(axes: DataFrame) -> DataFrame:
 def bottleneck(rows: DataFrame) -> DataFrame:
     """Of benchmark rows (mode, seq, seconds): each mode's fastest run, first on ties."""
     return rows.groupBy("mode").agg(F.min_by(F.struct("seconds", "seq"), F.struct("seconds", "seq")).alias("m"), F.count(F.lit(1)).alias("runs")).select("mode", "m.seconds", "m.seq", "runs")
+
+
+# The modes and codecs that the rules compare, the labels of bottlenecks, and the thresholds.
+WHOLE, DIRECT, DIRECT_ONE_LEVEL, REPLAY = "materialized-source-crop-write", "direct-ets-rgb-plus-mask-mips", "direct-ets-rgb-plus-mask-no-mips", "replay-cached-rgb-blocks-write"
+ZEROS, RANDOM, READ_ONLY = "synthetic-zero-write", "synthetic-random-write", "ets-read-only"
+DEEP, QUICK = "zstd-5-bitshuffle", "lz4-byte-shuffle"
+INCONCLUSIVE = "inconclusive"
+
+
+def bottleneck_verdict(rows: DataFrame, by: list[str] = ()) -> DataFrame:
+    """The eight rules on benchmark rows, for each group: booleans, the labels of those that hold in their order, the first as verdict.
+
+    rows: mode, codec, skipped, elapsed_s, blocks_per_sec, downsample_s, write_s, repeated_decode, alignment_win. Of a mode
+    its fastest row counts; missing numbers count as 0; one pass over the rows.
+    """
+    used = ~F.coalesce("skipped", F.lit(False))
+    fastest = lambda m: F.min_by(F.struct("elapsed_s", "blocks_per_sec", "downsample_s", "write_s"), F.when(used & (F.col("mode") == m), F.coalesce("elapsed_s", F.lit(float("inf"))))).alias(m)
+    direct = used & F.col("mode").contains("direct-ets")
+    least = lambda codec: F.min(F.when(direct & (F.col("codec") == codec), F.coalesce("elapsed_s", F.lit(0.0)))).alias(codec)
+    most = lambda c: F.coalesce(F.max(F.when(used, F.col(c))), F.lit(0.0)).alias(c)
+    modes = (WHOLE, DIRECT, DIRECT_ONE_LEVEL, REPLAY, ZEROS, RANDOM, READ_ONLY)
+    g = rows.groupBy(*by).agg(*map(fastest, modes), least(DEEP), least(QUICK), most("repeated_decode"), most("alignment_win"))
+
+    def of(mode: str, field: str) -> Column:
+        """A number of the fastest row; 0 if it has none; null without such a row."""
+        return F.when(F.col(f"`{mode}`").isNotNull(), F.coalesce(F.col(f"`{mode}`.{field}"), F.lit(0.0)))
+
+    def ratio(a: Column, b: Column, least: float) -> Column:
+        return F.coalesce(a / F.when(b > 0, b) >= least, F.lit(False))
+
+    some = lambda test: F.coalesce(test, F.lit(False))
+    levels = ratio(of(DIRECT, "elapsed_s"), of(DIRECT_ONE_LEVEL, "elapsed_s"), 1.25)
+    writes = levels & (of(DIRECT, "write_s") >= of(DIRECT, "downsample_s"))
+    rules = {
+        "materialized_much_faster_than_direct": ratio(of(DIRECT, "elapsed_s"), of(WHOLE, "elapsed_s"), 1.5),
+        "synthetic_replay_writes_slow": some((of(REPLAY, "blocks_per_sec") < 5.0) & (of(RANDOM, "blocks_per_sec") < 5.0) & (F.coalesce(of(ZEROS, "blocks_per_sec"), F.lit(0.0)) < 20.0)),
+        "no_mips_much_faster_than_mips": levels,
+        "pyramid_write_path_dominates_downsample": writes,
+        "zstd5_much_slower_than_lz4": ratio(F.col(f"`{DEEP}`"), F.col(f"`{QUICK}`"), 1.25),
+        "ets_read_fast_direct_slow": some(of(READ_ONLY, "blocks_per_sec") > of(DIRECT, "blocks_per_sec") * 1.5),
+        "repeated_decode_factor_high": F.col("repeated_decode") >= 2.0,
+        "potential_alignment_win_high": F.col("alignment_win") >= 1.75,
+    }
+    labels = [
+        ("materialized_much_faster_than_direct", "ETS decode/access/redecode"), ("synthetic_replay_writes_slow", "writer/compression/filesystem"),
+        ("pyramid_write_path_dominates_downsample", "pyramid write path"), (None, "pyramid downsampling"), ("zstd5_much_slower_than_lz4", "compression"),
+        ("ets_read_fast_direct_slow", "block assembly/scheduling/writer interaction"), ("repeated_decode_factor_high", "missing ETS tile cache candidate"),
+        ("potential_alignment_win_high", "source-tile-aligned canvas candidate"),
+    ]
+    g = g.select(*by, *[c.alias(n) for n, c in rules.items()])
+    down = F.col("no_mips_much_faster_than_mips") & ~F.col("pyramid_write_path_dominates_downsample")
+    found = F.array_compact(F.array(*[F.when(F.col(rule) if rule else down, F.lit(text)) for rule, text in labels]))
+    return g.withColumn("candidates", F.array_join(found, ";")).withColumn("top", F.coalesce(F.get(found, F.lit(0)), F.lit(INCONCLUSIVE)))

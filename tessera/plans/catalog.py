@@ -421,7 +421,7 @@ def block_strata(spark, sf):
     return _strata(spark, sf).select("slide", "label", "block_index", F.round("mask_fraction", 9).alias("mask_fraction"), "stratum")
 
 
-@query(_FRACTION + " SELECT slide, label, block_index FROM str QUALIFY row_number() OVER (PARTITION BY slide ORDER BY f DESC, label, block_index) <= 5", True)
+@query(_FRACTION + " SELECT slide, label, block_index FROM str WHERE f > 0 QUALIFY row_number() OVER (PARTITION BY slide ORDER BY f DESC, label, block_index) <= 5", True)
 def sample_tissue(spark, sf):
     return frames.sample_blocks(_strata(spark, sf), "tissue", 5).select("slide", "label", "block_index")
 
@@ -445,11 +445,25 @@ _EST = _FRAME + """, cs AS (SELECT slide, CAST(ceil((greatest(my1 - my0, mx1 - m
 est AS (SELECT slide, CAST(sum(greatest(side >> k, 1) * greatest(side >> k, 1) * 3) AS BIGINT) AS bytes_all_mips, CAST(sum(CASE WHEN k = 0 THEN CAST(ceil(side / 16.0) AS BIGINT) * CAST(ceil(side / 16.0) AS BIGINT) ELSE 0 END) AS BIGINT) AS s0_chunks FROM cs, unnest(range(0, 4)) AS a(k) GROUP BY slide)"""
 
 
-@query(_EST + " SELECT *, 'none' AS warning FROM est", True)
+@query(_EST + " SELECT *, CAST(NULL AS VARCHAR) AS warning FROM est", True)
 def estimate_bytes(spark, sf):
     return frames.estimate_bytes(_frames(spark, sf, "notebook_square_source"), 4, chunk=16)
 
 
+@query("SELECT o_orderkey AS id, CASE WHEN b >= 268435456000 THEN 'very_large_output_over_250_gib' WHEN b >= 107374182400 THEN 'large_output_over_100_gib' WHEN c >= 100000 THEN 'many_s0_chunks_over_100k' END AS warning FROM (SELECT o_orderkey, CAST(floor(o_totalprice) AS BIGINT) * 1000000 AS b, o_custkey * 997 AS c FROM orders)")
+def estimate_warnings(spark, sf):
+    o = table(spark, sf, "orders")
+    return o.select(F.col("o_orderkey").alias("id"), frames.estimate_warning(F.floor("o_totalprice") * 1000000, F.col("o_custkey") * 997).alias("warning"))
+
+
+@query("""SELECT o_custkey AS k, concat_ws(';', CASE WHEN p = 0 THEN 'no_positive_any_blocks_selected' END, CASE WHEN m + t = 0 THEN 'no_mixed_or_tissue_blocks_selected' END, CASE WHEN t = 0 THEN 'no_high_positive_blocks_selected' END) AS warnings
+FROM (SELECT o_custkey, count(*) FILTER (o_orderkey % 5 > 0) AS p, count(*) FILTER (o_orderkey % 5 IN (2, 3)) AS m, count(*) FILTER (o_orderkey % 5 = 4) AS t FROM orders GROUP BY 1)""")
+def sampling_warnings(spark, sf):
+    kind = F.element_at(F.array(*map(F.lit, ("background", "background", "mixed_low", "mixed_moderate", "tissue"))), (F.col("o_orderkey") % 5 + 1).cast("int"))
+    picked = table(spark, sf, "orders").select(F.col("o_custkey").alias("k"), kind.alias("stratum"), (F.col("o_orderkey") % 5).alias("mask_fraction"))
+    return sampling_plan.sample_warnings(picked, ["k"])
+
+
 @query(_EST + " SELECT slide, round(228.3 * s0_chunks / 5171.0, 6) AS seconds, round(bytes_all_mips / 737148928.0, 9) AS disk_ratio, CAST(ceil(5171.0::DOUBLE * (s0_chunks / 5171.0::DOUBLE)) AS BIGINT) AS files FROM est", True)
 def projection_ratio(spark, sf):
     e = frames.estimate_bytes(_frames(spark, sf, "notebook_square_source"), 4, chunk=16)
@@ -495,11 +509,12 @@ def mask_iou(spark, sf):
     return raster.iou(p.filter("v >= 40"), p.filter("v >= 45")).withColumn("iou", F.round("iou", 9))
 
 
-@query("SELECT slide, count(*) FILTER (v < 45 AND v >= 45) AS bad, count(*) AS n FROM raster GROUP BY slide", True)
+# Every 97th place outside the mask is left as it was.
+@query("SELECT slide, count(*) FILTER (v < 45 AND (y + x) % 97 = 0 AND v <> 0) AS bad, count(*) AS n FROM raster GROUP BY slide", True)
 def outside_zero_check(spark, sf):
-    m = raster.masked(pixels(spark, sf), foreground(spark, sf), ["v"]).alias("a")
-    out = m.join(foreground(spark, sf).withColumn("on", F.lit(1)), ["slide", "y", "x"], "left")
-    return out.groupBy("slide").agg(F.count_if(F.col("on").isNull() & (F.col("v") != 0)).alias("bad"), F.count(F.lit(1)).alias("n"))
+    p = pixels(spark, sf)
+    some = foreground(spark, sf).unionByName(p.filter("(y + x) % 97 = 0").select("slide", "y", "x")).distinct()
+    return raster.outside_zero(raster.masked(p, some, ["v"]), foreground(spark, sf))
 
 
 @query("SELECT slide, " + ", ".join(f"round(avg({c}), 6) AS mean_{c}, round(stddev_pop({c}), 6) AS std_{c}" for c in "rgb") + ", " + ", ".join(f"round(avg(abs({a} - {b})), 6) AS diff_{a}{b}" for a, b in ("rg", "rb", "gb")) + ", greatest(avg(abs(r - g)), avg(abs(r - b)), avg(abs(g - b))) <= 2.0 AS near_gray FROM rgb GROUP BY slide", True)

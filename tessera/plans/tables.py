@@ -63,6 +63,19 @@ def gap_fill_nearest(spark, sf):
     return stack.fill(_slices(spark, sf).withColumnRenamed("z", "value"), "nearest")
 
 
+_FILL_Z = """WITH s AS (SELECT o_custkey % 50 AS stack, o_orderkey AS idx, o_orderkey * 10.0::DOUBLE + o_orderkey % 7 AS zp, CASE WHEN o_orderkey % 4 <> 0 THEN o_totalprice END AS v FROM orders),
+f AS (SELECT *, last_value(CASE WHEN v IS NOT NULL THEN zp END IGNORE NULLS) OVER a AS z0, last_value(v IGNORE NULLS) OVER a AS v0, first_value(CASE WHEN v IS NOT NULL THEN zp END IGNORE NULLS) OVER b AS z1, first_value(v IGNORE NULLS) OVER b AS v1 FROM s
+  WINDOW a AS (PARTITION BY stack ORDER BY idx ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), b AS (PARTITION BY stack ORDER BY idx ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))
+SELECT stack, idx, round(coalesce(v, v0 + (zp - z0) / (z1 - z0) * (v1 - v0)), 4) AS value, v IS NULL AS filled FROM f"""
+
+
+@query(_FILL_Z)
+def gap_fill_by_z(spark, sf):
+    k = F.col("o_orderkey")
+    s = table(spark, sf, "orders").select((F.col("o_custkey") % 50).alias("stack"), k.alias("idx"), (k * 10.0 + k % 7).alias("z"), F.when(k % 4 != 0, F.col("o_totalprice")).alias("value"))
+    return stack.fill(s, at="z").withColumn("value", F.round("value", 4))
+
+
 @query("SELECT p_partkey AS id, CASE WHEN p_size % 5 = 0 THEN 1 WHEN p_size > 0 THEN greatest(1, CAST(round_even(p_retailprice / p_size, 0) AS BIGINT)) ELSE 1 END AS factor FROM part")
 def downsample_factors(spark, sf):
     return table(spark, sf, "part").select(F.col("p_partkey").alias("id"), stack.downsampling(F.col("p_retailprice"), F.col("p_size"), F.col("p_size") % 5 == 0).cast("long").alias("factor"))
@@ -114,6 +127,32 @@ def bottleneck_rules(spark, sf):
     return stack.bottleneck(e)
 
 
+_RUNS = """WITH b AS (SELECT user_id % 60 AS run, ['materialized-source-crop-write', 'direct-ets-rgb-plus-mask-mips', 'direct-ets-rgb-plus-mask-no-mips', 'replay-cached-rgb-blocks-write', 'synthetic-zero-write', 'synthetic-random-write', 'ets-read-only'][event_id % 7 + 1] AS mode,
+  CASE WHEN event_id % 2 = 0 THEN 'zstd-5-bitshuffle' ELSE 'lz4-byte-shuffle' END AS codec, event_id % 11 = 0 AS skipped, value AS elapsed_s, CAST(event_id % 23 AS DOUBLE) AS bps, CAST(event_id % 5 AS DOUBLE) AS downsample_s,
+  CAST(event_id % 3 AS DOUBLE) AS write_s, (event_id % 97) / 40.0 AS dec, (event_id % 89) / 48.0 AS win FROM events WHERE event_id % 60 < 9),
+u AS (SELECT * FROM b WHERE NOT skipped), f AS (SELECT run, mode, elapsed_s AS e, bps, downsample_s AS d, write_s AS w FROM u QUALIFY row_number() OVER (PARTITION BY run, mode ORDER BY elapsed_s) = 1),
+n AS (SELECT run, max(dec) AS dec, max(win) AS win, min(CASE WHEN mode LIKE '%direct-ets%' AND codec = 'zstd-5-bitshuffle' THEN elapsed_s END) AS z, min(CASE WHEN mode LIKE '%direct-ets%' AND codec = 'lz4-byte-shuffle' THEN elapsed_s END) AS l FROM u GROUP BY run),
+r AS (SELECT n.run, coalesce(di.e / nullif(wh.e, 0) >= 1.5, false) AS r1, coalesce(re.bps < 5 AND ra.bps < 5 AND coalesce(ze.bps, 0) < 20, false) AS r2, coalesce(di.e / nullif(dn.e, 0) >= 1.25, false) AS r3, coalesce(di.e / nullif(dn.e, 0) >= 1.25, false) AND di.w >= di.d AS r4,
+  coalesce(z / nullif(l, 0) >= 1.25, false) AS r5, coalesce(ro.bps > di.bps * 1.5, false) AS r6, dec >= 2 AS r7, win >= 1.75 AS r8 FROM n"""
+_RUNS += "".join(f" LEFT JOIN f {a} ON {a}.run = n.run AND {a}.mode = '{m}'" for a, m in zip(("wh", "di", "dn", "re", "ze", "ra", "ro"), (stack.WHOLE, stack.DIRECT, stack.DIRECT_ONE_LEVEL, stack.REPLAY, stack.ZEROS, stack.RANDOM, stack.READ_ONLY), strict=True)) + """)
+SELECT run, r1 AS materialized_much_faster_than_direct, r2 AS synthetic_replay_writes_slow, r3 AS no_mips_much_faster_than_mips, coalesce(r4, false) AS pyramid_write_path_dominates_downsample, r5 AS zstd5_much_slower_than_lz4, r6 AS ets_read_fast_direct_slow, r7 AS repeated_decode_factor_high, r8 AS potential_alignment_win_high,
+  concat_ws(';', CASE WHEN r1 THEN 'ETS decode/access/redecode' END, CASE WHEN r2 THEN 'writer/compression/filesystem' END, CASE WHEN r3 AND r4 THEN 'pyramid write path' END, CASE WHEN r3 AND NOT r4 THEN 'pyramid downsampling' END, CASE WHEN r5 THEN 'compression' END,
+    CASE WHEN r6 THEN 'block assembly/scheduling/writer interaction' END, CASE WHEN r7 THEN 'missing ETS tile cache candidate' END, CASE WHEN r8 THEN 'source-tile-aligned canvas candidate' END) AS candidates,
+  CASE WHEN r1 THEN 'ETS decode/access/redecode' WHEN r2 THEN 'writer/compression/filesystem' WHEN r3 AND r4 THEN 'pyramid write path' WHEN r3 THEN 'pyramid downsampling' WHEN r5 THEN 'compression' WHEN r6 THEN 'block assembly/scheduling/writer interaction'
+    WHEN r7 THEN 'missing ETS tile cache candidate' WHEN r8 THEN 'source-tile-aligned canvas candidate' ELSE 'inconclusive' END AS top FROM r"""
+
+
+@query(_RUNS)
+def bottleneck_verdict(spark, sf):
+    e, k = table(spark, sf, "events").filter("event_id % 60 < 9"), F.col("event_id")
+    modes = F.array(*map(F.lit, (stack.WHOLE, stack.DIRECT, stack.DIRECT_ONE_LEVEL, stack.REPLAY, stack.ZEROS, stack.RANDOM, stack.READ_ONLY)))
+    rows = e.select(
+        (F.col("user_id") % 60).alias("run"), F.element_at(modes, (k % 7 + 1).cast("int")).alias("mode"), F.when(k % 2 == 0, stack.DEEP).otherwise(stack.QUICK).alias("codec"), (k % 11 == 0).alias("skipped"), F.col("value").alias("elapsed_s"),
+        (k % 23).cast("double").alias("blocks_per_sec"), (k % 5).cast("double").alias("downsample_s"), (k % 3).cast("double").alias("write_s"), (k % 97 / 40.0).alias("repeated_decode"), (k % 89 / 48.0).alias("alignment_win"),
+    )
+    return stack.bottleneck_verdict(rows, ["run"])
+
+
 # --- names and records ----------------------------------------------------------------------------------------------------
 
 _NAME = "WITH f AS (SELECT o_orderkey, o_custkey, printf('slide%d_%02d_%02d_%04d.%s', o_custkey % 20, o_orderkey % 7, o_orderkey % 11, o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 'TIFF' ELSE 'jpg' END) AS filename FROM orders)"
@@ -143,7 +182,7 @@ def overall_label(spark, sf):
 
 
 @query(_NAME + r""", n AS (SELECT filename, regexp_replace(filename, '\.[A-Za-z]+$', '') AS stem, regexp_extract(filename, '\.([A-Za-z]+)$', 1) AS e FROM f)
-SELECT filename, regexp_replace(stem, '_\d{4}$', '') || '_0007' AS renamed, CAST(regexp_extract(stem, '(\d+)$', 1) AS BIGINT) AS frame, CASE lower(e) WHEN 'tiff' THEN 'tif' WHEN 'jpeg' THEN 'jpg' ELSE lower(e) END AS ext FROM n""")
+SELECT filename, regexp_replace(stem, '_\d{4}$', '') || '_0007' AS renamed, CAST(regexp_extract(stem, '(\d+)$', 1) AS BIGINT) AS frame, CASE WHEN lower(e) IN ('tif', 'tiff') THEN 'tiff' WHEN lower(e) IN ('jpg', 'jpeg') THEN 'jpg' WHEN lower(e) = 'png' THEN 'png' END AS ext FROM n""")
 def name_rules(spark, sf):
     stem = F.regexp_replace("filename", r"\.[A-Za-z]+$", "")
     return _files(spark, sf).select("filename", N.with_suffix(stem, F.lit("0007")).alias("renamed"), N.frame_number(stem).alias("frame"), N.normal_extension(F.regexp_extract("filename", r"\.([A-Za-z]+)$", 1)).alias("ext"))
@@ -154,9 +193,10 @@ def safe_name(spark, sf):
     return table(spark, sf, "part").select(F.col("p_partkey").alias("id"), N.safe_name(F.concat("p_name", F.lit(" #"), "p_brand", F.lit("."))).alias("safe"))
 
 
-@query("SELECT o_orderkey AS id, CASE WHEN n >= 1073741824 THEN printf('%.1f GiB', round_even(n / 1073741824.0::DOUBLE * 10, 0) / 10) WHEN n >= 1048576 THEN printf('%.1f MiB', round_even(n / 1048576.0::DOUBLE * 10, 0) / 10) WHEN n >= 1024 THEN printf('%.1f KiB', round_even(n / 1024.0::DOUBLE * 10, 0) / 10) ELSE printf('%d B', n) END AS size FROM (SELECT o_orderkey, CAST(floor(o_totalprice) AS BIGINT) * (o_orderkey % 5000 + 1) AS n FROM orders)")
+@query("""SELECT o_orderkey AS id, CASE WHEN n < 1024 THEN printf('%.2f B', n) WHEN n < 1048576 THEN printf('%.2f KiB', n / 1024) WHEN n < 1073741824 THEN printf('%.2f MiB', n / 1048576) ELSE printf('%.2f GiB', n / 1073741824) END AS size
+FROM (SELECT o_orderkey, CAST(floor(o_totalprice) * (o_orderkey % 5000) * CASE WHEN o_orderkey % 3 = 0 THEN 0.00001 ELSE 1 END AS BIGINT)::DOUBLE AS n FROM orders)""")
 def human_bytes(spark, sf):
-    n = F.floor("o_totalprice") * (F.col("o_orderkey") % 5000 + 1)
+    n = F.rint(F.floor("o_totalprice") * (F.col("o_orderkey") % 5000) * F.when(F.col("o_orderkey") % 3 == 0, 0.00001).otherwise(1)).cast("long")
     return table(spark, sf, "orders").select(F.col("o_orderkey").alias("id"), N.human_bytes(n).alias("size"))
 
 
@@ -192,32 +232,40 @@ def config_flatten(spark, sf):
 # --- submission batches ------------------------------------------------------------------------------------------------------
 
 _MAN = """WITH m AS (SELECT o_orderkey AS row_number, CASE WHEN o_orderkey % 31 = 0 THEN ' ' ELSE 'S' || (o_custkey % 300) END AS specimen_id, CASE WHEN o_orderkey % 37 = 0 THEN NULL ELSE 'L' || (o_orderkey % 40) END AS slide_id,
-  CASE WHEN o_orderkey % 41 = 0 THEN '' WHEN o_orderkey % 17 = 0 THEN 's3://bucket/a.vsi' ELSE '/data/' || o_orderkey || CASE WHEN o_orderkey % 13 = 0 THEN '.jpg' ELSE '.VSI' END END AS source_path,
-  CASE WHEN o_orderkey % 9 <> 0 THEN CAST(floor(o_totalprice) AS BIGINT) END AS size_bytes, CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE 'HE' END AS stain, CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE 'x' END AS checksum, o_custkey % 10 AS batch FROM orders),
+  CASE WHEN o_orderkey % 41 = 0 THEN '' WHEN o_orderkey % 17 = 0 THEN 's3://bucket/a%20b.vsi?v=1' WHEN o_orderkey % 19 = 0 THEN 'file:///data/c.vsi' ELSE '/data/' || o_orderkey || CASE WHEN o_orderkey % 13 = 0 THEN '.jpg' ELSE '.VSI' END END AS source_path,
+  CASE WHEN o_orderkey % 900 <> 0 THEN CAST(floor(o_totalprice) AS BIGINT) END AS size_bytes, CASE WHEN o_orderkey % 5 = 0 THEN 0.5 END AS physical_pixel_size_x, CASE WHEN o_orderkey % 10 = 0 THEN 0.5 END AS physical_pixel_size_y, CASE WHEN o_orderkey % 7 <> 0 THEN 'x' END AS checksum,
+  CASE WHEN o_orderkey % 11 <> 0 THEN 'um' END AS physical_pixel_size_unit, o_custkey % 100 AS batch FROM orders),
 fr AS (SELECT *, CASE WHEN coalesce(trim(specimen_id), '') = '' OR coalesce(trim(slide_id), '') = '' THEN row_number ELSE min(row_number) OVER (PARTITION BY specimen_id, slide_id) END AS first_row FROM m),
-iss AS (SELECT row_number, 'specimen_id' AS field, 'required_blank' AS code, 'ERROR' AS severity FROM fr WHERE coalesce(trim(specimen_id), '') = ''
-  UNION ALL SELECT row_number, 'slide_id', 'required_blank', 'ERROR' FROM fr WHERE coalesce(trim(slide_id), '') = ''
-  UNION ALL SELECT row_number, 'source_path', 'required_blank', 'ERROR' FROM fr WHERE coalesce(trim(source_path), '') = ''
-  UNION ALL SELECT row_number, 'slide_id', 'duplicate_key', 'ERROR' FROM fr WHERE first_row < row_number
-  UNION ALL SELECT row_number, 'source_path', 'extension', 'ERROR' FROM fr WHERE coalesce(trim(source_path), '') <> '' AND NOT lower(source_path) LIKE '%.vsi'
-  UNION ALL SELECT row_number, 'source_path', 'missing_file', 'WARNING' FROM fr WHERE coalesce(trim(source_path), '') <> '' AND (row_number % 6 = 0 OR source_path LIKE 's3%')
-  UNION ALL SELECT row_number, 'stain', 'requirement', 'ERROR' FROM fr WHERE stain IS NULL
-  UNION ALL SELECT row_number, 'checksum', 'requirement', 'DEFERRED' FROM fr WHERE checksum IS NULL)"""
+iss AS (SELECT row_number, 'specimen_id' AS field, 'MISSING_REQUIRED_FIELD' AS code, 'error' AS severity, 'preflight_manifest' AS phase FROM fr WHERE coalesce(trim(specimen_id), '') = ''
+  UNION ALL SELECT row_number, 'slide_id', 'MISSING_REQUIRED_FIELD', 'error', 'preflight_manifest' FROM fr WHERE coalesce(trim(slide_id), '') = ''
+  UNION ALL SELECT row_number, 'source_path', 'MISSING_REQUIRED_FIELD', 'error', 'preflight_manifest' FROM fr WHERE coalesce(trim(source_path), '') = ''
+  UNION ALL SELECT row_number, 'specimen_id,slide_id', 'DUPLICATE_SOURCE_SLIDE_IDENTIFIER', 'warning', 'preflight_manifest' FROM fr WHERE first_row < row_number
+  UNION ALL SELECT row_number, 'source_path', 'DISALLOWED_SOURCE_EXTENSION', 'error', 'source_file_preflight' FROM fr WHERE source_path LIKE '%.jpg'
+  UNION ALL SELECT row_number, 'source_path', 'MISSING_LOCAL_SOURCE', 'error', 'source_file_preflight' FROM fr WHERE source_path LIKE '/%' AND row_number % 6 = 0
+  UNION ALL SELECT row_number, 'source_path', 'DEFERRED_NON_LOCAL_SOURCE_EXISTENCE', 'deferred', 'source_file_preflight' FROM fr WHERE source_path LIKE 's3:%'
+  UNION ALL SELECT row_number, concat_ws(', ', CASE WHEN physical_pixel_size_x IS NULL THEN 'physical_pixel_size_x' END, CASE WHEN physical_pixel_size_y IS NULL THEN 'physical_pixel_size_y' END), 'DEFERRED_SOURCE_PIXEL_SIZE', 'deferred', 'source_metadata_validation' FROM fr WHERE physical_pixel_size_x IS NULL OR physical_pixel_size_y IS NULL
+  UNION ALL SELECT row_number, 'physical_pixel_size_unit', 'MISSING_SOURCE_UNITS', 'error', 'preflight_manifest' FROM fr WHERE physical_pixel_size_unit IS NULL
+  UNION ALL SELECT row_number, 'checksum', 'DEFERRED_SOURCE_CHECKSUM', 'deferred', 'source_metadata_validation' FROM fr WHERE checksum IS NULL)"""
 
 
 def _manifest(spark, sf):
     k, c = F.col("o_orderkey"), F.col("o_custkey")
-    path = F.when(k % 41 == 0, "").when(k % 17 == 0, "s3://bucket/a.vsi").otherwise(F.concat(F.lit("/data/"), k, F.when(k % 13 == 0, ".jpg").otherwise(".VSI")))
+    path = F.when(k % 41 == 0, "").when(k % 17 == 0, "s3://bucket/a%20b.vsi?v=1").when(k % 19 == 0, "file:///data/c.vsi").otherwise(F.concat(F.lit("/data/"), k, F.when(k % 13 == 0, ".jpg").otherwise(".VSI")))
     return table(spark, sf, "orders").select(
         k.alias("row_number"), F.when(k % 31 == 0, " ").otherwise(F.concat(F.lit("S"), c % 300)).alias("specimen_id"), F.when(k % 37 != 0, F.concat(F.lit("L"), k % 40)).alias("slide_id"), path.alias("source_path"),
-        F.when(k % 9 != 0, F.floor("o_totalprice")).alias("size_bytes"), F.when(k % 5 != 0, "HE").alias("stain"), F.when(k % 7 != 0, "x").alias("checksum"), (c % 10).alias("batch"),
+        F.when(k % 900 != 0, F.floor("o_totalprice")).alias("size_bytes"), F.when(k % 5 == 0, 0.5).alias("physical_pixel_size_x"), F.when(k % 10 == 0, 0.5).alias("physical_pixel_size_y"), F.when(k % 7 != 0, "x").alias("checksum"),
+        F.when(k % 11 != 0, "um").alias("physical_pixel_size_unit"), (c % 100).alias("batch"),
     )
 
 
+#: What the profile of these queries asks of rows; units are due at once, under another of the requirement's names.
+_PROFILE = {"required": ["physical_pixel_size", "physical_units", "parent_source_checksum"], "phases": {"units": submission.NOW}}
+
+
 def _issues(spark, sf):
     m = _manifest(spark, sf)
-    there = m.filter("row_number % 6 <> 0 AND source_path NOT LIKE 's3%'").select("source_path")
-    return submission.issues(m, [".vsi"], there)
+    there = m.filter("row_number % 6 <> 0 AND source_path LIKE '/%' OR source_path LIKE 'file:%'").select("source_path")
+    return submission.issues(m, [".vsi"], there, **_PROFILE)
 
 
 @query(_MAN + " SELECT * FROM iss")
@@ -225,48 +273,85 @@ def preflight_issues(spark, sf):
     return _issues(spark, sf)
 
 
-@query(_MAN + ", c AS (SELECT count(*) FILTER (severity = 'ERROR') AS n_error, count(*) FILTER (severity = 'DEFERRED') AS n_deferred, count(*) FILTER (severity = 'WARNING') AS n_warning, count(DISTINCT CASE WHEN severity = 'ERROR' THEN row_number END) AS bad FROM iss) SELECT (SELECT count(*) FROM m) AS n_rows, n_error, n_deferred, n_warning, (SELECT count(*) FROM m) - bad AS valid_rows, CASE WHEN n_error > 0 THEN 'failed' WHEN n_deferred > 0 THEN 'deferred' WHEN n_warning > 0 THEN 'warning' ELSE 'passed' END AS status FROM c")
+@query("""SELECT CAST(NULL AS BIGINT) AS row_number, * FROM (VALUES ('ome_metadata_validation', 'DEFERRED_OME_METADATA_VALIDATION', 'deferred', 'upload_validation'), ('sidecar_consistency', 'DEFERRED_UPLOAD_VALIDATION', 'deferred', 'upload_validation'),
+('output_checksums', 'MISSING_UPLOAD_CHECKSUM_VALIDATION', 'error', 'preflight_manifest'), ('tissue_detection_qc', 'DEFERRED_TISSUE_DETECTION_QC', 'deferred', 'derivative_export')) AS v(field, code, severity, phase)""")
+def preflight_batch_issues(spark, sf):
+    keys = [spec[0] for spec in submission.BATCH_REQUIREMENTS]
+    return submission.batch_issues(spark, keys, {"emit_checksums": submission.NOW})
+
+
+_STATUS = "CASE WHEN n_error > 0 THEN 'PREFLIGHT_FAILED' WHEN n_deferred > 0 THEN 'PREFLIGHT_PASSED_WITH_DEFERRED_REQUIREMENTS' WHEN n_warning > 0 THEN 'PREFLIGHT_PASSED_WITH_WARNINGS' ELSE 'PREFLIGHT_PASSED' END AS status"
+_COUNTS = ", ".join(f"count(*) FILTER (severity = '{s}') AS n_{s}" for s in ("error", "deferred", "warning"))
+_ROWS = ", ".join(f"count(DISTINCT CASE WHEN severity = '{s}' THEN row_number END) AS rows_{s}" for s in ("error", "deferred", "warning"))
+
+
+@query(_MAN + f", c AS (SELECT {_COUNTS}, {_ROWS} FROM iss) SELECT (SELECT count(*) FROM m) AS n_rows, *, (SELECT count(*) FROM m) - rows_error AS valid_rows, {_STATUS} FROM c")
 def preflight_rollup(spark, sf):
     return submission.rollup(_manifest(spark, sf), _issues(spark, sf))
 
 
+@query(_MAN + f", c AS (SELECT m.row_number, {_COUNTS} FROM m LEFT JOIN iss USING (row_number) GROUP BY 1) SELECT row_number, n_error = 0 AS valid, {_STATUS} FROM c")
+def preflight_rows(spark, sf):
+    return submission.row_status(_manifest(spark, sf), _issues(spark, sf))
+
+
 @query(_MAN + " SELECT row_number, first_row FROM fr")
 def duplicate_first_row(spark, sf):
     return submission.first_rows(_manifest(spark, sf)).select("row_number", "first_row")
 
 
-@query(_MAN + ", e AS (SELECT batch, count(*) AS n_rows, count(*) - count(size_bytes) AS unknown, CASE WHEN count(*) = count(size_bytes) THEN CAST(sum(size_bytes) AS DOUBLE) END AS i FROM m WHERE batch % 2 = 1 OR size_bytes IS NOT NULL GROUP BY batch) SELECT batch, n_rows, unknown, i * 0.25 AS output_low, i * 1.5 AS output_high, round(i / 1e9 * 900, 6) AS seconds_low, round(i / 1e9 * 3600, 6) AS seconds_high, round(i * 0.25 * 8 / 1e8 * 1.25, 6) AS upload_low, round(i * 1.5 * 8 / 1e8 * 1.25, 6) AS upload_high FROM e")
+_ESTIMATE = """, e AS (SELECT batch, count(*) AS n_rows, count(*) - count(size_bytes) AS unknown, CASE WHEN count(*) = count(size_bytes) THEN CAST(sum(size_bytes) AS DOUBLE) END AS i FROM m GROUP BY batch),
+o AS (SELECT *, CAST(floor(i * 0.25) AS BIGINT) AS output_low, CAST(ceil(i * 1.5) AS BIGINT) AS output_high FROM e)
+SELECT batch, n_rows, unknown, output_low, output_high, round(i / 1e9 * 900, 6) AS seconds_low, round(i / 1e9 * 3600, 6) AS seconds_high, round(output_low * 8 / 1e8 * 1.25, 6) AS upload_low, round(output_high * 8 / 1e8 * 1.25, 6) AS upload_high,
+  round(i / 1e9 * 900 + output_low * 8 / 1e8 * 1.25, 6) AS total_low, round(i / 1e9 * 3600 + output_high * 8 / 1e8 * 1.25, 6) AS total_high FROM o"""
+
+
+@query(_MAN + _ESTIMATE)
 def setup_estimate(spark, sf):
-    m = _manifest(spark, sf).filter("batch % 2 = 1 OR size_bytes IS NOT NULL")
-    e = submission.setup_estimate(m, "extract", ["batch"])
-    return e.withColumns({c: F.round(c, 6) for c in ("seconds_low", "seconds_high", "upload_low", "upload_high")})
+    e = submission.setup_estimate(_manifest(spark, sf), "extract", ["batch"])
+    return e.withColumns({c: F.round(c, 6) for c in e.columns if c.startswith(("seconds", "upload", "total"))})
 
 
-_PLAN = _MAN + """, sv AS (SELECT row_number, bool_or(severity = 'ERROR') AS er, bool_or(severity = 'DEFERRED') AS de FROM iss GROUP BY 1),
-pl AS (SELECT m.*, CASE WHEN coalesce(er, false) THEN 'blocked' WHEN coalesce(trim(source_path), '') = '' THEN 'skipped_no_path' WHEN source_path LIKE '%://%' THEN 'skipped_remote' WHEN coalesce(de, false) THEN 'deferred' ELSE 'eligible' END AS decision FROM m LEFT JOIN sv USING (row_number))"""
+_PLAN = _MAN + """, sv AS (SELECT row_number, bool_or(severity = 'error') AS er, bool_or(severity = 'deferred') AS de FROM iss GROUP BY 1),
+pl AS (SELECT m.*, CASE WHEN coalesce(er, false) THEN 'BLOCKED_BY_PREFLIGHT_ERROR' WHEN coalesce(trim(source_path), '') = '' THEN 'SKIPPED_UNSUPPORTED_OR_UNKNOWN' WHEN source_path LIKE 's3:%' THEN 'SKIPPED_NONLOCAL_SOURCE'
+  WHEN coalesce(de, false) THEN 'DEFERRED_SOURCE_METADATA' ELSE 'ELIGIBLE_FOR_TISSUE_DETECTION' END AS category FROM m LEFT JOIN sv USING (row_number))"""
 
 
-@query(_PLAN + " SELECT row_number, decision, CASE WHEN decision IN ('deferred', 'eligible') THEN printf('tissue-detection-row-%05d-', row_number) || sha256('b1|' || row_number || '|' || specimen_id || '|' || slide_id || '|' || source_path)[1:12] END AS job_id FROM pl")
+@query(_PLAN + " SELECT row_number, category, CASE WHEN category IN ('DEFERRED_SOURCE_METADATA', 'ELIGIBLE_FOR_TISSUE_DETECTION') THEN printf('tissue-detection-row-%05d-', row_number) || sha256('b1|' || row_number || '|' || specimen_id || '/' || slide_id || '|' || source_path || '|tissue_detection')[1:12] END AS job_id FROM pl")
 def tissue_plan(spark, sf):
     return submission.plan(_manifest(spark, sf), _issues(spark, sf), "b1")
 
 
-@query(_PLAN + " SELECT count(*) AS n_rows, count(*) FILTER (decision = 'blocked') AS blocked, count(*) FILTER (decision LIKE 'skipped%') AS skipped, count(*) FILTER (decision = 'deferred') AS deferred, count(*) FILTER (decision = 'eligible') AS eligible, 'blocked' AS status FROM pl")
+# Plans of one to many rows each, dealt so that all four states occur.
+_SETS = """ CASE WHEN category = 'BLOCKED_BY_PREFLIGHT_ERROR' AND row_number % 2 = 0 THEN 10000 + row_number % 50 WHEN category LIKE 'SKIPPED%' AND row_number % 2 = 0 THEN 20000 WHEN category LIKE 'ELIGIBLE%' AND row_number % 2 = 0 THEN 30000 ELSE row_number % 70 END"""
+
+
+@query(_PLAN + f""", n AS (SELECT {_SETS} AS plan, count(*) AS n_rows, count(*) FILTER (category LIKE 'BLOCKED%') AS blocked, count(*) FILTER (category LIKE 'SKIPPED%') AS skipped,
+  count(*) FILTER (category IN ('DEFERRED_SOURCE_METADATA', 'SKIPPED_NONLOCAL_SOURCE')) AS deferred, count(*) FILTER (category IN ('DEFERRED_SOURCE_METADATA', 'ELIGIBLE_FOR_TISSUE_DETECTION')) AS jobs FROM pl GROUP BY 1)
+SELECT *, CASE WHEN jobs > 0 AND blocked + skipped + deferred = 0 THEN 'TISSUE_PLAN_READY' WHEN jobs > 0 THEN 'TISSUE_PLAN_READY_WITH_DEFERRED_REQUIREMENTS' WHEN blocked = n_rows THEN 'TISSUE_PLAN_BLOCKED' ELSE 'TISSUE_PLAN_EMPTY' END AS status FROM n""")
 def tissue_plan_status(spark, sf):
-    return submission.plan_status(submission.plan(_manifest(spark, sf), _issues(spark, sf), "b1"))
+    planned = submission.plan(_manifest(spark, sf), _issues(spark, sf), "b1")
+    return submission.plan_status(planned.withColumn("plan", F.expr(_SETS)), ["plan"])
 
 
-@query("SELECT o_orderkey AS id, sha256(o_orderkey || '|' || o_orderstatus)[1:12] AS job_id FROM orders")
+@query("SELECT o_orderkey AS id, printf('tissue-detection-row-%05d-', o_orderkey) || sha256('b2|' || o_orderkey || '|' || CASE WHEN o_orderkey % 3 > 0 THEN o_custkey || '/' || o_orderstatus ELSE '' END || '|/data/' || o_orderkey || '|tissue_detection')[1:12] AS job_id FROM orders")
 def job_id(spark, sf):
-    return table(spark, sf, "orders").select(F.col("o_orderkey").alias("id"), F.substring(F.sha2(F.concat_ws("|", F.col("o_orderkey").cast("string"), "o_orderstatus"), 256), 1, 12).alias("job_id"))
+    key = F.when(F.col("o_orderkey") % 3 > 0, F.concat_ws("/", F.col("o_custkey").cast("string"), "o_orderstatus"))
+    return table(spark, sf, "orders").select(F.col("o_orderkey").alias("id"), N.job_id(F.lit("b2"), F.col("o_orderkey"), key, F.concat(F.lit("/data/"), "o_orderkey")).alias("job_id"))
+
+
+@query("SELECT DISTINCT p_brand AS profile, 'preflight-' || lower(trim(regexp_replace('--' || p_brand || ' v.2@1.0 ', '[^a-zA-Z0-9_.-]+', '-', 'g'), '-')) || '-' || sha256('--' || p_brand || ' v.2@1.0 |m.csv')[1:8] AS batch_id FROM part")
+def batch_ids(spark, sf):
+    name = F.concat(F.lit("--"), "p_brand", F.lit(" v.2@1.0 "))
+    return table(spark, sf, "part").select(F.col("p_brand").alias("profile"), submission.batch_id(name, F.lit("m.csv")).alias("batch_id")).distinct()
 
 
 # --- meshes: a grid of two triangles for each cell, heights from the raster --------------------------------------------------
 
 _MESH = """WITH raster AS (SELECT l_suppkey % 4 AS slide, l_orderkey % 64 AS y, l_partkey % 64 AS x, CAST(max(l_quantity) AS INTEGER) AS v FROM lineitem GROUP BY 1, 2, 3),
-ve AS (SELECT slide AS mesh, y * 64 + x AS v, CAST(x AS DOUBLE) AS x, CAST(y AS DOUBLE) AS y, CAST(v AS DOUBLE) AS z FROM raster),
-q AS (SELECT a.mesh, a.v AS a, b.v AS b, c.v AS c, d.v AS d FROM ve a JOIN ve b ON b.mesh = a.mesh AND b.v = a.v + 1 AND a.x < 63 JOIN ve c ON c.mesh = a.mesh AND c.v = a.v + 64 JOIN ve d ON d.mesh = a.mesh AND d.v = a.v + 65),
-fa AS (SELECT mesh, a * 2 AS f, a AS v0, b AS v1, d AS v2 FROM q UNION ALL SELECT mesh, a * 2 + 1, d, c, a FROM q)"""
+ve AS MATERIALIZED (SELECT slide AS mesh, y * 64 + x AS v, CAST(x AS DOUBLE) AS x, CAST(y AS DOUBLE) AS y, CAST(v AS DOUBLE) AS z, slide * 4096 + y * 64 + x AS k FROM raster),
+q AS (SELECT a.mesh, a.v AS a, b.v AS b, c.v AS c, d.v AS d FROM (SELECT * FROM ve WHERE x < 63) a JOIN ve b ON b.k = a.k + 1 JOIN ve c ON c.k = a.k + 64 AND c.mesh = a.mesh JOIN ve d ON d.k = a.k + 65 AND d.mesh = a.mesh),
+fa AS MATERIALIZED (SELECT mesh, a * 2 AS f, a AS v0, b AS v1, d AS v2 FROM q UNION ALL SELECT mesh, a * 2 + 1, d, c, a FROM q)"""
 
 
 def _mesh(spark, sf):
@@ -279,20 +364,20 @@ def _mesh(spark, sf):
     return ve, fa
 
 
-@query(_MESH + """, k AS (SELECT fa.mesh, p1.x - p0.x AS ux, p1.y - p0.y AS uy, p1.z - p0.z AS uz, p2.x - p0.x AS wx, p2.y - p0.y AS wy, p2.z - p0.z AS wz FROM fa JOIN ve p0 ON p0.mesh = fa.mesh AND p0.v = v0 JOIN ve p1 ON p1.mesh = fa.mesh AND p1.v = v1 JOIN ve p2 ON p2.mesh = fa.mesh AND p2.v = v2)
+@query(_MESH + """, k AS (SELECT fa.mesh, p1.x - p0.x AS ux, p1.y - p0.y AS uy, p1.z - p0.z AS uz, p2.x - p0.x AS wx, p2.y - p0.y AS wy, p2.z - p0.z AS wz FROM fa JOIN ve p0 ON p0.k = fa.mesh * 4096 + v0 JOIN ve p1 ON p1.k = fa.mesh * 4096 + v1 JOIN ve p2 ON p2.k = fa.mesh * 4096 + v2)
 SELECT mesh, round(sum(0.5 * sqrt(pow(uy * wz - uz * wy, 2) + pow(uz * wx - ux * wz, 2) + pow(ux * wy - uy * wx, 2))), 4) AS area FROM k GROUP BY mesh""")
 def mesh_area(spark, sf):
     return mesh.area(*_mesh(spark, sf)).withColumn("area", F.round("area", 4))
 
 
 @query(_MESH + """, e AS (SELECT DISTINCT mesh, least(s, t) AS a, greatest(s, t) AS b FROM (SELECT mesh, v0 AS s, v1 AS t FROM fa UNION ALL SELECT mesh, v1, v2 FROM fa UNION ALL SELECT mesh, v0, v2 FROM fa)),
-n AS (SELECT mesh, (SELECT count(*) FROM ve WHERE ve.mesh = m.mesh) AS n_v, (SELECT count(*) FROM e WHERE e.mesh = m.mesh) AS n_e, (SELECT count(*) FROM fa WHERE fa.mesh = m.mesh) AS n_f FROM (SELECT DISTINCT mesh FROM fa) m) SELECT *, n_v - n_e + n_f AS chi, 1 - (n_v - n_e + n_f) / CAST(2 AS DOUBLE) AS genus FROM n""")
+n AS (SELECT mesh, n_v, n_e, n_f FROM (SELECT mesh, count(*) AS n_v FROM ve GROUP BY 1) JOIN (SELECT mesh, count(*) AS n_e FROM e GROUP BY 1) USING (mesh) JOIN (SELECT mesh, count(*) AS n_f FROM fa GROUP BY 1) USING (mesh)) SELECT *, n_v - n_e + n_f AS chi, 1 - (n_v - n_e + n_f) / CAST(2 AS DOUBLE) AS genus FROM n""")
 def mesh_euler(spark, sf):
     return mesh.euler(*_mesh(spark, sf))
 
 
-@query(_MESH + """, d AS (SELECT DISTINCT mesh, list_sort([v0, v1, v2]) AS t FROM (SELECT mesh, v0, v1, v2 FROM fa UNION ALL SELECT mesh, v2, v0, v1 FROM fa)), u AS (SELECT DISTINCT mesh, unnest(t) AS v FROM d), r AS (SELECT mesh, v, dense_rank() OVER (PARTITION BY mesh ORDER BY v) - 1 AS n FROM u)
-SELECT d.mesh, a.n AS v0, b.n AS v1, c.n AS v2 FROM d JOIN r a ON a.mesh = d.mesh AND a.v = t[1] JOIN r b ON b.mesh = d.mesh AND b.v = t[2] JOIN r c ON c.mesh = d.mesh AND c.v = t[3]""")
+@query(_MESH + """, d AS (SELECT DISTINCT mesh, list_sort([v0, v1, v2]) AS t FROM (SELECT mesh, v0, v1, v2 FROM fa UNION ALL SELECT mesh, v2, v0, v1 FROM fa)), u AS (SELECT DISTINCT mesh, unnest(t) AS v FROM d), r AS MATERIALIZED (SELECT mesh * 4096 + v AS k, dense_rank() OVER (PARTITION BY mesh ORDER BY v) - 1 AS n FROM u)
+SELECT d.mesh, a.n AS v0, b.n AS v1, c.n AS v2 FROM d JOIN r a ON a.k = d.mesh * 4096 + t[1] JOIN r b ON b.k = d.mesh * 4096 + t[2] JOIN r c ON c.k = d.mesh * 4096 + t[3]""")
 def face_dedupe(spark, sf):
     _, fa = _mesh(spark, sf)
     return mesh.unique_faces(fa.unionByName(fa.select("mesh", "f", F.col("v2").alias("v0"), F.col("v0").alias("v1"), F.col("v1").alias("v2"))))

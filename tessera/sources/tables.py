@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 REQUIRED = ["specimen_id", "slide_id", "source_path"]
 OPTIONAL = ["stain", "block_id", "section_number", "notes", "ets_path", "checksum", "width_px", "height_px", "physical_pixel_size_x", "physical_pixel_size_y", "physical_pixel_size_unit", "metadata_status"]
@@ -23,7 +24,8 @@ def manifest(spark: SparkSession, path: str) -> DataFrame:
     # Ids rise with the place in the file; within a partition they are dense, so a count per partition makes them global.
     part = F.shiftright("__at", 33)
     base = rows.groupBy(part.alias("__p")).agg(F.count(F.lit(1)).alias("n"))
-    before = base.alias("a").join(base.alias("b"), F.col("b.__p") < F.col("a.__p"), "left").groupBy(F.col("a.__p").alias("__p")).agg(F.coalesce(F.sum("b.n"), F.lit(0)).alias("__before"))
+    earlier = W.orderBy("__p").rowsBetween(W.unboundedPreceding, -1)  # one row for each input partition
+    before = base.select("__p", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("__before"))
     out = rows.withColumn("__p", part).join(F.broadcast(before), "__p")  # one row for each input partition
     return out.select((F.col("__before") + F.col("__at").bitwiseAND((1 << 33) - 1) + 2).alias("row_number"), *REQUIRED, *OPTIONAL)
 
