@@ -11,8 +11,8 @@ has so many that they could be all it shares. So no frequent word, line or passa
 shared only where everything in its range agrees.
 
 Token-group matrix.
-1. Groups: from each token's list come pairs of a class with the list's first (all pairs of the shortest lists). A class is
-   compared with the one that it meets most often, then with those of other groups. Pairs that link make components;
+1. Groups: from each token's list come pairs of a class with the list's first (all pairs of the shortest lists), of which
+   those go that cannot share as many tokens as links need. A class is compared with the one that it meets most often, then with those of other groups. Pairs that link make components;
    pairs of half the threshold already make *families*, the groups that similar documents are partitioned into.
 2. The matrix holds each family's union of tokens, as (token, family). A query's overlap with a family's union bounds
    its overlap with every member, so a query visits only families that share enough tokens with it. A token of very
@@ -52,6 +52,9 @@ SHINGLE = 4
 PERCENT = 85
 #: Sets up to this size use pairs of parts.
 SMALL = 40
+#: Parts beyond k, besides a twentieth for empty ones: so many tokens, less the empty parts, two linking sets share. A passage
+#: that many texts hold makes them share a token now and then, but hardly ever that many.
+SLACK = 8
 #: A list of no more classes than this has all its pairs compared at once.
 SHORT = 3
 BLOCK = 1 << 19
@@ -137,7 +140,7 @@ def scheme(level: int, percent: int = PERCENT) -> tuple[int, int, int, np.ndarra
     """Largest size, k, P and the ranges' ends of the size class `level`."""
     most = _bounds(level + 1, percent) - 1
     k = (100 - percent) * 2 * most // (100 + percent)
-    parts = k + 2 if most <= SMALL else k + 3 + (k + 3) // 40
+    parts = k + 2 if most <= SMALL else k + SLACK + (k + SLACK) // 20
     ends = np.array([(i << 64) // parts for i in range(1, parts)], dtype=np.uint64)
     return most, k, parts, ends
 
@@ -293,7 +296,7 @@ def _batch(*columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], [x.split()[0] for x in _INDEX.split(", ")])
 
 
-_LISTS = "a long, b long, met int, size long, token long, need int, doc_id long, id_hash long, text_hash long, n long, cls long"
+_LISTS = "a long, b long, met int, shorts int, size long, token long, need int, doc_id long, id_hash long, text_hash long, n long, cls long"
 
 
 def _columns(rows: int, **columns) -> pa.Table:
@@ -304,8 +307,9 @@ def _columns(rows: int, **columns) -> pa.Table:
 
 
 def _list_tokens(table: pa.Table, percent: int) -> pa.Table:
-    """Of a shard's tokens: pairs (a, b, met, size), how often the first of a list met a member (all pairs of short
-    lists), with the size of set a; and (token, a, need) of the lists of more than SHORT. Documents' rows pass through.
+    """Of a shard's tokens: pairs (a, b, met, shorts, need, size), how often the first of a list met a member (all pairs of
+    short lists, counted in shorts too), with the tokens that they would have to share and the size of set a; and
+    (token, a, need) of the lists of more than SHORT. Documents' rows pass through.
     """
     if table.num_rows and table.column("shard")[0].as_py() < 0:
         own = {c: table.column(c).combine_chunks() for c in ("doc_id", "id_hash", "text_hash", "n", "cls")}
@@ -328,19 +332,23 @@ def _list_tokens(table: pa.Table, percent: int) -> pa.Table:
             pairs.append((i + y, i + x))
     member = np.flatnonzero(np.repeat(count > SHORT, count))
     centre = np.repeat(head, count)[member]
+    n_short = sum(len(p[0]) for p in pairs)
     pairs.append((centre[member != centre], member[member != centre]))
     i, j = (np.concatenate([p[k] for p in pairs]) for k in (0, 1))
+    short = np.arange(len(i)) < n_short
     n = rows["n"].astype(np.int64)
     ok = np.minimum(n[i], n[j]) * 100 >= percent * np.maximum(n[i], n[j])
-    i, j = i[ok], j[ok]
+    i, j, short = i[ok], j[ok], short[ok]
     order = np.lexsort((rows["cls"][j], rows["cls"][i]))
-    i, j = i[order], j[order]
+    i, j, short = i[order], j[order], short[order]
     x, y = rows["cls"][i], rows["cls"][j]
     new = np.flatnonzero(np.r_[True, (x[1:] != x[:-1]) | (y[1:] != y[:-1])]) if len(x) else np.zeros(0, np.int64)
     met = np.diff(np.r_[new, len(x)])
+    shorts = np.add.reduceat(short, new, dtype=np.int64) if len(new) else new
+    need = np.maximum(rows["need"][i[new]], rows["need"][j[new]]).astype(np.int32)
     kept = rows[member]
     return pa.concat_tables([
-        _columns(len(new), a=_signed(x[new]), b=_signed(y[new]), met=pa.array(met), size=pa.array(n[i[new]])),
+        _columns(len(new), a=_signed(x[new]), b=_signed(y[new]), met=pa.array(met), shorts=pa.array(shorts), need=pa.array(need), size=pa.array(n[i[new]])),
         _columns(len(kept), token=_signed(kept["token"]), a=_signed(kept["cls"]), need=pa.array(kept["need"].astype(np.int32))),
     ])
 
@@ -544,9 +552,16 @@ def jaccard_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT
     reps = members.filter("n > 0").groupBy("cls").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "id_hash", "text_hash")).alias("r"))
     reps = materialise(reps.select("cls", "r.doc_id", "r.id_hash", "r.text_hash"), "classes")
 
-    pairs = lists.filter("met IS NOT NULL").groupBy("a", "b").agg(F.sum("met").alias("met"), F.max("size").alias("size"))
-    pairs = materialise(pairs, "pairs")
     long_ = lists.filter("token IS NOT NULL").select("token", F.col("a").alias("cls"), "need")
+    # What two sets share are the short lists that both are in, all counted, and at most the long lists of either one.
+    inside = long_.groupBy("cls").agg(F.count(F.lit(1)).alias("inside"), F.max("need").alias("least"))
+    pairs = lists.filter("met IS NOT NULL").groupBy("a", "b").agg(*[f(c).alias(c) for f, c in ((F.sum, "met"), (F.sum, "shorts"), (F.max, "need"), (F.max, "size"))])
+    of = lambda c: inside.select(F.col("cls").alias(c), F.col("inside").alias(f"inside_{c}"))
+    pairs = pairs.join(of("a"), "a", "left").join(of("b"), "b", "left")
+    longs = F.least(F.coalesce("inside_a", F.lit(0)), F.coalesce("inside_b", F.lit(0)))
+    pairs = materialise(pairs.filter(F.col("shorts") + longs >= F.col("need")).select("a", "b", "met", "size"), "pairs")
+    # A pair that no short list holds shares only long ones: a class in too few of them needs no more work.
+    long_ = long_.join(inside.filter("inside >= least"), "cls", "left_semi")
     active = pairs.select(F.explode(F.array("a", "b")).alias("cls")).unionByName(long_.select("cls")).distinct()
     where = materialise(active.join(reps, "cls").select("cls", "id_hash", "text_hash"), "active")
     # The active classes grow with the table, so they are never broadcast.
