@@ -537,6 +537,20 @@ def _with_root(rows: DataFrame, groups: DataFrame, key: str, name: str) -> DataF
     return rows.join(to, key, "left").withColumn(name, F.coalesce(name, key))
 
 
+def _reaching(rows: DataFrame, group: str) -> DataFrame:
+    """Those of rows (token, ...) whose token occurs in several groups."""
+    several = rows.groupBy("token").agg(F.min(group).alias("x"), F.max(group).alias("y")).filter("x <> y")
+    return rows.join(several.select("token"), "token")
+
+
+def _can_link(pairs: DataFrame, inside: DataFrame) -> DataFrame:
+    """Pairs that may share as many tokens as links need: the short lists that both are in, all counted, and at most the long lists (cls, inside) of either one."""
+    of = lambda c: inside.select(F.col("cls").alias(c), F.col("inside").alias(f"inside_{c}"))
+    both = pairs.join(of("a"), "a", "left").join(of("b"), "b", "left")
+    longs = F.least(F.coalesce("inside_a", F.lit(0)), F.coalesce("inside_b", F.lit(0)))
+    return both.filter(F.col("shorts") + longs >= F.col("need")).select(*pairs.columns)
+
+
 def jaccard_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, and cls, the class of equal sets it is in."""
     small_batches(docs.sparkSession)
@@ -553,13 +567,9 @@ def jaccard_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT
     reps = materialise(reps.select("cls", "r.doc_id", "r.id_hash", "r.text_hash"), "classes")
 
     long_ = lists.filter("token IS NOT NULL").select("token", F.col("a").alias("cls"), "need")
-    # What two sets share are the short lists that both are in, all counted, and at most the long lists of either one.
     inside = long_.groupBy("cls").agg(F.count(F.lit(1)).alias("inside"), F.max("need").alias("least"))
     pairs = lists.filter("met IS NOT NULL").groupBy("a", "b").agg(*[f(c).alias(c) for f, c in ((F.sum, "met"), (F.sum, "shorts"), (F.max, "need"), (F.max, "size"))])
-    of = lambda c: inside.select(F.col("cls").alias(c), F.col("inside").alias(f"inside_{c}"))
-    pairs = pairs.join(of("a"), "a", "left").join(of("b"), "b", "left")
-    longs = F.least(F.coalesce("inside_a", F.lit(0)), F.coalesce("inside_b", F.lit(0)))
-    pairs = materialise(pairs.filter(F.col("shorts") + longs >= F.col("need")).select("a", "b", "met", "size"), "pairs")
+    pairs = materialise(_can_link(pairs, inside), "pairs")
     # A pair that no short list holds shares only long ones: a class in too few of them needs no more work.
     long_ = long_.join(inside.filter("inside >= least"), "cls", "left_semi")
     active = pairs.select(F.explode(F.array("a", "b")).alias("cls")).unionByName(long_.select("cls")).distinct()
@@ -576,20 +586,20 @@ def jaccard_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT
     pairs = pairs.join(pairs.groupBy("b").agg(F.max_by("a", F.struct("met", -F.col("a").cast("decimal(20,0)"))).alias("best")), "b")
     found = _verified(pairs.filter("a = best"), sets, percent)
     families = components(found)
+    far = _reaching(_with_root(long_, families, "cls", "family"), "family").groupBy("cls").agg(F.count(F.lit(1)).alias("inside"))
     left = _with_root(_with_root(pairs.filter("a <> best"), families, "a", "ra"), families, "b", "rb")
-    more = _verified(left.filter("ra <> rb"), sets, percent)
+    more = _verified(_can_link(left.filter("ra <> rb"), far), sets, percent)
     found = found.unionByName(more)
     if more.take(1):
         families = components(found)
     groups = components(found.filter("strong"))
     # 2. The matrix, over lists that reach into more than one component.
-    rows = _with_root(long_, groups, "cls", "root")
-    several = rows.groupBy("token").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y").select("token")
-    rows = rows.join(several, "token")
-    enough = rows.groupBy("cls").agg(F.count(F.lit(1)).alias("held"), F.max("need").alias("need")).filter("held >= need").select("cls")
-    rows = materialise(_with_root(rows.join(enough, "cls"), families, "cls", "family"), "rows")
-    reach = rows.select("token", "family").distinct().groupBy("token").agg(F.count(F.lit(1)).alias("families"))
-    wide = rows.join(reach.filter("families > 1"), "token")
+    enough = lambda r: r.join(r.groupBy("cls").agg(F.count(F.lit(1)).alias("held"), F.max("need").alias("least")).filter("held >= least"), "cls", "left_semi")
+    rows = enough(_reaching(_with_root(long_, groups, "cls", "root"), "root"))
+    rows = materialise(_with_root(rows, families, "cls", "family"), "rows")
+    wide = materialise(_reaching(enough(_reaching(rows, "family")), "family"), "wide")
+    reach = wide.select("token", "family").distinct().groupBy("token").agg(F.count(F.lit(1)).alias("families"))
+    wide = wide.join(reach, "token")
     named = lambda kind, c: F.xxhash64(F.lit(kind), c).alias("grp")
     hot = wide.filter(F.col("families") > MANY).select(named("list", "token"), "cls", "root")
     wide = wide.filter(F.col("families") <= MANY)
