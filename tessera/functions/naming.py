@@ -70,3 +70,36 @@ def accepted(source: Column, extensions: list[str]) -> Column:
     for e in extensions:
         out = out | target.endswith(e.lower())
     return out
+
+
+def xy_pattern(glob: str) -> str:
+    """A pattern, whatever the case, of names that begin like the glob (up to its first *) and then hold _digits_digits."""
+    head = glob.replace("\\", "/").rsplit("/", 1)[-1].split("*")[0]
+    return "(?i)" + "".join(c if c.isalnum() or c == "_" else "\\" + c for c in head) + ".*?_([0-9]+)_([0-9]+)"
+
+
+def xy_of(name: Column, pattern: str) -> Column:
+    """struct(xx, yy) of the first match; 10^9 each without one, so that such names come last."""
+    part = lambda k: F.coalesce(F.regexp_extract(name, pattern, k).try_cast("long"), F.lit(10**9).cast("long"))
+    return F.struct(part(1).alias("xx"), part(2).alias("yy"))
+
+
+def stem(path: Column) -> Column:
+    """The name without folders and without its last suffix."""
+    return F.regexp_replace(F.element_at(F.split(path, "/"), -1), r"(?<=.)\.[^.]*$", "")
+
+
+def source_and_tile(path: Column, pad: int = 4) -> Column:
+    """struct(source, tile) of source_tile, an overall label of pad digits left out; tile 0 for other names."""
+    s = F.regexp_replace(stem(path), f"_\\d{{{pad}}}$", "")
+    hit = s.rlike(r"^.+_\d+$")
+    return F.struct(F.when(hit, F.regexp_extract(s, r"^(.+)_(\d+)$", 1)).otherwise(s).alias("source"), F.when(hit, F.regexp_extract(s, r"^(.+)_(\d+)$", 2).cast("int")).otherwise(F.lit(0)).alias("tile"))
+
+
+def missing_like(reference: Column, number: Column, ext: str, sep: str = "_") -> Column:
+    """The name of a missing slice: the reference's stem with the digits at its end replaced, in their width or 4."""
+    s = stem(reference)
+    digits = F.regexp_extract(s, f"[^{sep}]*?(\\d*)$", 1)
+    width = F.when(F.length(digits) > 0, F.length(digits)).otherwise(F.lit(4))
+    text = number.cast("string")
+    return F.concat(F.substring(s, F.lit(1), F.length(s) - F.length(digits)), F.when(F.length(text) >= width, text).otherwise(F.lpad(text, width, F.lit("0"))), F.lit(ext))

@@ -27,3 +27,24 @@ def job_history(events: DataFrame, job: str) -> DataFrame:
     """The runs of a job with their first and last times."""
     e = events.filter(F.col("job") == job)
     return e.groupBy("run_id").agg(F.min("event_time").alias("started"), F.max("event_time").alias("ended"), F.count(F.lit(1)).alias("n_events"))
+
+
+def datasets(rows: DataFrame, namespace: str) -> DataFrame:
+    """rows with dataset_namespace and dataset_name: of an object as they are (the namespace may be null), of a path its last part.
+
+    rows: ds_name, ds_namespace, ds_path.
+    """
+    name = F.coalesce("ds_name", F.element_at(F.split(F.rtrim("ds_path", F.lit("/")), "/"), -1))
+    return rows.withColumns({"dataset_namespace": F.coalesce(F.when(F.col("ds_name").isNotNull(), F.col("ds_namespace")), F.lit(namespace)), "dataset_name": name})
+
+
+def run_details(events: DataFrame) -> DataFrame:
+    """(run_id, job, n_events, events): each run with its events in order; a run has as many as it reported."""
+    one = F.struct("event_time", "event_id", "event_type")
+    out = events.groupBy("run_id").agg(F.min_by("job", F.struct("event_time", "event_id")).alias("job"), F.sort_array(F.collect_list(one)).alias("events"))
+    return out.select("run_id", "job", F.size("events").cast("long").alias("n_events"), "events")
+
+
+def export(events: DataFrame, path: str) -> None:
+    """All events as JSON lines, in files sorted by event_id."""
+    events.repartitionByRange("event_id").sortWithinPartitions("event_id").write.mode("overwrite").json(path)

@@ -69,3 +69,50 @@ def flatten(df: DataFrame, separator: str = ".") -> DataFrame:
                 yield (*path, f.name)
 
     return df.select(*[F.col(".".join(f"`{x}`" for x in p)).alias(separator.join(p)) for p in leaves(df.schema)])
+
+
+def by_slide(files: DataFrame, name: str = "filename") -> DataFrame:
+    """(slide, place, filename): parsed names of each slide in order of slice, overall index and name; others are left out."""
+    p = from_names(files, name).filter("slide IS NOT NULL")
+    return p.select("slide", F.row_number().over(W.partitionBy("slide").orderBy("slice", "overall", name)).alias("place"), name)
+
+
+def with_metadata(files: DataFrame, metadata: DataFrame, pad: int = 4) -> DataFrame:
+    """files (filename) with source_image, tile, width, height of metadata (name, ...): by name, else by the name without its overall label.
+
+    What neither has comes from the name itself, with size 0.
+    """
+    fields = ["source_image", "tile", "width", "height"]
+    bare = F.regexp_replace("filename", f"_\\d{{{pad}}}(?=(\\.[^.]*)?$)", "")
+    at = lambda p: metadata.select(F.col("name").alias(f"{p}_name"), *[F.col(c).alias(f"{p}_{c}") for c in fields]).dropDuplicates([f"{p}_name"])
+    rows = files.join(at("own"), F.col("filename") == F.col("own_name"), "left").join(at("bare"), bare == F.col("bare_name"), "left")
+    guess = naming.source_and_tile(F.col("filename"), pad)
+    other = {"source_image": guess["source"], "tile": guess["tile"], "width": F.lit(0), "height": F.lit(0)}
+    pick = lambda c: F.when(F.col("own_name").isNotNull(), F.coalesce(f"own_{c}", other[c])).when(F.col("bare_name").isNotNull(), F.coalesce(f"bare_{c}", other[c])).otherwise(other[c])
+    return rows.select(*files.columns, *[pick(c).alias(c) for c in fields])
+
+
+def with_component_qc(tiles: DataFrame, records: DataFrame) -> DataFrame:
+    """tiles (slide, tile_index, ...) with the component record of their index, nulls where there is none."""
+    return tiles.join(records, ["slide", "tile_index"], "left")
+
+
+def mosaic(images: DataFrame) -> DataFrame:
+    """images (set_id, place, h, w) with the corner (y, x) of each in a grid of ceil(sqrt(n)) columns of cells of the largest size."""
+    w = W.partitionBy("set_id")
+    k = F.row_number().over(w.orderBy("place")) - 1
+    cols = F.ceil(F.sqrt(F.count(F.lit(1)).over(w).cast("double"))).cast("long")
+    rows = images.withColumns({"k": k, "cols": cols, "ch": F.max("h").over(w), "cw": F.max("w").over(w)})
+    return rows.select("set_id", "place", (F.floor(F.col("k") / F.col("cols")) * F.col("ch")).alias("y"), (F.col("k") % F.col("cols") * F.col("cw")).alias("x"))
+
+
+def stage_seconds(timers: DataFrame, stages: list[str]) -> DataFrame:
+    """(run, one column for each stage): summed seconds, 0 for a stage without any."""
+    return timers.groupBy("run").pivot("stage", stages).sum("seconds").fillna(0.0, stages)
+
+
+def most_common_extension(names: DataFrame, known: list[str]) -> DataFrame:
+    """(set_id, ext): the known extension that most names have, whatever the case; ties go to the one that came first by place."""
+    e = F.lower(F.regexp_extract("name", r"[^/.](\.[^./]+)$", 1))
+    n = names.select("set_id", "place", e.alias("ext")).filter(F.col("ext").isin(known)).groupBy("set_id", "ext").agg(F.count(F.lit(1)).alias("n"), F.min("place").alias("first"))
+    return n.groupBy("set_id").agg(F.max_by("ext", F.struct("n", -F.col("first"))).alias("ext"))
