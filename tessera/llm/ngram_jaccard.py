@@ -52,8 +52,8 @@ SHINGLE = 4
 PERCENT = 85
 #: Sets up to this size use pairs of parts.
 SMALL = 40
-#: Parts beyond k, besides a twentieth for empty ones: so many tokens, less the empty parts, two linking sets share. A passage
-#: that many texts hold makes them share a token now and then, but hardly ever that many.
+#: Parts beyond k, besides an eighth for empty ones (the smallest sets of a size class leave that many): about so many tokens
+#: two linking sets share at least. A passage that many texts hold makes them share a token now and then, but hardly ever that many.
 SLACK = 8
 #: A list of no more classes than this has all its pairs compared at once.
 SHORT = 3
@@ -140,7 +140,7 @@ def scheme(level: int, percent: int = PERCENT) -> tuple[int, int, int, np.ndarra
     """Largest size, k, P and the ranges' ends of the size class `level`."""
     most = _bounds(level + 1, percent) - 1
     k = (100 - percent) * 2 * most // (100 + percent)
-    parts = k + 2 if most <= SMALL else k + SLACK + (k + SLACK) // 20
+    parts = k + 2 if most <= SMALL else k + SLACK + (k + SLACK) // 8
     ends = np.array([(i << 64) // parts for i in range(1, parts)], dtype=np.uint64)
     return most, k, parts, ends
 
