@@ -213,3 +213,96 @@ def test_components_by_one_task_and_by_rounds(spark, monkeypatch):
         monkeypatch.setattr(graph, "FEW", few)
         assert {r.key: r.root for r in graph.components(df).collect()} == root
     assert graph.components(df.limit(0)).count() == 0
+
+
+def test_regions_of_slides_with_names(spark):
+    from tessera.operators import regions
+
+    rows = [("a/x.vsi", y, x) for y in range(3) for x in range(2000, 2060)] + [("b", 1, 1), ("b", 1, 2), ("b", 5, 5)]
+    out = regions.label(spark.createDataFrame(rows, "slide string, y int, x int"), block=16)
+    n = {(r.slide, r.label): r["count"] for r in out.groupBy("slide", "label").count().collect()}
+    assert n == {("a/x.vsi", 2000): 180, ("b", regions.SPAN + 1): 2, ("b", 5 * regions.SPAN + 5): 1}
+
+
+def _disk(cy, cx, r, slide=1):
+    return [(slide, y, x) for y in range(cy - r, cy + r + 1) for x in range(cx - r, cx + r + 1) if (y - cy) ** 2 + (x - cx) ** 2 <= r * r]
+
+
+def test_splitting_drops_parts_without_a_seed_unless_the_slide_has_none(spark):
+    from tessera.operators import regions
+
+    mask = spark.createDataFrame(_disk(30, 30, 12) + [(1, 70, x) for x in range(100)] + _disk(30, 90, 12, 2)[:0] + [(2, y, x) for y in range(4) for x in range(40)], "slide long, y long, x long")
+    out = regions.split_touching(regions.label(mask), radius=3, min_area=64)
+    n = {r.slide: r["count"] for r in out.groupBy("slide").count().collect()}
+    assert n == {1: len(_disk(30, 30, 12)), 2: 160}  # the line has no seed; slide 2 has none at all and keeps its one region
+
+
+def test_distance_is_exact(spark):
+    import numpy as np
+
+    from tessera.operators import regions
+
+    rng = np.random.default_rng(4)
+    grid = rng.random((23, 31)) < 0.8
+    got = np.sqrt(regions._distance(grid))
+    back = np.argwhere(~grid)
+    for y, x in np.argwhere(grid):
+        assert abs(got[y, x] - np.sqrt(((back - [y, x]) ** 2).sum(1).min())) < 1e-9
+
+
+def test_only_weak_strips_and_ragged_parts_are_trimmed(spark):
+    from tessera.operators import regions
+
+    body = [(1, y, x) for y in range(40) for x in range(40)]
+    strip = [(1, y, 40 + k) for y in (20, 21) for k in range(20)]  # a weak arm
+    patch = [(1, y, x) for y in range(0, 30) for x in range(0, 30)]  # weak, but most of the region
+    labels = regions.label(spark.createDataFrame(body + strip, "slide long, y long, x long"))
+    stained = spark.createDataFrame(body, "slide long, y long, x long")
+    a = regions.appendages(labels, stained).collect()
+    assert [(r.area_px, r.appendage_reason, r.trimmed) for r in a] == [(40, "peripheral_low_he_strip", True)]
+    assert regions.trim_appendages(labels, stained, 128).count() == 1600
+    strong = spark.createDataFrame([(*p, 0.5) for p in strip], "slide long, y long, x long, signal double")
+    assert regions.trim_appendages(labels, stained, 128, strong).count() == 1640
+    rest = spark.createDataFrame([p for p in body + strip if p not in set(patch)], "slide long, y long, x long")
+    assert regions.trim_appendages(labels, rest, 128).count() == 1640
+
+
+def test_sampled_vertices_are_apart_and_nothing_more_fits(spark):
+    import numpy as np
+
+    from tessera.operators import mesh
+
+    rng = np.random.default_rng(1)
+    points = rng.random((300, 3)) * 10
+    ve = spark.createDataFrame([(1, i, *map(float, p)) for i, p in enumerate(points)], "mesh long, v long, x double, y double, z double")
+    taken = sorted(r.v for r in mesh.sample_apart(ve, 2.0).collect())
+    d = np.sqrt(((points[:, None] - points[None]) ** 2).sum(2))
+    assert len(set(taken)) == len(taken)
+    inner = d[np.ix_(taken, taken)] + 99 * np.eye(len(taken))
+    assert inner.min() >= 2.0 and d[:, taken].min(1).max() < 2.0
+
+
+def test_gap_filling_of_a_long_series_is_linear(spark):
+    import time
+
+    from tessera.operators import stack
+
+    s = spark.range(200_000).selectExpr("1 AS stack", "id AS idx", "CASE WHEN id % 1000 = 0 THEN CAST(id AS double) END AS value").repartition(1)
+    began = time.perf_counter()
+    out = stack.fill(s).filter("value <> idx OR (value IS NULL AND idx <= 199000)").count()
+    assert out == 0 and time.perf_counter() - began < 60
+
+
+def test_unknown_extensions_and_policies_raise(spark):
+    import pytest
+    from pyspark.sql import functions as F
+
+    from tessera.functions import naming
+    from tessera.operators import levels
+
+    one = spark.range(1)
+    assert one.select(naming.normal_extension(F.lit(".TIF")).alias("e")).first().e == "tiff"
+    with pytest.raises(Exception, match="unknown extension"):
+        one.select(naming.normal_extension(F.lit("bmp"))).collect()
+    with pytest.raises(Exception, match="unknown name"):
+        one.select(levels.alias(F.lit("circle"), levels.CROP, "notebook_square")).collect()
