@@ -306,3 +306,17 @@ def test_unknown_extensions_and_policies_raise(spark):
         one.select(naming.normal_extension(F.lit("bmp"))).collect()
     with pytest.raises(Exception, match="unknown name"):
         one.select(levels.alias(F.lit("circle"), levels.CROP, "notebook_square")).collect()
+
+
+@pytest.mark.parametrize("step", [1, -1])
+def test_of_equally_fast_rows_the_first_counts(spark, step):
+    def rows(run, replay):
+        """Rows of a run: four replays, of which all but the first take 2 s at these blocks a second, and a slow random write."""
+        speeds = [(stack.REPLAY, 9.0, 7.0), *[(stack.REPLAY, 2.0, b) for b in replay], (stack.RANDOM, 2.0, 1.0)]
+        return [(run, seq, mode, stack.DEEP, False, s, b, 0.0, 0.0, 0.0, 0.0) for seq, (mode, s, b) in enumerate(speeds)]
+
+    schema = "run long, seq long, mode string, codec string, skipped boolean, elapsed_s double, blocks_per_sec double, downsample_s double, write_s double, repeated_decode double, alignment_win double"
+    data = (rows(1, [1.0, 50.0, 50.0]) + rows(2, [50.0, 1.0, 1.0]))[::step]
+    for parts in (1, 5):
+        df = spark.createDataFrame(spark.sparkContext.parallelize(data, parts), schema)
+        assert {r.run: r.top for r in stack.bottleneck_verdict(df, ["run"]).collect()} == {1: "writer/compression/filesystem", 2: stack.INCONCLUSIVE}
