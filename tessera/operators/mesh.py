@@ -59,13 +59,13 @@ def quantise(vertices: DataFrame, step: float) -> DataFrame:
     return vertices.groupBy("mesh", *cell).agg(F.min("v").alias("v"), F.count(F.lit(1)).alias("n"))
 
 
-def unit_box(vertices: DataFrame) -> DataFrame:
-    """Min-max to [0, 1] on each axis; a flat axis counts with range 1."""
+def unit_box(vertices: DataFrame, flat: float = 1.0) -> DataFrame:
+    """Min-max to [0, 1] on each axis; a flat axis counts with that range (NaN: its places are NaN, as 0 / 0 is)."""
     w = W.partitionBy("mesh")
     scaled = {}
     for a in "xyz":
         low, high = F.min(a).over(w), F.max(a).over(w)
-        scaled[a] = (F.col(a) - low) / F.when(high > low, high - low).otherwise(F.lit(1.0))
+        scaled[a] = (F.col(a) - low) / F.when(high > low, high - low).otherwise(F.lit(flat))
     return vertices.withColumns(scaled)
 
 

@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.operators import frames, graph, raster, regions, stack, tissue
+from tessera.operators import frames, graph, mesh, raster, regions, stack, tissue
 from tessera.streaming import events as streaming
 
 
@@ -320,3 +320,23 @@ def test_of_equally_fast_rows_the_first_counts(spark, step):
     for parts in (1, 5):
         df = spark.createDataFrame(spark.sparkContext.parallelize(data, parts), schema)
         assert {r.run: r.top for r in stack.bottleneck_verdict(df, ["run"]).collect()} == {1: "writer/compression/filesystem", 2: stack.INCONCLUSIVE}
+
+
+def test_a_flat_axis_is_zero_in_the_operator_and_nan_in_sql(spark, tmp_path):
+    import duckdb
+
+    from tessera.plans import catalog, tables
+
+    ve = spark.createDataFrame([(0, 0, 0.0, 3.0, 7.0), (0, 1, 4.0, 3.0, 7.0), (1, 0, 1.0, 0.0, 2.0), (1, 1, 2.0, 5.0, 4.0)], "mesh long, v long, x double, y double, z double")
+    got = {(r.mesh, r.v): (r.x, r.y, r.z) for r in mesh.unit_box(ve).collect()}
+    assert got == {(0, 0): (0.0, 0.0, 0.0), (0, 1): (1.0, 0.0, 0.0), (1, 0): (0.0, 0.0, 0.0), (1, 1): (1.0, 1.0, 1.0)}
+
+    # Slide 0 has one height, slide 1 two, slide 2 a single vertex.
+    rows = [(y, x, slide, q, 10.0) for slide, y, x, q in [(0, 1, 1, 50.0), (0, 2, 5, 50.0), (0, 9, 3, 50.0), (1, 1, 1, 50.0), (1, 4, 2, 20.0), (2, 6, 6, 50.0)]]
+    path = str(tmp_path / "lineitem.parquet")
+    spark.createDataFrame(rows, "l_orderkey long, l_partkey long, l_suppkey long, l_quantity double, l_extendedprice double").write.parquet(path)
+    c = duckdb.connect()
+    c.execute(f"CREATE VIEW lineitem AS SELECT * FROM '{path}/*.parquet'")
+    want = c.sql(catalog.ORACLES["unit_box"]).select("mesh", "v", "x", "y", "z").fetchall()
+    got = tables.unit_box(spark, str(tmp_path)).select("mesh", "v", "x", "y", "z").collect()
+    assert len(got) == 6 and sorted(map(str, map(tuple, got))) == sorted(map(str, want))
